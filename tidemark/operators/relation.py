@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.numbers import pearson, real
-from tidemark.session import join_per_key
+from tidemark.session import join_per_key, with_fit
 
 HISTOGRAM_BINS = 10
 KDE_GRID = 100
@@ -46,7 +46,7 @@ def histogram(df: DataFrame, col: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
         F.when(flat, low - 0.5).otherwise(low).alias("lo"),
         F.when(flat, high + 0.5).otherwise(high).alias("hi"),
     )
-    fit = df.select(spread).scalar()
+    fit = F.col("_fit")
 
     def edge(i):
         return i * ((fit["hi"] - fit["lo"]) / bins) + fit["lo"]
@@ -54,13 +54,14 @@ def histogram(df: DataFrame, col: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     place = sum((F.col("_x") >= edge(F.lit(i))).cast("int") for i in range(1, bins))
     place = place if bins > 1 else F.lit(0)
     counts = (
-        df.select(x.alias("_x"))
+        with_fit(df, spread)
+        .select(x.alias("_x"), "_fit")
         .where(F.col("_x").isNotNull())
         .groupBy(place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return every.join(F.broadcast(counts), "bin", "left").select(
+    return with_fit(every.join(F.broadcast(counts), "bin", "left"), spread, of=df).select(
         "bin",
         edge(F.col("bin")).alias("lo"),
         F.when(F.col("bin") == bins - 1, fit["hi"]).otherwise(edge(F.col("bin") + 1)).alias("hi"),
@@ -81,18 +82,17 @@ def kde_grid(
         F.col("_x").isNotNull() & F.col("_y").isNotNull()
     )
     shrink = F.pow(F.count(F.lit(1)).cast("double"), F.lit(-1.0 / 3.0))
-    fit = points.select(
-        F.struct(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.min("_x").alias("x0"),
-            F.max("_x").alias("x1"),
-            F.min("_y").alias("y0"),
-            F.max("_y").alias("y1"),
-            (F.var_samp("_x") * shrink).alias("xx"),
-            (F.var_samp("_y") * shrink).alias("yy"),
-            (F.covar_samp("_x", "_y") * shrink).alias("xy"),
-        )
-    ).scalar()
+    moments = F.struct(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.min("_x").alias("x0"),
+        F.max("_x").alias("x1"),
+        F.min("_y").alias("y0"),
+        F.max("_y").alias("y1"),
+        (F.var_samp("_x") * shrink).alias("xx"),
+        (F.var_samp("_y") * shrink).alias("yy"),
+        (F.covar_samp("_x", "_y") * shrink).alias("xy"),
+    )
+    fit = F.col("_fit")
 
     def place(i, low, high, variance):
         start, stop = low - cut * F.sqrt(variance), high + cut * F.sqrt(variance)
@@ -104,13 +104,14 @@ def kde_grid(
     dx, dy = gx - F.col("_x"), gy - F.col("_y")
     distance = (fit["yy"] * dx * dx - 2 * fit["xy"] * dx * dy + fit["xx"] * dy * dy) / det
     cells = (
-        points.select("_x", "_y", F.explode(F.sequence(F.lit(0), F.lit(grid * grid - 1))).alias("_cell"))
+        with_fit(points, moments)
+        .select("_x", "_y", "_fit", F.explode(F.sequence(F.lit(0), F.lit(grid * grid - 1))).alias("_cell"))
         .withColumn("i", F.floor(F.col("_cell") / grid).cast("int"))
         .withColumn("j", (F.col("_cell") % grid).cast("int"))
         .groupBy("i", "j")
         .agg(F.sum(F.exp(-0.5 * distance)).alias("_mass"))
     )
-    return cells.select(
+    return with_fit(cells, moments, of=points).select(
         "i",
         "j",
         gx.alias("gx"),

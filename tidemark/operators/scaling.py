@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numbers import real
-from tidemark.session import join_per_key
+from tidemark.session import join_per_key, with_fit
 
 
 def group_mean(df: DataFrame, group: str, col: str, out: str) -> DataFrame:
@@ -19,9 +19,11 @@ def group_mean(df: DataFrame, group: str, col: str, out: str) -> DataFrame:
 
 def _with_fit(df: DataFrame, fit: Column, by: str | None, out: str, formula) -> DataFrame:
     if by is None:
-        return df.withColumn(out, formula(df.select(fit).scalar()))
-    fits = df.where(F.col(by).isNotNull()).groupBy(by).agg(fit.alias("_fit"))
-    return join_per_key(df, fits, by, "left").withColumn(out, formula(F.col("_fit"))).drop("_fit")
+        fitted = with_fit(df, fit)
+    else:
+        fits = df.where(F.col(by).isNotNull()).groupBy(by).agg(fit.alias("_fit"))
+        fitted = join_per_key(df, fits, by, "left")
+    return fitted.withColumn(out, formula(F.col("_fit"))).drop("_fit")
 
 
 def min_max(df: DataFrame, col: str, out: str, by: str | None = None) -> DataFrame:

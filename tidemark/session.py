@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # One row per value of these types is a bounded table whatever the input size:
 # a date column has at most 3.65 million days in years 1 to 9999.
@@ -58,6 +58,14 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_fit(df: DataFrame, fit: Column, name: str = "_fit", of: DataFrame | None = None) -> DataFrame:
+    """Adds the one-row aggregate ``fit`` of ``of`` (``df`` itself by default) as a column.
+
+    It is one subquery, run once; the rows are neither joined nor shuffled.
+    """
+    return df.withColumn(name, (df if of is None else of).select(fit).scalar())
+
+
 def join_per_key(rows: DataFrame, per_key: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` with a table that has one narrow row per key.
 
