@@ -6,7 +6,7 @@ state. Tables of any size go through :mod:`tidemark.operators.lexicon` instead.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -60,15 +60,32 @@ def polarity_label(score: Column, band: float = NEUTRAL_BAND) -> Column:
     )
 
 
+def _known_count(words: Column, known: Iterable[str]) -> Column:
+    keys = sorted(set(known))
+    return F.size(F.filter(words, lambda w: w.isin(keys)))
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    Catalyst copies a computed column into every use of it when it pushes a filter down; a lambda variable
+    is not copied.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def likely_language(words: Column, profiles: Mapping[str, Iterable[str]]) -> Column:
     """Language with the most stop words among the tokens, first by name on a tie, null without any."""
-    votes = [
-        F.struct(
-            F.size(F.filter(words, lambda w, s=sorted(set(profiles[lang])): w.isin(s))).alias("hits"),
-            F.lit(-place).alias("place"),
-            F.lit(lang).alias("lang"),
-        )
-        for place, lang in enumerate(sorted(profiles))
-    ]
-    best = F.greatest(*votes) if len(votes) > 1 else votes[0]
-    return F.when(best["hits"] > 0, best["lang"])
+
+    def vote(tokens: Column) -> Column:
+        votes = [
+            F.struct(
+                _known_count(tokens, profiles[lang]).alias("hits"),
+                F.lit(-place).alias("place"),
+                F.lit(lang).alias("lang"),
+            )
+            for place, lang in enumerate(sorted(profiles))
+        ]
+        return F.array_max(F.array(*votes))
+
+    return bound(bound(words, vote), lambda best: F.when(best["hits"] > 0, best["lang"]))

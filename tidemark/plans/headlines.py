@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import scoring, text as tx
 from tidemark.functions.dates import epoch_to_iso
@@ -30,11 +30,18 @@ def clean_headlines(
     since the words that tell languages apart are the stop words removed afterwards.
     """
     words = F.col("_words")
+
+    def read(tokens: Column) -> Column:
+        return F.struct(
+            scoring.likely_language(tokens, profiles).alias("_language"),
+            tx.without_words(tokens, stop_words).alias("_words"),
+        )
+
+    # Filters are not pushed below a generator, so the text is split once and not again in each filter.
+    complete = require_non_null(raw, REQUIRED_RAW_FIELDS)
     spoken = (
-        require_non_null(raw, REQUIRED_RAW_FIELDS)
-        .withColumn("_words", tx.tokens(F.col("title")))
-        .where(scoring.likely_language(words, profiles) == language)
-        .withColumn("_words", tx.without_words(words, stop_words))
+        complete.select("*", F.inline(F.transform(F.array(tx.tokens(F.col("title"))), read)))
+        .where(F.col("_language") == language)
         .withColumn("title_clean", tx.rejoined(words))
     )
     return (
@@ -46,7 +53,7 @@ def clean_headlines(
                 "subjectivity": scoring.subjectivity(words, weights),
             }
         )
-        .drop("_words")
+        .drop("_words", "_language")
     )
 
 
