@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from checks import prices, scores, texts
+from checks import files, models, prices, scores, texts
 
-MODULES = (scores, prices, texts)
+MODULES = (scores, prices, texts, models, files)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}

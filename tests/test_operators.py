@@ -1,0 +1,339 @@
+"""Operators against small hand-made answers and plain numpy or pandas."""
+
+import datetime as dt
+from collections import defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.operators import evaluate, lexicon, paging, prices, relation, scaling, series, topk, words
+
+FEW = settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+DAY0 = dt.date(2020, 1, 1)
+
+
+def days(n):
+    return [DAY0 + dt.timedelta(days=i) for i in range(n)]
+
+
+def series_frame(spark, values, key="k"):
+    rows = [(key, d, None if v is None else float(v)) for d, v in zip(days(len(values)), values)]
+    return spark.createDataFrame(rows, "key string, day date, x double")
+
+
+# Top scores
+
+
+def plain_top(rows, k):
+    per_day = defaultdict(set)
+    for day, score, _ in rows:
+        if day is not None and score is not None:
+            per_day[day].add(score)
+    best = {day: set(sorted(scores, reverse=True)[:k]) for day, scores in per_day.items()}
+    return sorted(r for r in rows if r[0] is not None and r[1] in best.get(r[0], ()))
+
+
+@FEW
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from([*days(3), None]),
+            st.one_of(st.none(), st.integers(0, 12)),
+            st.integers(0, 100),
+        ),
+        min_size=1,
+        max_size=60,
+    ),
+    st.integers(1, 6),
+)
+def test_top_distinct_forms_agree(spark, rows, k):
+    df = spark.createDataFrame(rows, "day date, score bigint, v bigint").repartition(3)
+    want = plain_top(rows, k)
+    for keep in (topk.keep_top_distinct, topk.keep_top_listed):
+        assert sorted(tuple(r) for r in keep(df, "day", "score", k).select("day", "score", "v").collect()) == want
+    means = {r["day"]: r["m"] for r in topk.top_distinct_mean(df, "day", "score", "v", "m", k).collect()}
+    plain = defaultdict(list)
+    for day, _, v in want:
+        plain[day].append(v)
+    assert means == pytest.approx({day: sum(vs) / len(vs) for day, vs in plain.items()})
+
+
+def test_top_distinct_keeps_ties_and_short_groups(spark):
+    df = spark.createDataFrame([("a", s) for s in (9, 9, 7, 5, None)] + [("b", 3)], "g string, s int")
+    assert sorted(r["s"] for r in topk.keep_top_distinct(df, "g", "s", 2).collect()) == [3, 7, 9, 9]
+    lists = {r["g"]: r["scores"] for r in topk.top_scores(df, "g", "s", 2).collect()}
+    assert lists == {"a": [9, 7], "b": [3]}
+
+
+# Scaling
+
+
+@pytest.mark.parametrize(
+    "values, expected",
+    [([1, 2, 5], [0, 0.25, 1]), ([1, 1], [0.5, 0.5]), ([1, None, 3], [0, None, 1])],
+)
+def test_min_max(spark, values, expected):
+    df = series_frame(spark, values)
+    for by in (None, "key"):
+        got = scaling.min_max(df, "x", "y", by).orderBy("day").collect()
+        assert [r["y"] for r in got] == expected
+
+
+def test_z_score_is_of_the_population(spark):
+    df = series_frame(spark, [1, 2, 4])
+    for by in (None, "key"):
+        got = [r["z"] for r in scaling.z_score(df, "x", "z", by).orderBy("day").collect()]
+        assert got == pytest.approx([-1.069045, -0.267261, 1.336306], abs=1e-6)
+    assert [r["z"] for r in scaling.z_score(series_frame(spark, [0.1] * 3), "x", "z").collect()] == [0, 0, 0]
+
+
+@FEW
+@given(st.lists(st.floats(-1e6, 1e6), min_size=2, max_size=40).filter(lambda v: max(v) - min(v) > 1e-3))
+def test_scaled_columns(spark, values):
+    df = series_frame(spark, values)
+    got = scaling.min_max(scaling.z_score(df, "x", "z"), "x", "m").toPandas()
+    assert got.z.mean() == pytest.approx(0, abs=1e-6)
+    assert got.z.std(ddof=0) == pytest.approx(1, abs=1e-6)
+    assert got.m.min() == 0 and got.m.max() == 1
+
+
+# Series
+
+
+def plain_decompose(x, period, product):
+    """Ratio or difference to the centred moving average."""
+    n, half = len(x), period // 2
+    weights = np.ones(period) / period if period % 2 else np.r_[0.5, np.ones(period - 1), 0.5] / period
+    trend = np.full(n, np.nan)
+    trend[half : n - half] = np.convolve(x, weights, "valid")
+    rest = x / trend if product else x - trend
+    phase = np.array([np.nanmean(rest[i::period]) for i in range(period)])
+    phase = phase / phase.mean() if product else phase - phase.mean()
+    season = np.resize(phase, n)
+    return trend, season, (x / season / trend if product else x - season - trend)
+
+
+@pytest.mark.parametrize("model", ["multiplicative", "additive"])
+@pytest.mark.parametrize("period", [28, 7])
+def test_decompose(spark, model, period):
+    x = np.random.default_rng(3).uniform(1, 9, 150)
+    df = series_frame(spark, x, "a").unionByName(series_frame(spark, x[::-1], "b"))
+    got = series.decompose(df, "key", "day", "x", period, model).orderBy("day").toPandas()
+    for key, values in (("a", x), ("b", x[::-1])):
+        part = got[got.key == key]
+        for col, want in zip(
+            ("trend", "seasonality", "residual"), plain_decompose(values, period, model == "multiplicative")
+        ):
+            np.testing.assert_allclose(part[col].to_numpy(float), want, rtol=1e-10)
+    product = got.trend * got.seasonality * got.residual
+    total = got.trend + got.seasonality + got.residual
+    whole = (product if model == "multiplicative" else total).dropna()
+    np.testing.assert_allclose(whole, got.x[whole.index], rtol=1e-10)
+
+
+def test_decompose_of_a_constant(spark):
+    got = series.decompose(series_frame(spark, [5] * 84), "key", "day", "x").orderBy("day").collect()
+    assert all(r["trend"] is None for r in got[:14] + got[-14:])
+    for r in got[14:-14]:
+        assert (r["trend"], r["seasonality"], r["residual"]) == pytest.approx((5, 1, 1))
+
+
+def test_decompose_reports_unfit_keys(spark):
+    df = series_frame(spark, [5] * 20, "short").unionByName(series_frame(spark, [5] * 59 + [None], "gap"))
+    df = df.unionByName(series_frame(spark, [5] * 59 + [-1], "negative")).unionByName(series_frame(spark, [5] * 60, "fit"))
+    got = series.decompose(df, "key", "day", "x").groupBy("key").agg(
+        F.first("issue").alias("issue"), F.count("residual").alias("n")
+    )
+    assert {r["key"]: (r["issue"], r["n"]) for r in got.collect()} == {
+        "short": ("fewer than two periods", 0),
+        "gap": ("missing values", 0),
+        "negative": ("values not above zero", 0),
+        "fit": (None, 32),
+    }
+
+
+def test_series_collapse_to_one_row_per_day(spark):
+    df = spark.createDataFrame(
+        [("k", DAY0, 1.0), ("k", DAY0, 3.0), ("k", days(2)[1], 5.0), (None, DAY0, 7.0), ("k", None, 7.0)],
+        "key string, day date, x double",
+    )
+    got = series.lag_diff(df, "key", "day", "x").orderBy("day").collect()
+    assert [(r["x"], r["difference"]) for r in got] == [(2.0, None), (5.0, 3.0)]
+
+
+def test_difference(spark):
+    got = series.lag_diff(series_frame(spark, [10, 12, 9]), "key", "day", "x").orderBy("day").collect()
+    assert [r["difference"] for r in got] == [None, 2, -3]
+
+
+@FEW
+@given(st.lists(st.one_of(st.none(), st.integers(-50, 50)), min_size=1, max_size=30))
+def test_interpolation_is_that_of_pandas(spark, values):
+    got = series.interpolate_linear(series_frame(spark, values), "key", "day", "x", "y").orderBy("day").toPandas()
+    want = pd.Series(values, dtype=float).interpolate()
+    np.testing.assert_allclose(got.y.to_numpy(float), want, atol=1e-9)
+
+
+def test_features_are_standardised_per_key(spark):
+    rng = np.random.default_rng(5)
+    df = series_frame(spark, rng.uniform(1, 9, 100), "a").unionByName(series_frame(spark, rng.uniform(50, 90, 120), "b"))
+    got = series.decomposed_features(df, "key", "day", "x").toPandas().groupby("key").standardized_residual
+    assert got.size().to_dict() == {"a": 72, "b": 92}
+    np.testing.assert_allclose(got.mean(), 0, atol=1e-9)
+    np.testing.assert_allclose(got.std(ddof=0), 1)
+
+
+# Relation of two series
+
+
+def test_correlation(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 0.1), (2.0, 4.0, 0.1), (3.0, None, 0.1), (4.0, 9.0, 0.1)], "x double, y double, c double")
+    got = {(r["x"], r["y"]): (r["r"], r["label"]) for r in relation.pair_corr(df, ["x", "y", "c"]).collect()}
+    assert got["x", "y"] == (pytest.approx(0.998625, abs=1e-6), 1.0)
+    assert got["x", "c"] == (None, None) and got["y", "c"] == (None, None)
+
+
+@pytest.mark.parametrize(
+    "values", [[i / 10 for i in range(11)], [0.1, 0.2, 0.3, 0.7, 1.1, 1.2], [4.0, 4.0], [-3.0, 0.0, 5.0, 7.0]]
+)
+def test_histogram_is_that_of_numpy(spark, values):
+    got = relation.histogram(series_frame(spark, values), "x").orderBy("bin").collect()
+    counts, edges = np.histogram(values, 10)
+    assert [r["n"] for r in got] == counts.tolist()
+    np.testing.assert_allclose([r["lo"] for r in got], edges[:-1])
+    assert got[-1]["hi"] == edges[-1]
+
+
+def test_density(spark):
+    rng = np.random.default_rng(1)
+    points = rng.normal(size=(40, 2)) @ np.array([[1.0, 0.6], [0.0, 0.5]])
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points], "x double, y double").repartition(3)
+    got = relation.kde_grid(df, "x", "y", grid=9).orderBy("i", "j").toPandas()
+    cov = np.cov(points.T) * 40 ** (-1 / 3)
+    inverse, scale = np.linalg.inv(cov), 40 * 2 * np.pi * np.sqrt(np.linalg.det(cov))
+    axes = [
+        np.linspace(p.min() - 3 * np.sqrt(v), p.max() + 3 * np.sqrt(v), 9) for p, v in zip(points.T, np.diag(cov))
+    ]
+    for _, r in got.iterrows():
+        spot = np.array([axes[0][int(r.i)], axes[1][int(r.j)]])
+        d = spot - points
+        want = np.exp(-0.5 * np.einsum("ni,ij,nj->n", d, inverse, d)).sum() / scale
+        np.testing.assert_allclose([r.gx, r.gy, r.density], [*spot, want], rtol=1e-9, atol=1e-15)
+    assert len(got) == 81
+
+
+# Prices
+
+
+def test_price_statistics(spark):
+    df = spark.createDataFrame(
+        [("A", DAY0, 1.0, 10.0), ("A", days(40)[-1], 3.0, None), ("B", DAY0, 5.0, 7.0), (None, DAY0, 9.0, 9.0)],
+        "Company string, Date date, Open double, Volume double",
+    )
+    got = {r["Company"]: tuple(r)[1:] for r in prices.price_stats(df).collect()}
+    assert got == {"A": (3.0, 1.0, 10.0, 10.0), "B": (5.0, 5.0, 7.0, 7.0)}
+    months = prices.monthly_mean(df, "Open", "m").collect()
+    assert sorted((r["Company"], str(r["month_year"]), r["m"]) for r in months) == [
+        ("A", "2020-01-01", 1.0), ("A", "2020-02-01", 3.0), ("B", "2020-01-01", 5.0),
+    ]
+
+
+# Words
+
+
+def test_word_counts_over_distinct_titles(spark):
+    df = spark.createDataFrame(
+        [(1, "war peace war"), (1, "war peace war"), (1, "peace  new"), (2, "war"), (None, "war"), (2, None)],
+        "g int, t string",
+    )
+    got = {(r["g"], r["word"], r["n"], r["place"]) for r in words.word_freq(df, "g", "t", 1).collect()}
+    assert got == {(1, "peace", 2, 1), (2, "war", 1, 1)}
+    counts = {(r["g"], r["word"]): r["n"] for r in words.word_counts(df, "g", "t").collect()}
+    assert counts == {(1, "war"): 2, (1, "peace"): 2, (2, "war"): 1}
+
+
+def test_joined_titles_lose_none(spark):
+    titles = [(i % 3 % 2, f"title{i % 70}") for i in range(200)]
+    df = spark.createDataFrame(titles, "g int, t string")
+    got = defaultdict(list)
+    for r in words.joined_titles(df, "g", "t", per_chunk=10).collect():
+        got[r["g"]] += r["joined"].split(" ")
+    assert {g: sorted(ts) for g, ts in got.items()} == {
+        g: sorted({t for h, t in titles if h == g}) for g in (0, 1)
+    }
+
+
+def test_idf(spark):
+    df = spark.createDataFrame([(["a", "a", "b"],), (["a"],), (["c"],)], "w array<string>")
+    got = {r["word"]: (r["doc_freq"], r["idf"]) for r in words.idf_table(df, "w", 2).collect()}
+    assert got == {"a": (2, pytest.approx(np.log(4 / 3))), "b": (1, 0.0), "c": (1, 0.0)}
+
+
+# Lexicons as tables
+
+
+@FEW
+@given(st.lists(st.lists(st.sampled_from("abcdef"), max_size=8), min_size=1, max_size=12))
+def test_lexicon_join_plans_agree(spark, docs):
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, w array<string>").repartition(3)
+    table = {"a": 1.5, "b": -2.0, "c": 0.25}
+    frame = spark.createDataFrame(list(table.items()), "word string, valence double")
+    sums = [[table[w] for w in doc if w in table] for doc in docs]
+    want = {i: np.mean(s) if s else 0.0 for i, s in enumerate(sums)}
+    for bound in (100, 1):
+        got = lexicon.lexicon_score(df, "id", "w", frame, mode="mean", max_broadcast_words=bound)
+        assert {r["id"]: r["score"] for r in got.collect()} == pytest.approx(want)
+
+
+def test_language_join_plans_agree(spark):
+    df = spark.createDataFrame([(1, ["x", "y", "y"]), (2, ["z"]), (3, ["x"])], "id int, w array<string>")
+    profiles = spark.createDataFrame([("a", "x"), ("b", "y"), ("b", "x")], "lang string, word string")
+    for bound in (100, 1):
+        got = lexicon.language_profile(df, "id", "w", profiles, bound).collect()
+        assert {tuple(r) for r in got} == {(1, "b", 3), (3, "a", 1)}
+
+
+# Paging
+
+
+def test_pages_laid_end_to_end_are_the_table(spark):
+    df = spark.createDataFrame([(i // 3, i) for i in range(20)], "ts bigint, id bigint").repartition(4)
+    seen, after = [], (-1, -1)
+    while page := [tuple(r) for r in paging.keyset_page(df, ["ts", "id"], after, 6).collect()]:
+        seen, after = seen + page, page[-1]
+    assert seen == [(i // 3, i) for i in range(20)]
+    numbered = paging.number_pages(df, ["ts", "id"], 6).collect()
+    assert sorted((r["id"], r["page"], r["place"]) for r in numbered) == [(i, i // 6, i % 6) for i in range(20)]
+
+
+def test_one_value_may_fill_most_pages(spark):
+    df = spark.createDataFrame([(5 if i % 3 else i, i) for i in range(3000)], "ts bigint, id bigint")
+    numbered = paging.number_pages(df, ["ts", "id"], 100).orderBy("page", "place").collect()
+    assert [(r["ts"], r["id"]) for r in numbered] == sorted((5 if i % 3 else i, i) for i in range(3000))
+
+
+def test_page_documents_carry_their_cursor(spark):
+    df = spark.createDataFrame([(i // 3, i) for i in range(7)], "ts bigint, id bigint")
+    got = paging.page_documents(df, ["ts", "id"], 3).orderBy("page").collect()
+    assert [(r["after"], r["rows"]) for r in got] == [(None, 3), (0, 3), (1, 1)]
+    assert got[2]["body"] == '[{"ts":2,"id":6}]'
+
+
+# Measures
+
+
+def test_metrics_are_those_of_the_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    rng = np.random.default_rng(2)
+    pairs = [(float(a), float(b)) for a, b in zip(rng.integers(0, 3, 200), rng.integers(0, 4, 200))]
+    df = spark.createDataFrame(pairs, "label double, prediction double")
+    found = evaluate.metrics(evaluate.confusion(df)).head()
+    judge = MulticlassClassificationEvaluator()
+    assert found["f1"] == pytest.approx(judge.evaluate(df))
+    assert found["accuracy"] == pytest.approx(judge.evaluate(df, {judge.metricName: "accuracy"}))
