@@ -103,6 +103,15 @@ def test_lexicon_scores(spark):
     assert got[4]["p"] is None and got[4]["s"] is None
 
 
+def test_large_lexicon(spark):
+    """Sums agree with a plain dictionary for a table that is cut into many maps."""
+    table = {f"wört{i}": i / 7 - 100 for i in range(3000)}
+    docs = [[f"wört{(i * 37 + j * 11) % 4000}" for j in range(50)] for i in range(20)]
+    df = spark.createDataFrame([(d,) for d in docs], "w array<string>")
+    got = [r[0] for r in df.select(scoring.array_sum(scoring.known_values(F.col("w"), table))).collect()]
+    assert got == pytest.approx([sum(table.get(w, 0) for w in d) for d in docs])
+
+
 def test_language(spark):
     profiles = {"en": ["the", "of"], "de": ["der", "die"], "fr": ["de", "of"]}
     words = [["the", "of", "die"], ["der", "the"], ["of"], ["x"], [], None]

@@ -7,6 +7,7 @@ state. Tables of any size go through :mod:`tidemark.operators.lexicon` instead.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from zlib import crc32
 
 from pyspark.sql import Column, functions as F
 
@@ -14,6 +15,8 @@ from pyspark.sql import Column, functions as F
 COMPOUND_ALPHA = 15.0
 NEUTRAL_BAND = 0.05
 
+MAP_SIZE = 8
+
 
 def compound(total: Column) -> Column:
     """Sum of valences squeezed into [-1, 1]."""
@@ -23,12 +26,31 @@ def compound(total: Column) -> Column:
 def known_values(words: Column, table: Mapping[str, float]) -> Column:
     """Values of the tokens that are in the table, in token order.
 
-    The hash-set test drops nearly all tokens before the map, whose lookup is linear, is asked.
+    A hash-set test drops nearly all tokens first. Map lookup is linear, so the table is cut into small
+    maps by checksum and each hit is looked up in one of them.
     """
     keys = sorted(table)
-    values = F.map_from_arrays(F.lit(keys), F.lit([float(table[k]) for k in keys]))
-    hits = F.filter(words, lambda w: w.isin(keys))
-    return F.transform(hits, lambda w: F.try_element_at(values, w))
+    slots = max(1, len(keys) // MAP_SIZE)
+    maps: list[dict[str, float]] = [{} for _ in range(slots)]
+    for key in keys:
+        maps[crc32(key.encode()) % slots][key] = float(table[key])
+
+    def lookup(word: Column) -> Column:
+        slot = (F.crc32(word.cast("binary")) % slots).cast("int")
+        return F.try_element_at(F.get(values, slot), word)
+
+    values = F.array(
+        *[F.map_from_arrays(_strings(list(m)), _doubles(list(m.values()))) for m in maps]
+    )
+    return F.transform(F.filter(words, lambda w: w.isin(keys)), lookup)
+
+
+def _strings(values: list[str]) -> Column:
+    return F.lit(values) if values else F.array().cast("array<string>")
+
+
+def _doubles(values: list[float]) -> Column:
+    return F.lit(values) if values else F.array().cast("array<double>")
 
 
 def array_sum(values: Column) -> Column:

@@ -36,26 +36,27 @@ def keyset_page(
 def number_pages(df: DataFrame, order: Sequence[str], size: int = DEFAULT_PAGE) -> DataFrame:
     """Every row with the ``page`` it falls on and its ``place`` in the page, both from 0.
 
-    Rows are range-partitioned by the key and staged, so ranks are taken inside each range and shifted
-    by the row counts of the ranges before it; no task sees the whole table. The key must be unique: its
-    last columns then split the range of a value that many rows share.
+    Rows are range-partitioned and sorted by the key, numbered inside their range and staged; the numbers
+    are then shifted by the row counts of the ranges before. One shuffle, and no task sees the whole
+    table. The key must be unique: its last columns then split the range of a value that many rows share.
     """
-    ranged = staged(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    in_range = F.monotonically_increasing_id()  # range number in the upper bits, row in the lower 33
+    ranged = staged(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", in_range), "ranges"
+    ).withColumns({"_part": F.shiftright("_at", 33), "_rank": F.col("_at").bitwiseAND(2**33 - 1)})
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per range partition: a table as long as the number of shuffle partitions.
+    # One row per range: a table as long as the number of shuffle partitions.
     before = F.coalesce(
         F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     starts = sizes.select("_part", before.alias("_start"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     position = F.col("_start") + F.col("_rank")
     return (
-        ranged.withColumn("_rank", rank)
-        .join(F.broadcast(starts), "_part")
+        ranged.join(F.broadcast(starts), "_part")
         .withColumns(
             {"page": F.floor(position / size).cast("bigint"), "place": (position % size).cast("bigint")}
         )
-        .drop("_part", "_rank", "_start")
+        .drop("_at", "_part", "_rank", "_start")
     )
 
 

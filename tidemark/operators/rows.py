@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import text as tx
 
@@ -42,11 +42,21 @@ def drop_incomplete(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     return df.na.drop("any", subset=list(cols) if cols else None)
 
 
+def computed(df: DataFrame, value: Column, out: str) -> DataFrame:
+    """``df`` with a costly column that later filters do not compute again.
+
+    Catalyst pushes a filter below a projection by repeating the projected expression in it; it does not
+    push one below a generator, so the column is made by one, of a single element.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return df.select(*others, F.inline(F.array(F.struct(value.alias(out)))))
+
+
 def clean_text(
     df: DataFrame, text: str, out: str = "title_clean", stop_words: Sequence[str] = ()
 ) -> DataFrame:
     """Adds the cleaned text; works on batch and streaming rows."""
-    return df.withColumn(out, tx.rejoined(tx.without_words(tx.tokens(F.col(text)), stop_words)))
+    return computed(df, tx.rejoined(tx.without_words(tx.tokens(F.col(text)), stop_words)), out)
 
 
 def split_pair(df: DataFrame, pair: str, first: str, second: str) -> DataFrame:

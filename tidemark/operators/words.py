@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.topk import top_words
-from tidemark.session import join_per_key
+from tidemark.session import join_per_key, staged
 
 # Words left out of the yearly word pictures besides the English stop words.
 PICTURE_STOP_WORDS = [
@@ -52,8 +52,9 @@ def joined_titles(df: DataFrame, group: str, text: str, per_chunk: int = 1000) -
 
     A group has one chunk per ``per_chunk`` texts, so that no row grows with the group. Texts are spread
     over the chunks by hash and sorted inside; the chunks of a group laid end to end are its whole text.
+    The distinct texts are staged, since they are read to size the groups and again to fill the chunks.
     """
-    titles = distinct_titles(df, group, text)
+    titles = staged(distinct_titles(df, group, text), "titles")
     sizes = titles.groupBy(group).agg(
         F.ceil(F.count(F.lit(1)) / per_chunk).cast("bigint").alias("_chunks")
     )

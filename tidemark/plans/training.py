@@ -20,7 +20,7 @@ TERM_SLOTS = 100
 MIN_DOC_FREQ = 5
 TREE_DEPTH = 9
 
-ROWS_PER_VECTOR_TASK = 1_000_000
+WORDS_PER_VECTOR_TASK = 500_000
 MAX_VOCABULARY = 5_000_000
 
 
@@ -71,11 +71,12 @@ def labelled(cleaned: DataFrame) -> DataFrame:
     return rows.na.drop("any", subset=["title_clean", "score", "num_comments", "subjectivity", "label"])
 
 
-def vocabulary_size(rows: DataFrame, text: str, min_count: int) -> int:
-    """Number of distinct words that occur at least ``min_count`` times."""
+def word_totals(rows: DataFrame, text: str, min_count: int) -> tuple[int, int]:
+    """Number of distinct words that occur at least ``min_count`` times, and number of all words."""
     words = rows.select(F.explode(F.split(F.lower(text), r"\s")).alias("word"))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") >= min_count).count()
+    totals = counts.agg(F.count_if(F.col("n") >= min_count), F.coalesce(F.sum("n"), F.lit(0))).head()
+    return totals[0], totals[1]
 
 
 @dataclass
@@ -100,21 +101,21 @@ def train(
 
     Spark's word-vector fit holds the vocabulary on the driver; when it would not fit, this raises and a
     higher ``min_count`` has to be chosen, rather than dropping words unasked. The fit reads the training
-    rows several times, so they are staged.
+    rows several times, so they are staged, in even partitions whatever the sizes of the input files.
     """
     rows = staged(
         labelled(cleaned).select(
             key, "title_clean", "score", "num_comments", "subjectivity", "label"
-        ),
+        ).repartition(key),
         "training",
     )
     training, validation = split_rows(rows, key, parts)
-    size = vocabulary_size(training, "title_clean", min_count)
+    size, words = word_totals(training, "title_clean", min_count)
     if size > max_vocabulary:
         raise ValueError(
             f"{size} words exceed the vocabulary bound {max_vocabulary}; raise min_count or the bound"
         )
-    tasks = 1 + training.count() // ROWS_PER_VECTOR_TASK
+    tasks = 1 + words // WORDS_PER_VECTOR_TASK
     model = build_pipeline(min_count=min_count, vector_tasks=tasks, **pipeline).fit(training)
     predictions = model.transform(validation)
     counts = confusion(predictions)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -27,23 +28,27 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local session may go without that setting; it then gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other job uses."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder, under the application's id, that no other job uses."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:
@@ -78,6 +83,14 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, on: str, how: str = "inner
     return rows.join(staged(per_key, "per-key"), on, how)
 
 
+def as_dict(df: DataFrame, key: str, value: str, max_rows: int = 100_000) -> dict:
+    """A small table as a dictionary on the driver; a table over ``max_rows`` raises."""
+    rows = df.where(df[key].isNotNull() & df[value].isNotNull()).select(key, value).take(max_rows + 1)
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} rows; use the join form for a table of this size")
+    return {row[0]: row[1] for row in rows}
+
+
 def broadcast_within(df: DataFrame, max_rows: int = 1_000_000) -> tuple[DataFrame, bool]:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, and whether it has."""
     fits = df.limit(max_rows + 1).count() <= max_rows
