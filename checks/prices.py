@@ -99,6 +99,20 @@ def pair_corr(spark, sf):
     return rounded(relation.pair_corr(_related(spark, sf), RELATED), 8, "r").drop("label")
 
 
+def company_corr(spark, sf):
+    return rounded(relation.pair_corr(_related(spark, sf), RELATED, by="Company"), 8, "r").drop("label")
+
+
+def company_histogram(spark, sf):
+    bins = relation.histogram(_related(spark, sf), "difference", by="Company")
+    return rounded(bins, 5, "lo", "hi")
+
+
+def company_density(spark, sf):
+    density = relation.kde_grid(_related(spark, sf), RELATED[1], RELATED[2], GRID, by="Company")
+    return rounded(rounded(density, 4, "gx", "gy"), 7, "density")
+
+
 def item_corr(spark, sf):
     items = table(spark, sf, "lineitem")
     return rounded(relation.pair_corr(items, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]), 8, "r")
@@ -124,7 +138,7 @@ QUERIES = {
         price_stats, customer_stats, monthly_mean_open, monthly_mean_volume, distinct_company,
         sum_volume_one_company, lag_diff, log_interpolate, decompose, decompose_additive,
         decomposed_features, lookup_join, price_sentiment_rows, pair_corr, item_corr, histogram10,
-        residual_histogram, kde_grid,
+        residual_histogram, kde_grid, company_corr, company_histogram, company_density,
     )
 }
 
@@ -174,13 +188,38 @@ def _bins_sql(source: str, col: str, places: int) -> str:
     """
 
 
-def _corr_sql(source: str, cols: list[str]) -> str:
+def _corr_sql(source: str, cols: list[str], by: str = "") -> str:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS x, '{b}' AS y, round(corr({a}, {b}), 8) + 0.0 AS r FROM {source}" for a, b in pairs
+        f"SELECT {by + ', ' if by else ''}'{a}' AS x, '{b}' AS y, round(corr({a}, {b}), 8) + 0.0 AS r FROM {source}"
+        + (f" GROUP BY {by}" if by else "")
+        for a, b in pairs
     )
 
 
+def _density_sql(by: str = "") -> str:
+    key, own = (f"{by}, ", f"g.{by}, ") if by else ("", "")
+    group, match = (f"GROUP BY {by}", f"WHERE g.{by} = m.{by}") if by else ("", "")
+    return f"""{_FEATURES},
+        c AS (SELECT {key}count(*) AS n, min(standardized_residual) AS x0, max(standardized_residual) AS x1,
+                     min(standardized_sentiment_all_news) AS y0, max(standardized_sentiment_all_news) AS y1,
+                     var_samp(standardized_residual) * pow(count(*), -1.0 / 3) AS xx,
+                     var_samp(standardized_sentiment_all_news) * pow(count(*), -1.0 / 3) AS yy,
+                     covar_samp(standardized_residual, standardized_sentiment_all_news) * pow(count(*), -1.0 / 3) AS xy
+              FROM m {group}),
+        g AS (SELECT {key}i, j, n, xx, yy, xy, xx * yy - xy * xy AS det,
+                     x0 - 3 * sqrt(xx) + i * (x1 - x0 + 6 * sqrt(xx)) / {GRID - 1} AS gx,
+                     y0 - 3 * sqrt(yy) + j * (y1 - y0 + 6 * sqrt(yy)) / {GRID - 1} AS gy
+              FROM c, range({GRID}) a(i), range({GRID}) b(j))
+        SELECT {own}CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(gx, 4) + 0.0 AS gx, round(gy, 4) + 0.0 AS gy,
+               round(sum(exp(-0.5 * (yy * (gx - standardized_residual) ** 2
+                     - 2 * xy * (gx - standardized_residual) * (gy - standardized_sentiment_all_news)
+                     + xx * (gy - standardized_sentiment_all_news) ** 2) / det))
+                     / (n * 2 * pi() * sqrt(det)), 7) + 0.0 AS density
+        FROM g, m {match} GROUP BY {own}i, j, gx, gy, n, det
+    """
+
+
 SQL = {
     "price_stats": f"""
         SELECT Company, round(max(Open), 6) AS max_open, round(min(Open), 6) AS min_open,
@@ -254,22 +293,17 @@ SQL = {
     """,
     "histogram10": f"WITH {_bins_sql('events', 'value', 6)}",
     "residual_histogram": f"{_FEATURES}, {_bins_sql('m', 'standardized_residual', 5)}",
-    "kde_grid": f"""{_FEATURES},
-        c AS (SELECT count(*) AS n, min(standardized_residual) AS x0, max(standardized_residual) AS x1,
-                     min(standardized_sentiment_all_news) AS y0, max(standardized_sentiment_all_news) AS y1,
-                     var_samp(standardized_residual) * pow(count(*), -1.0 / 3) AS xx,
-                     var_samp(standardized_sentiment_all_news) * pow(count(*), -1.0 / 3) AS yy,
-                     covar_samp(standardized_residual, standardized_sentiment_all_news) * pow(count(*), -1.0 / 3) AS xy
-              FROM m),
-        g AS (SELECT i, j, n, xx, yy, xy, xx * yy - xy * xy AS det,
-                     x0 - 3 * sqrt(xx) + i * (x1 - x0 + 6 * sqrt(xx)) / {GRID - 1} AS gx,
-                     y0 - 3 * sqrt(yy) + j * (y1 - y0 + 6 * sqrt(yy)) / {GRID - 1} AS gy
-              FROM c, range({GRID}) a(i), range({GRID}) b(j))
-        SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(gx, 4) + 0.0 AS gx, round(gy, 4) + 0.0 AS gy,
-               round(sum(exp(-0.5 * (yy * (gx - standardized_residual) ** 2
-                     - 2 * xy * (gx - standardized_residual) * (gy - standardized_sentiment_all_news)
-                     + xx * (gy - standardized_sentiment_all_news) ** 2) / det))
-                     / (n * 2 * pi() * sqrt(det)), 7) + 0.0 AS density
-        FROM g, m GROUP BY i, j, gx, gy, n, det
+    "company_corr": f"{_FEATURES} " + _corr_sql("m", RELATED, "Company"),
+    "company_histogram": f"""{_FEATURES},
+        h AS (SELECT Company, min(difference) AS lo, max(difference) AS hi FROM m GROUP BY 1),
+        b AS (SELECT Company, CAST(i AS INTEGER) AS bin, i * ((hi - lo) / 10) + lo AS lo,
+                     CASE WHEN i = 9 THEN hi ELSE (i + 1) * ((hi - lo) / 10) + lo END AS hi
+              FROM h, range(10) t(i))
+        SELECT b.Company, bin, round(b.lo, 5) + 0.0 AS lo, round(b.hi, 5) + 0.0 AS hi, count(v.difference) AS n
+        FROM b LEFT JOIN m v ON v.Company = b.Company AND v.difference >= b.lo
+             AND (v.difference < b.hi OR (bin = 9 AND v.difference <= b.hi))
+        GROUP BY 1, 2, 3, 4
     """,
+    "company_density": _density_sql("Company"),
+    "kde_grid": _density_sql(),
 }

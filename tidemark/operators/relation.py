@@ -20,67 +20,77 @@ def join_by_date(rows: DataFrame, per_day: DataFrame, day: str = "Date") -> Data
     return join_per_key(rows, per_day, day)
 
 
-def pair_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Correlation of each pair of columns: ``x, y, r`` and ``r`` rounded for a label."""
+def pair_corr(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
+    """Correlation of each pair of columns, per key if asked: ``x, y, r`` and ``r`` rounded for a label."""
     pairs = [
         F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), pearson(real(F.col(a)), real(F.col(b))).alias("r"))
         for a, b in combinations(cols, 2)
     ]
+    keys = [by] if by else []
     return (
-        df.agg(F.array(*pairs).alias("pairs"))
-        .select(F.inline("pairs"))
+        df.groupBy(*keys)
+        .agg(F.array(*pairs).alias("pairs"))
+        .select(*keys, F.inline("pairs"))
         .withColumn("label", F.bround("r", 2))
     )
 
 
-def histogram(df: DataFrame, col: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Counts in equal bins from the smallest to the largest value; the last bin is closed.
+def histogram(
+    df: DataFrame, col: str, bins: int = HISTOGRAM_BINS, by: str | None = None
+) -> DataFrame:
+    """Counts in equal bins from the smallest to the largest value: ``bin, lo, hi, n``; the last bin is
+    closed and empty bins are listed. With ``by``, one histogram per key.
 
     A value's bin is the number of inner edges at or below it, which puts values on an edge where they
     belong. A constant column is given a range of one around its value.
     """
-    x = real(F.col(col))
-    low, high = F.min(x), F.max(x)
-    flat = low == high
+    keys = [by] if by else []
+    values = df.select(*keys, real(F.col(col)).alias("_x")).where(F.col("_x").isNotNull())
+    values = values.where(F.col(by).isNotNull()) if by else values
+    low, high, fit = F.min("_x"), F.max("_x"), F.col("_fit")
     spread = F.struct(
-        F.when(flat, low - 0.5).otherwise(low).alias("lo"),
-        F.when(flat, high + 0.5).otherwise(high).alias("hi"),
+        F.when(low == high, low - 0.5).otherwise(low).alias("lo"),
+        F.when(low == high, high + 0.5).otherwise(high).alias("hi"),
     )
-    fit = F.col("_fit")
 
     def edge(i):
         return i * ((fit["hi"] - fit["lo"]) / bins) + fit["lo"]
 
-    place = sum((F.col("_x") >= edge(F.lit(i))).cast("int") for i in range(1, bins))
-    place = place if bins > 1 else F.lit(0)
+    place = sum(((F.col("_x") >= edge(F.lit(i))).cast("int") for i in range(1, bins)), F.lit(0))
     counts = (
-        with_fit(df, spread)
-        .select(x.alias("_x"), "_fit")
-        .where(F.col("_x").isNotNull())
-        .groupBy(place.alias("bin"))
+        with_fit(values, spread, by, how="inner")
+        .groupBy(*keys, place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return with_fit(every.join(F.broadcast(counts), "bin", "left"), spread, of=df).select(
+    every = values.groupBy(*keys).agg(spread.alias("_fit")).select(
+        *keys, "_fit", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    )
+    return every.join(counts, [*keys, "bin"], "left").select(
+        *keys,
         "bin",
         edge(F.col("bin")).alias("lo"),
         F.when(F.col("bin") == bins - 1, fit["hi"]).otherwise(edge(F.col("bin") + 1)).alias("hi"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
     )
 
 
 def kde_grid(
-    df: DataFrame, x: str, y: str, grid: int = KDE_GRID, cut: float = KDE_CUT
+    df: DataFrame,
+    x: str,
+    y: str,
+    grid: int = KDE_GRID,
+    cut: float = KDE_CUT,
+    by: str | None = None,
 ) -> DataFrame:
     """Two-variable Gaussian density on a ``grid`` x ``grid`` lattice: ``i, j, gx, gy, density``.
+    With ``by``, one lattice per key.
 
     The kernel covariance is the sample covariance times n^(-1/3) (Scott's rule in two dimensions); the
     lattice reaches ``cut`` kernel widths beyond the data. Each task adds its rows into the lattice, so
     the shuffle carries lattice cells; the work is rows times cells.
     """
-    points = df.select(real(F.col(x)).alias("_x"), real(F.col(y)).alias("_y")).where(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull()
-    )
+    keys = [by] if by else []
+    points = df.select(*keys, real(F.col(x)).alias("_x"), real(F.col(y)).alias("_y")).na.drop("any")
     shrink = F.pow(F.count(F.lit(1)).cast("double"), F.lit(-1.0 / 3.0))
     moments = F.struct(
         F.count(F.lit(1)).cast("double").alias("n"),
@@ -104,14 +114,15 @@ def kde_grid(
     dx, dy = gx - F.col("_x"), gy - F.col("_y")
     distance = (fit["yy"] * dx * dx - 2 * fit["xy"] * dx * dy + fit["xx"] * dy * dy) / det
     cells = (
-        with_fit(points, moments)
-        .select("_x", "_y", "_fit", F.explode(F.sequence(F.lit(0), F.lit(grid * grid - 1))).alias("_cell"))
+        with_fit(points, moments, by, how="inner")
+        .select(*keys, "_x", "_y", "_fit", F.explode(F.sequence(F.lit(0), F.lit(grid * grid - 1))).alias("_cell"))
         .withColumn("i", F.floor(F.col("_cell") / grid).cast("int"))
         .withColumn("j", (F.col("_cell") % grid).cast("int"))
-        .groupBy("i", "j")
+        .groupBy(*keys, "i", "j")
         .agg(F.sum(F.exp(-0.5 * distance)).alias("_mass"))
     )
-    return with_fit(cells, moments, of=points).select(
+    return with_fit(cells, moments, by, of=points, how="inner").select(
+        *keys,
         "i",
         "j",
         gx.alias("gx"),

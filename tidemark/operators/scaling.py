@@ -1,15 +1,11 @@
-"""Means and column scaling.
-
-A fit over the whole table is a one-row subquery; a fit per key is an aggregate joined back. Neither
-gathers the rows of a key in one task, as a window would.
-"""
+"""Means and column scaling, over the whole table or per key."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numbers import real
-from tidemark.session import join_per_key, with_fit
+from tidemark.session import with_fit
 
 
 def group_mean(df: DataFrame, group: str, col: str, out: str) -> DataFrame:
@@ -17,15 +13,6 @@ def group_mean(df: DataFrame, group: str, col: str, out: str) -> DataFrame:
     return df.where(F.col(group).isNotNull()).groupBy(group).agg(F.avg(col).alias(out))
 
 
-def _with_fit(df: DataFrame, fit: Column, by: str | None, out: str, formula) -> DataFrame:
-    if by is None:
-        fitted = with_fit(df, fit)
-    else:
-        fits = df.where(F.col(by).isNotNull()).groupBy(by).agg(fit.alias("_fit"))
-        fitted = join_per_key(df, fits, by, "left")
-    return fitted.withColumn(out, formula(F.col("_fit"))).drop("_fit")
-
-
 def min_max(df: DataFrame, col: str, out: str, by: str | None = None) -> DataFrame:
     """``col`` scaled to [0, 1]; 0.5 where the smallest and largest value are equal."""
     x = real(F.col(col))
@@ -35,7 +22,7 @@ def min_max(df: DataFrame, col: str, out: str, by: str | None = None) -> DataFra
         scaled = F.when(f["hi"] == f["lo"], 0.5).otherwise(F.try_divide(x - f["lo"], f["hi"] - f["lo"]))
         return F.when(x.isNotNull(), scaled)
 
-    return _with_fit(df, fit, by, out, formula)
+    return with_fit(df, fit, by).withColumn(out, formula(F.col("_fit"))).drop("_fit")
 
 
 def z_score(df: DataFrame, col: str, out: str, by: str | None = None) -> DataFrame:
@@ -49,4 +36,4 @@ def z_score(df: DataFrame, col: str, out: str, by: str | None = None) -> DataFra
         scaled = F.when(f["hi"] == f["lo"], 0.0).otherwise(F.try_divide(x - f["mean"], f["std"]))
         return F.when(x.isNotNull(), scaled)
 
-    return _with_fit(df, fit, by, out, formula)
+    return with_fit(df, fit, by).withColumn(out, formula(F.col("_fit"))).drop("_fit")

@@ -63,14 +63,6 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_fit(df: DataFrame, fit: Column, name: str = "_fit", of: DataFrame | None = None) -> DataFrame:
-    """Adds the one-row aggregate ``fit`` of ``of`` (``df`` itself by default) as a column.
-
-    It is one subquery, run once; the rows are neither joined nor shuffled.
-    """
-    return df.withColumn(name, (df if of is None else of).select(fit).scalar())
-
-
 def join_per_key(rows: DataFrame, per_key: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` with a table that has one narrow row per key.
 
@@ -83,6 +75,21 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, on: str, how: str = "inner
     return rows.join(staged(per_key, "per-key"), on, how)
 
 
+def with_fit(
+    df: DataFrame, fit: Column, by: str | None = None, of: DataFrame | None = None, how: str = "left"
+) -> DataFrame:
+    """Adds the aggregate ``fit`` of ``of`` (``df`` itself by default) as column ``_fit``.
+
+    Over the whole table it is one subquery, run once: the rows are neither joined nor shuffled. With
+    ``by`` it is an aggregate per key, joined back; a window would gather the rows of a key in one task.
+    """
+    source = df if of is None else of
+    if by is None:
+        return df.withColumn("_fit", source.select(fit).scalar())
+    fits = source.where(F.col(by).isNotNull()).groupBy(by).agg(fit.alias("_fit"))
+    return join_per_key(df, fits, by, how)
+
+
 def as_dict(df: DataFrame, key: str, value: str, max_rows: int = 100_000) -> dict:
     """A small table as a dictionary on the driver; a table over ``max_rows`` raises."""
     rows = df.where(df[key].isNotNull() & df[value].isNotNull()).select(key, value).take(max_rows + 1)
