@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from checks import models
@@ -10,9 +11,12 @@ from checks.texts import hits_sql
 from tidemark import schemas
 from tidemark.plans import training
 from tidemark.session import new_folder
-from tidemark.sources import files, pages
+from tidemark.sources import files, paged, pages
 from tidemark.streaming import headlines as streaming
 
+# The workers of the checks may run where the package is not installed.
+cloudpickle.register_pickle_by_value(paged)
+
 LATEST_BAR = "2000-06-30"
 
 
@@ -76,6 +80,39 @@ def series_file(spark, sf):
     return day_text(files.read_daily(spark, path, ["Volume"]), "Date")
 
 
+def _event_feed(path: str):
+    """The events table as a feed that hands out pages after a cursor."""
+
+    def fetch(after, until, size):
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+
+        when, last = after
+        key, moment = ds.field("event_id"), ds.field("ts").cast("int64")
+        newer = moment >= when * 1000000
+        if last is not None:
+            newer = (moment >= (when + 1) * 1000000) | (newer & (key > last))
+        rows = ds.dataset(path).to_table(
+            columns={"second": pc.divide(moment, 1000000), "event_id": key},
+            filter=newer & (moment < until * 1000000),
+        )
+        if not rows.num_rows:
+            return []
+        page = rows.take(pc.select_k_unstable(rows, size, [("second", "ascending"), ("event_id", "ascending")]))
+        return [(r["second"], r["event_id"]) for r in page.to_pylist()]
+
+    return paged.paged_source("event_feed", "second bigint, event_id bigint", fetch)
+
+
+def paged_feed(spark, sf):
+    """All events through the paged source, six hours of them per task."""
+    spark.dataSource.register(_event_feed(f"{sf}/events.parquet"))
+    start, end = table(spark, sf, "events").agg(
+        F.unix_seconds(F.min("ts").cast("timestamp")), F.unix_seconds(F.max("ts").cast("timestamp")) + 1
+    ).head()
+    return spark.read.format("event_feed").options(start=start, end=end, slice=6 * 3600, size=500).load()
+
+
 def _stream(spark, sf, *extra):
     """Headlines dropped into a folder, as a stream."""
     path = new_folder(spark, "drop")
@@ -136,7 +173,7 @@ def stream_score(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        json_scan, page_scan, paired_scan, csv_sink, price_files, series_file, stream_prepare,
+        json_scan, page_scan, paired_scan, csv_sink, price_files, series_file, paged_feed, stream_prepare,
         batch_prepare, stream_lexicon_join, stream_page_files, stream_score,
     )
 }
@@ -162,6 +199,7 @@ SQL = {
         WHERE Date <= DATE '{LATEST_BAR}'
     """,
     "series_file": f"SELECT strftime(Date, '%Y-%m-%d') AS Date, sum(Volume) AS Volume FROM ({BARS}) GROUP BY 1",
+    "paged_feed": "SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS second, event_id FROM events",
     "stream_prepare": _PREPARED,
     "batch_prepare": _PREPARED,
     "stream_lexicon_join": f"SELECT id, round(a, 8) + 0.0 AS score FROM ({hits_sql(_ALL_WORDS, WEIGHTS)})",

@@ -227,6 +227,13 @@ def test_density(spark):
     assert len(got) == 81
 
 
+def test_points_on_a_line_have_no_density(spark):
+    df = spark.createDataFrame([("k", float(i), 2.0 * i, 1.0) for i in range(5)], "key string, x double, y double, c double")
+    for y in ("y", "c"):
+        got = relation.kde_grid(df, "x", y, grid=3, by="key").collect()
+        assert len(got) == 9 and all(r["density"] is None for r in got)
+
+
 # Prices
 
 

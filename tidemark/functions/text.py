@@ -31,6 +31,11 @@ def default_stop_words(languages: Iterable[str] = tuple(STOP_LANGUAGES)) -> list
     return sorted(words)
 
 
+def default_profiles(languages: Iterable[str] = tuple(STOP_LANGUAGES)) -> dict[str, list[str]]:
+    """Stop words per language, for telling languages apart; needs a running session."""
+    return {language: sorted(StopWordsRemover.loadDefaultStopWords(language)) for language in languages}
+
+
 def stripped(text: Column) -> Column:
     """Lower-cased text without punctuation and underscores."""
     return F.lower(F.regexp_replace(text, STRIPPED, ""))

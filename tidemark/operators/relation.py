@@ -87,7 +87,8 @@ def kde_grid(
 
     The kernel covariance is the sample covariance times n^(-1/3) (Scott's rule in two dimensions); the
     lattice reaches ``cut`` kernel widths beyond the data. Each task adds its rows into the lattice, so
-    the shuffle carries lattice cells; the work is rows times cells.
+    the shuffle carries lattice cells; the work is rows times cells. Points on one line have no density
+    (null).
     """
     keys = [by] if by else []
     points = df.select(*keys, real(F.col(x)).alias("_x"), real(F.col(y)).alias("_y")).na.drop("any")
@@ -110,16 +111,18 @@ def kde_grid(
 
     gx = place(F.col("i"), fit["x0"], fit["x1"], fit["xx"])
     gy = place(F.col("j"), fit["y0"], fit["y1"], fit["yy"])
-    det = fit["xx"] * fit["yy"] - fit["xy"] * fit["xy"]
+    det = F.greatest(fit["xx"] * fit["yy"] - fit["xy"] * fit["xy"], F.lit(0.0))
     dx, dy = gx - F.col("_x"), gy - F.col("_y")
-    distance = (fit["yy"] * dx * dx - 2 * fit["xy"] * dx * dy + fit["xx"] * dy * dy) / det
+    distance = F.try_divide(fit["yy"] * dx * dx - 2 * fit["xy"] * dx * dy + fit["xx"] * dy * dy, det)
+    # Equal points are evaluated once; a kernel sum costs far more than this shuffle of points.
+    weighted = points.groupBy(*keys, "_x", "_y").agg(F.count(F.lit(1)).alias("_times"))
     cells = (
-        with_fit(points, moments, by, how="inner")
-        .select(*keys, "_x", "_y", "_fit", F.explode(F.sequence(F.lit(0), F.lit(grid * grid - 1))).alias("_cell"))
+        with_fit(weighted, moments, by, of=points, how="inner")
+        .select(*keys, "_x", "_y", "_times", "_fit", F.explode(F.sequence(F.lit(0), F.lit(grid * grid - 1))).alias("_cell"))
         .withColumn("i", F.floor(F.col("_cell") / grid).cast("int"))
         .withColumn("j", (F.col("_cell") % grid).cast("int"))
         .groupBy(*keys, "i", "j")
-        .agg(F.sum(F.exp(-0.5 * distance)).alias("_mass"))
+        .agg(F.sum(F.col("_times") * F.exp(-0.5 * distance)).alias("_mass"))
     )
     return with_fit(cells, moments, by, of=points, how="inner").select(
         *keys,
@@ -127,5 +130,5 @@ def kde_grid(
         "j",
         gx.alias("gx"),
         gy.alias("gy"),
-        (F.col("_mass") / (fit["n"] * 2 * F.pi() * F.sqrt(det))).alias("density"),
+        F.try_divide("_mass", fit["n"] * 2 * F.pi() * F.sqrt(det)).alias("density"),
     )
