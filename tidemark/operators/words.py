@@ -26,7 +26,7 @@ def word_counts(
     df: DataFrame, group: str, text: str, stop_words: Sequence[str] = PICTURE_STOP_WORDS
 ) -> DataFrame:
     """How often each word occurs in the group's distinct texts: ``group, word, n``."""
-    words = distinct_titles(df, group, text).select(group, F.explode(F.split(text, " ")).alias("word"))
+    words = distinct_titles(df, group, text).select(group, F.explode_outer(F.split(text, " ")).alias("word"))
     kept = words.where((F.col("word") != "") & ~F.col("word").isin(sorted(set(stop_words))))
     return kept.groupBy(group, "word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -73,7 +73,8 @@ def idf_table(df: DataFrame, words: str, min_df: int = 0) -> DataFrame:
     """
     total = df.select(F.count(F.lit(1))).scalar()
     freq = (
-        df.select(F.explode(F.array_distinct(words)).alias("word"))
+        df.select(F.explode_outer(F.array_distinct(words)).alias("word"))
+        .where(F.col("word").isNotNull())
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("doc_freq"))
     )
