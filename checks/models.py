@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Tokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.tables import PROFILES, STOPS, VALENCES, WEIGHTS, headlines, table
@@ -38,6 +40,21 @@ def cleaned_rows(spark, sf):
     return cleaned.select("id", "title_clean", "score", "num_comments", "polarity", "subjectivity")
 
 
+def tokenizer_words(spark, sf):
+    """The tokens the model sees."""
+    [tokenizer] = [s for s in training.build_pipeline().getStages() if isinstance(s, Tokenizer)]
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("title_clean"))
+    return tokenizer.transform(docs).select("doc_id", F.array_join("words", "|").alias("words"))
+
+
+def hashed_terms(spark, sf):
+    """Hashed term counts add up to the tokens of a document."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("title_clean"))
+    tokenizer, _, hashing = training.build_pipeline().getStages()[:3]
+    slots = hashing.transform(tokenizer.transform(docs)).select("doc_id", F.explode(vector_to_array("word_counts")).alias("n"))
+    return slots.groupBy("doc_id").agg(F.sum("n").cast("bigint").alias("terms"))
+
+
 def train_predict(spark, sf):
     trained = training.train(cleaned_rows(spark, sf), "id")
     return trained.predictions.select("id", "label", "prediction")
@@ -48,12 +65,24 @@ def train_metrics(spark, sf):
 
 
 QUERIES = {
-    f.__name__: f for f in (split_rows, confusion_counts, confusion_metrics, train_predict, train_metrics)
-}
+    f.__name__: f
+    for f in (
+        split_rows, confusion_counts, confusion_metrics, tokenizer_words, hashed_terms, train_predict,
+        train_metrics,
+    )
+}
 
 _JUDGED = "SELECT CAST(quality AS DOUBLE) AS label, CAST(toxic AS DOUBLE) AS prediction FROM labels"
 
+# The tokenizer splits at each white space character and drops empty tokens at the end.
+_MODEL_WORDS = r"""
+    SELECT doc_id, regexp_split_to_array(regexp_replace(lower(text), '[ \t\n\v\f\r]+$', ''), '[ \t\n\v\f\r]') AS words
+    FROM documents
+"""
+
 SQL = {
+    "tokenizer_words": f"SELECT doc_id, array_to_string(words, '|') AS words FROM ({_MODEL_WORDS})",
+    "hashed_terms": f"SELECT doc_id, len(words) AS terms FROM ({_MODEL_WORDS})",
     "split_rows": """
         SELECT doc_id, CASE WHEN CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 4 = 0
                             THEN 'validation' ELSE 'training' END AS side

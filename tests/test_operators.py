@@ -102,6 +102,36 @@ def test_scaled_columns(spark, values):
     assert got.m.min() == 0 and got.m.max() == 1
 
 
+def test_min_max_is_that_of_the_library_scaler(spark):
+    from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    df = series_frame(spark, np.random.default_rng(4).normal(size=30))
+    vectors = VectorAssembler(inputCols=["x"], outputCol="v").transform(scaling.min_max(df, "x", "own"))
+    both = MinMaxScaler(inputCol="v", outputCol="s").fit(vectors).transform(vectors)
+    got = both.select("own", vector_to_array("s")[0].alias("library")).toPandas()
+    np.testing.assert_allclose(got.own, got.library)
+
+
+def test_a_key_with_most_rows(spark):
+    """One day and one key hold most rows; every form gives the plain answer."""
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("g"),
+        (F.col("id") % 900).cast("double").alias("s"),
+        "id",
+    )
+    kept = topk.keep_top_distinct(df, "g", "s", 10)
+    plain = df.toPandas()
+    best = set(sorted(plain[plain.g == "hot"].s.unique())[-10:])
+    want = plain[(plain.g != "hot") | plain.s.isin(best)]
+    assert sorted(r["id"] for r in kept.collect()) == sorted(want.id)
+    means = topk.top_distinct_mean(df, "g", "s", "id", "m", 10)
+    hot = means.where("g = 'hot'").head()["m"]
+    assert hot == pytest.approx(want[want.g == "hot"].id.mean()) and means.count() == 2001
+    spread = kept.select(F.spark_partition_id().alias("p")).where("g = 'hot'").groupBy("p").count()
+    assert spread.count() > 1  # the rows of the key stay where they were read
+
+
 # Series
 
 
@@ -281,6 +311,17 @@ def test_idf(spark):
     assert got == {"a": (2, pytest.approx(np.log(4 / 3))), "b": (1, 0.0), "c": (1, 0.0)}
 
 
+def test_idf_is_that_of_the_library(spark):
+    from pyspark.ml.feature import IDF, CountVectorizer
+
+    docs = [(["a", "b", "a"],), (["b", "c"],), (["b"],), (["d", "a"],)]
+    df = spark.createDataFrame(docs, "w array<string>")
+    vectors = CountVectorizer(inputCol="w", outputCol="v").fit(df)
+    weights = IDF(inputCol="v", outputCol="i", minDocFreq=2).fit(vectors.transform(df)).idf
+    got = {r["word"]: r["idf"] for r in words.idf_table(df, "w", 2).collect()}
+    assert got == pytest.approx(dict(zip(vectors.vocabulary, weights.toArray())))
+
+
 # Lexicons as tables
 
 
