@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from checks import models
 from checks.tables import BARS, HEADLINES, STOPS, WEIGHTS, bars, day_text, headlines, kept_sql, rounded, table, tokens_sql
@@ -117,9 +117,7 @@ def _stream(spark, sf, *extra):
     """Headlines dropped into a folder, as a stream."""
     path = new_folder(spark, "drop")
     files.write_table(_raw(spark, sf).select("title", "score", "num_comments", *extra), path, "json")
-    schema = schemas.STREAM_HEADLINE
-    for name in extra:
-        schema = type(schema)(schema.fields).add(name, "string")
+    schema = T.StructType([*schemas.STREAM_HEADLINE, *[T.StructField(name, T.StringType()) for name in extra]])
     return files.stream_headlines(spark, path, schema, max_files=2)
 
 

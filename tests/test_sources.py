@@ -42,13 +42,16 @@ def test_cleaned_dates_may_carry_a_time(spark, tmp_path):
 
 
 def test_prices_by_symbol_file(spark, tmp_path):
-    (tmp_path / "NKE.csv").write_text("Date,High,Open,Volume\n2004-12-31,9,1,5\n2005-01-03,9,2,6\n2006-01-03,9,3,\n")
+    (tmp_path / "NKE.csv").write_text("Date,High,Open,Volume\n2004-12-31,9,1,5\n2005-01-03,9,2,6\n2006-01-03,9,3,null\n")
     (tmp_path / "XOM.csv").write_text("Date,High,Open,Volume\n2005-01-03,9,4,8.0\n")
     got = files.read_prices(spark, str(tmp_path), symbol_from_path=True)
     assert sorted((r["Company"], str(r["Date"]), r["Open"], r["Volume"]) for r in got.collect()) == [
         ("NKE", "2005-01-03", 2.0, 6.0), ("NKE", "2006-01-03", 3.0, None), ("XOM", "2005-01-03", 4.0, 8.0),
     ]
     assert [f.name for f in got.schema] == schemas.PRICE_BAR.names
+    (tmp_path / "odd.csv").write_text("Date,Open,High,Volume\n2005-01-03,4,9,8.0\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_prices(spark, [str(tmp_path / "NKE.csv"), str(tmp_path / "odd.csv")], symbol_from_path=True).collect()
     until = files.read_prices(spark, [str(tmp_path / "NKE.csv")], None, dt.date(2005, 1, 3), symbol_from_path=True)
     assert until.count() == 2
 
@@ -152,6 +155,14 @@ def test_stream_equals_batch_and_survives_missing_titles(spark, tmp_path):
     assert sorted(r["title_clean"] for r in got.collect()) == ["", "bad all ofall", "good day", "late but good"]
 
 
+def test_console_sink(spark, tmp_path):
+    drop(tmp_path / "in", "1.json", [{"title": "a"}])
+    rows = files.stream_headlines(spark, str(tmp_path / "in")).select("title")
+    query = streaming.start(rows, str(tmp_path / "c"), available_now=True)
+    query.awaitTermination()
+    assert query.exception() is None
+
+
 def test_memory_sink(spark, tmp_path):
     drop(tmp_path / "in", "1.json", [{"title": "a"}, {"title": "b"}])
     rows = files.stream_headlines(spark, str(tmp_path / "in")).select("title")

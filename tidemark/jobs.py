@@ -83,7 +83,7 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     """Classify headlines as they are dropped into a folder."""
     sink = {"sink": args.sink, "path": args.out} if args.out else {"sink": args.sink}
-    streaming.score_stream(
+    query = streaming.score_stream(
         files.stream_headlines(spark, args.drop),
         training.load_model(args.model),
         args.checkpoint,
@@ -93,6 +93,7 @@ def score(spark: SparkSession, args: argparse.Namespace) -> None:
         available_now=args.available_now,
         **sink,
     )
+    query.stop()
 
 
 def _bars(spark: SparkSession, args: argparse.Namespace) -> DataFrame:

@@ -9,11 +9,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.session import staged
 
-# Where a read starts by default (1 January 2008 in epoch seconds), its page size and
-# its channel.
+# Where a read starts by default (1 January 2008 in epoch seconds) and its page size.
 DEFAULT_START = 1199174400
 DEFAULT_PAGE = 500
-DEFAULT_CHANNEL = "worldnews"
 
 
 def keyset_page(

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.numbers import real
 from tidemark.operators.rows import split_pair
 from tidemark.schemas import CLEAN_HEADLINE, PAIRED_HEADLINE, RAW_HEADLINE, STREAM_HEADLINE
 
@@ -51,6 +52,10 @@ def stream_headlines(
     return reader.json(path)
 
 
+def _with_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.option("header", True).option("enforceSchema", False).csv(paths)
+
+
 def read_prices(
     spark: SparkSession,
     paths: str | list[str],
@@ -60,15 +65,18 @@ def read_prices(
 ) -> DataFrame:
     """Price bars from CSV files with a header, columns taken by name.
 
+    All files must have the same header; a file that differs raises. Numbers that cannot be read, such as
+    "null", are missing values; a date that cannot be read raises.
+
     With ``symbol_from_path`` the company is the file's name without its ending, for files that hold one
     symbol each.
     """
-    raw = spark.read.option("header", True).csv(paths)
+    raw = _with_header(spark, paths)
     company = F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv(?:\.gz)?$", 1)
     bars = raw.select(
         F.col("Date").cast("date").alias("Date"),
-        F.col("Open").cast("double").alias("Open"),
-        F.col("Volume").cast("double").alias("Volume"),
+        real(F.col("Open").try_cast("double")).alias("Open"),
+        real(F.col("Volume").try_cast("double")).alias("Volume"),
         (company if symbol_from_path else F.col("Company")).alias("Company"),
     )
     if start is not None:
@@ -78,9 +86,9 @@ def read_prices(
 
 def read_daily(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
     """A daily series from CSV files with a header: the date in the first column, then numbers."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = _with_header(spark, path)
     day = raw.columns[0]
-    return raw.select(F.col(day).cast("date").alias("Date"), *[F.col(c).cast("double").alias(c) for c in columns])
+    return raw.select(F.col(day).cast("date").alias("Date"), *[real(F.col(c).try_cast("double")).alias(c) for c in columns])
 
 
 def write_table(
