@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numbers import pearson, real
 from tidemark.session import join_per_key, with_fit
@@ -41,36 +41,42 @@ def histogram(
     """Counts in equal bins from the smallest to the largest value: ``bin, lo, hi, n``; the last bin is
     closed and empty bins are listed. With ``by``, one histogram per key.
 
-    A value's bin is the number of inner edges at or below it, which puts values on an edge where they
-    belong. A constant column is given a range of one around its value.
+    A bin's count is the number of values at or above its lower edge less those at or above its upper
+    edge, so that values on an edge fall where they belong. These counts are added up in each task: one row
+    per task and key is shuffled. A constant column is given a range of one around its value.
     """
     keys = [by] if by else []
     values = df.select(*keys, real(F.col(col)).alias("_x")).where(F.col("_x").isNotNull())
     values = values.where(F.col(by).isNotNull()) if by else values
-    low, high, fit = F.min("_x"), F.max("_x"), F.col("_fit")
-    spread = F.struct(
-        F.when(low == high, low - 0.5).otherwise(low).alias("lo"),
-        F.when(low == high, high + 0.5).otherwise(high).alias("hi"),
+    spread = F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    flat = F.col("_fit.lo") == F.col("_fit.hi")
+    ranged = with_fit(values, spread, by, how="inner").select(
+        *keys,
+        "_x",
+        F.when(flat, F.col("_fit.lo") - 0.5).otherwise(F.col("_fit.lo")).alias("_lo"),
+        F.when(flat, F.col("_fit.hi") + 0.5).otherwise(F.col("_fit.hi")).alias("_hi"),
     )
 
-    def edge(i):
-        return i * ((fit["hi"] - fit["lo"]) / bins) + fit["lo"]
+    def edge(i: int) -> Column:
+        return i * ((F.col("_hi") - F.col("_lo")) / bins) + F.col("_lo")
 
-    place = sum(((F.col("_x") >= edge(F.lit(i))).cast("int") for i in range(1, bins)), F.lit(0))
-    counts = (
-        with_fit(values, spread, by, how="inner")
-        .groupBy(*keys, place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    every = values.groupBy(*keys).agg(spread.alias("_fit")).select(
-        *keys, "_fit", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    at_least = [F.count(F.lit(1)), *[F.count_if(F.col("_x") >= edge(i)) for i in range(1, bins)]]
+    counted = ranged.groupBy(*keys).agg(
+        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.array(*at_least).alias("_n")
     )
-    return every.join(counts, [*keys, "bin"], "left").select(
-        *keys,
-        "bin",
-        edge(F.col("bin")).alias("lo"),
-        F.when(F.col("bin") == bins - 1, fit["hi"]).otherwise(edge(F.col("bin") + 1)).alias("hi"),
-        F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
+
+    def entry(i: int) -> Column:
+        last = i == bins - 1
+        above = F.lit(0) if last else F.col("_n")[i + 1]
+        return F.struct(
+            F.lit(i).alias("bin"),
+            edge(i).alias("lo"),
+            (F.col("_hi") if last else edge(i + 1)).alias("hi"),
+            (F.col("_n")[i] - above).alias("n"),
+        )
+
+    return counted.where(F.col("_n")[0] > 0).select(
+        *keys, F.inline(F.array(*[entry(i) for i in range(bins)]))
     )
 
 
