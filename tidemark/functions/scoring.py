@@ -18,6 +18,15 @@ NEUTRAL_BAND = 0.05
 MAP_SIZE = 8
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    Catalyst copies a computed column into every use of it when it pushes a filter down; a lambda variable
+    is not copied.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def compound(total: Column) -> Column:
     """Sum of valences squeezed into [-1, 1]."""
     return total / F.sqrt(total * total + F.lit(COMPOUND_ALPHA))
@@ -42,7 +51,13 @@ def known_values(words: Column, table: Mapping[str, float]) -> Column:
     values = F.array(
         *[F.map_from_arrays(_strings(list(m)), _doubles(list(m.values()))) for m in maps]
     )
-    return F.transform(F.filter(words, lambda w: w.isin(keys)), lookup)
+    return F.transform(only_words(words, keys), lookup)
+
+
+def only_words(words: Column, known: Iterable[str]) -> Column:
+    """The tokens that are in ``known``, in order."""
+    keys = sorted(set(known))
+    return F.filter(words, lambda w: w.isin(keys))
 
 
 def _strings(values: list[str]) -> Column:
@@ -59,15 +74,15 @@ def array_sum(values: Column) -> Column:
 
 def polarity(words: Column, valences: Mapping[str, float]) -> Column:
     """Compound polarity in [-1, 1]; 0 when no token is known."""
-    return compound(array_sum(known_values(words, valences)))
+    return bound(array_sum(known_values(words, valences)), compound)
 
 
 def subjectivity(words: Column, weights: Mapping[str, float]) -> Column:
     """Mean weight of the known tokens; 0 when there is none."""
-    values = known_values(words, weights)
-    return F.when(
-        words.isNotNull(), F.coalesce(F.try_divide(array_sum(values), F.size(values)), F.lit(0.0))
-    )
+    def mean(values: Column) -> Column:
+        return F.coalesce(F.try_divide(array_sum(values), F.size(values)), F.lit(0.0))
+
+    return F.when(words.isNotNull(), bound(known_values(words, weights), mean))
 
 
 def polarity_label(score: Column, band: float = NEUTRAL_BAND) -> Column:
@@ -82,27 +97,13 @@ def polarity_label(score: Column, band: float = NEUTRAL_BAND) -> Column:
     )
 
 
-def _known_count(words: Column, known: Iterable[str]) -> Column:
-    keys = sorted(set(known))
-    return F.size(F.filter(words, lambda w: w.isin(keys)))
-
-
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once.
-
-    Catalyst copies a computed column into every use of it when it pushes a filter down; a lambda variable
-    is not copied.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def likely_language(words: Column, profiles: Mapping[str, Iterable[str]]) -> Column:
     """Language with the most stop words among the tokens, first by name on a tie, null without any."""
 
     def vote(tokens: Column) -> Column:
         votes = [
             F.struct(
-                _known_count(tokens, profiles[lang]).alias("hits"),
+                F.size(only_words(tokens, profiles[lang])).alias("hits"),
                 F.lit(-place).alias("place"),
                 F.lit(lang).alias("lang"),
             )
@@ -110,4 +111,5 @@ def likely_language(words: Column, profiles: Mapping[str, Iterable[str]]) -> Col
         ]
         return F.array_max(F.array(*votes))
 
-    return bound(bound(words, vote), lambda best: F.when(best["hits"] > 0, best["lang"]))
+    telling = only_words(words, {w for lang in profiles for w in profiles[lang]})
+    return bound(bound(telling, vote), lambda best: F.when(best["hits"] > 0, best["lang"]))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import scoring, text as tx
 from tidemark.functions.dates import epoch_to_iso
-from tidemark.operators.rows import require_non_empty, require_non_null
+from tidemark.operators.rows import computed, require_non_empty, require_non_null
 from tidemark.operators.scaling import group_mean, min_max
 from tidemark.operators.topk import TOP_SCORES, keep_top_distinct, top_distinct_mean
 from tidemark.schemas import REQUIRED_RAW_FIELDS
@@ -32,20 +32,20 @@ def clean_headlines(
     words = F.col("_words")
 
     def read(tokens: Column) -> Column:
-        return F.struct(
-            scoring.likely_language(tokens, profiles).alias("_language"),
-            tx.without_words(tokens, stop_words).alias("_words"),
-        )
+        spoken = scoring.likely_language(tokens, profiles).alias("_language")
+        return F.struct(spoken, tokens.alias("_words"))
 
     # Filters are not pushed below a generator, so the text is split once and not again in each filter.
     complete = require_non_null(raw, REQUIRED_RAW_FIELDS)
-    spoken = (
-        complete.select("*", F.inline(F.transform(F.array(tx.tokens(F.col("title"))), read)))
-        .where(F.col("_language") == language)
-        .withColumn("title_clean", tx.rejoined(words))
+    spoken = complete.select("*", F.inline(F.transform(F.array(tx.tokens(F.col("title"))), read))).where(
+        F.col("_language") == language
     )
+    kept = computed(spoken, tx.without_words(words, stop_words), "_words")
+    titled = computed(kept, tx.rejoined(words), "title_clean")
+    hits = scoring.only_words(words, [*valences, *weights])
     return (
-        require_non_empty(spoken, "title_clean", ["url", "domain"])
+        require_non_empty(titled, "title_clean", ["url", "domain"])
+        .withColumn("_words", hits)
         .withColumns(
             {
                 "created_utc_iso": epoch_to_iso(F.col("created_utc")),
