@@ -13,7 +13,7 @@ def db():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(compare.catalog.QUERIES))
 def test_query_gives_the_rows_of_its_sql(spark, db, name):
     assert compare.difference(spark, db, name, SF) is None
 
