@@ -6,7 +6,7 @@ by chance, and what may be similar enough is confirmed on the full sets. Documen
 
 A bucket's members are not paired with each other. First each is compared with the bucket's smallest and
 largest node. Then only members that are still in different components are compared, block by block inside
-tasks, and those that may be similar are confirmed.
+tasks, on their full sets.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.common import rows_of
 from tidemark.llm.links import components
 from tidemark.llm.shingles import (
     EMPTY,
@@ -32,9 +32,7 @@ from tidemark.llm.shingles import (
 )
 from tidemark.session import staged
 
-import xxhash  # isort: skip
-
-BLOCK = 2000  # members of one bucket that a task compares at once
+BLOCK = 1000  # members of one bucket that a task compares with as many others
 
 
 def sketches(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,11 +123,12 @@ def _star(members: DataFrame) -> DataFrame:
     return members.select(ends.alias("p")).select("p.*").where("a <> b").distinct()
 
 
-def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components whose sketches allow the similarity.
+def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between members of a bucket that are still in different components, confirmed on the full sets.
 
     The component with the most members in a bucket is only compared with the others. Members are dealt to
-    blocks, and a task compares two blocks; a bucket whose members are all in one component has none.
+    blocks, and a task compares two blocks; a bucket whose members are all in one component has none. What a
+    task gives back are links that join components, fewer than it has members.
     """
     placed = members.where("n > 3").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     sizes = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("size"))
@@ -143,27 +142,51 @@ def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: in
     own = F.when(small, 0).when(minor, F.pmod(hashed, F.col("minor_blocks"))).otherwise(F.col("minor_blocks") + F.pmod(hashed, F.col("major_blocks"))).cast("int")
     last = F.when(small, 0).when(minor, F.col("minor_blocks") + F.col("major_blocks") - 1).otherwise(F.col("minor_blocks") - 1).cast("int")
     other = F.explode(F.sequence(F.lit(0), "last"))
-    dealt = dealt.select("band", "node", "label", own.alias("own"), last.alias("last")).select("band", "node", "label", "own", other.alias("other"))
-    dealt = dealt.join(nodes.select("node", "n", "sketch"), "node").select("band", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "label", "n", "sketch")
+    dealt = dealt.select("band", "node", "label", minor.alias("minor"), own.alias("own"), last.alias("last"))
+    dealt = dealt.select("band", "node", "label", "minor", "own", other.alias("other")).join(texts, "node")
+    dealt = dealt.select("band", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "label", "minor", "text")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint16).reshape(-1, REGISTERS)
-        node, label, n, own = (group[c].to_numpy() for c in ("node", "label", "n", "own"))
+        group = group.sort_values("node", ignore_index=True)
         one, two = group["one"].iat[0], group["two"].iat[0]
-        right, found = np.flatnonzero(own == two), []
-        for k, i in enumerate(np.flatnonzero(own == one)):
-            to = right[k + 1 :] if one == two else right
-            low, high = np.minimum(n[to], n[i]), np.maximum(n[to], n[i])
-            to = to[(label[to] != label[i]) & (100 * low >= percent * high)]
-            if len(to):
-                there = ((sketch[to] != EMPTY) | (sketch[i] != EMPTY)).sum(axis=1)
-                to = to[estimates(sketch[i], sketch[to]) >= lowest_estimate(percent / 100, there)]
-                found.append(np.stack([np.minimum(node[to], node[i]), np.maximum(node[to], node[i])], axis=1))
-        return pd.DataFrame(np.concatenate(found) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
+        sets = [shingle_set(t, width) for t in group["text"]]
+        left = np.flatnonzero((group["own"] == one) & group["minor"])
+        right = np.flatnonzero(group["own"] == two)
+        found = joining_links(sets, group["label"].to_numpy().copy(), left, right, percent)
+        node = group["node"].to_numpy()
+        return pd.DataFrame([(node[i], node[j]) for i, j in found], columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("band", "one", "two").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
+def joining_links(sets: list[np.ndarray], labels: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links of ``left`` with ``right`` members that join different labels; joined labels become one as they are found.
+
+    The right sets are turned into lists of members by hash, so one pass over a left set's hashes counts what it
+    shares with every right member.
+    """
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(right)), sizes[right])
+    order = np.argsort(every := np.concatenate([sets[j] for j in right] or [np.empty(0, np.uint64)]), kind="stable")
+    owner, (hashes, starts) = owner[order], np.unique(every[order], return_index=True)
+    starts = np.append(starts, len(every))
+    found = []
+    for i in left:
+        if not len(hashes) or (labels[right] == labels[i]).all():
+            continue
+        at = np.searchsorted(hashes, sets[i])
+        at = at[(at < len(hashes)) & (hashes[np.minimum(at, len(hashes) - 1)] == sets[i])]
+        counts = starts[at + 1] - starts[at]
+        places = np.repeat(starts[at] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        both = np.bincount(owner[places], minlength=len(right))
+        near = right[100 * both >= percent * (sizes[right] + sizes[i] - both)]
+        for j in near:
+            if labels[j] != labels[i]:
+                found.append((i, j))
+                labels[labels == labels[j]] = labels[i]
+    return found
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, text_hash, n_shingles, component_id, kept``, one row per row of ``docs``.
 
@@ -188,11 +211,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     members = staged(banded.join(buckets.where("n > 1"), "band"), "members")
 
     texts = staged(_texts(docs, members.select("node").distinct().join(nodes, "node"), key, text), "texts")
-    stars = staged(_likely(_star(members), nodes, percent), "pairs")
+    stars = _likely(_star(members), nodes, percent)
     near = staged(_confirmed(stars, texts, width, percent), "links")
     labels = components(near)
-    across = _across(members, labels, nodes, percent).join(stars, ["a", "b"], "left_anti")
-    more = staged(_confirmed(across, texts, width, percent), "links")
+    more = staged(_across(members, labels, texts, width, percent), "links")
     labels = components(near.union(more))
 
     lows = labels.join(nodes.select("node", "low_id"), "node").groupBy("label").agg(F.min("low_id").alias("least"))
