@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from tidemark.llm import links, mixing, near, packing, queries, rules, sharding, shingles, spans, toxicity, urls, warc, winnow
@@ -174,7 +175,7 @@ def test_repeated_rows_are_dealt_their_copies(spark):
 def test_packed_pieces_are_the_documents(spark, docs):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(queries.tokenizer_file())
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = queries.op4_packing(spark, SF).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -203,8 +204,8 @@ def test_packed_pieces_are_the_documents(spark, docs):
 def test_ids_of_cut_texts_are_those_of_the_whole(text):
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(queries.tokenizer_file()).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(packing.Ids(queries.tokenizer_file()).of(text), "<u4").tolist() == whole
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.Ids(*queries.tokenizer()).of(text), "<u4").tolist() == whole
 
 
 def test_sum_of_squares_places_a_piece_at_the_best_level():

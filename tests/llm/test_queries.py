@@ -54,7 +54,7 @@ def operators(spark):
     return {
         "near": lambda d: near.near_duplicates(d, 3, 85),
         "mixing": mixing.mix,
-        "packing": lambda d: packing.pack(d, queries.tokenizer_file()),
+        "packing": lambda d: packing.pack(d, *queries.tokenizer()),
         "rules": rules.ledger,
         "toxicity": lambda d: toxicity.score(d, toxicity.fit(d, labels)),
         "shards": lambda d: sharding.with_shard(d, ("x", "y", "z"), slots=101),

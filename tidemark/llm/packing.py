@@ -7,7 +7,9 @@ smallest. Only counts per level and the open windows are kept, and there are at
 
 from __future__ import annotations
 
+import base64
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -26,33 +28,31 @@ PAIRED_SPACE = re.compile(r"\s\s")
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
-class Ids:
+class Ids(dict):
     """Token ids of texts, as little-endian 32-bit numbers.
 
     The tokenizer's own cuts include every single space between two other characters: the space begins the next
     piece. So texts are cut there, and the ids of each distinct piece are asked for once.
     """
 
-    def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
+    def __init__(self, tokenizer_file: str, pattern: str):
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        with open(tokenizer_file, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        # Names of special tokens in a text are ordinary text.
+        self.encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= WORDS:
+            self.clear()
+        ids = self.encode(piece)
+        found = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
 
     def of(self, text: str) -> bytes:
         parts = LONE_SPACE.split(text) if PAIRED_SPACE.search(text) else text.split(" ")
-        pieces = parts[:1]
-        pieces += [" " + p for p in parts[1:]]
-        known = self.known
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > WORDS:
-                known.clear()
-                new = list(dict.fromkeys(pieces))
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[piece] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        return b"".join(map(self.__getitem__, [parts[0], *[" " + p for p in parts[1:]]]))
 
 
 class Levels:
@@ -151,15 +151,15 @@ def packed_windows(docs: Iterable[tuple], length: int, most_open: int) -> Iterat
 
 
 def pack(
-    docs: DataFrame, tokenizer_file: str, length: int = LENGTH, end: int = 0, most_open: int = OPEN, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGTH, end: int = 0, most_open: int = OPEN, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``, one row per piece.
 
     A document is its text's ids and then ``end``; a null text is empty, so every row has a piece. Each id is in
     exactly one piece. A sequence has at most ``length`` ids; one whose length is not a power of two would be padded
     to ``length``, but the windows left open at a task's end are cut and joined, so there is none. Rows that repeat
-    an id are packed each. Other columns are not read. ``tokenizer_file`` must be readable on every executor;
-    ``sequence_id`` has the task's number in its upper bits.
+    an id are packed each. Other columns are not read. ``tokenizer_file`` has a byte-level vocabulary as ranks, ``pattern``
+    cuts texts for it, and every executor must be able to read the file; ``sequence_id`` has the task's number in its upper bits.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType)])
@@ -168,7 +168,7 @@ def pack(
     stop = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, first = Ids(tokenizer_file), TaskContext.get().partitionId() << 33
+        ids, first = Ids(tokenizer_file, pattern), TaskContext.get().partitionId() << 33
         fields = None
 
         def documents(batches):

@@ -34,7 +34,7 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack(table(spark, sf, "documents"), tokenizer_file())
+    return packing.pack(table(spark, sf, "documents"), *tokenizer())
 
 
 def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,10 +71,11 @@ def op10_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
 
 
-def tokenizer_file() -> str:
+def tokenizer() -> tuple[str, str]:
+    """The 50k byte-level vocabulary as ranks, and its pattern; the tests compare its ids with those of ``tokenizers``."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 QUERIES = {
