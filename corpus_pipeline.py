@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, queries.tokenizer_file())
+    return packing.pack(docs, *queries.tokenizer())
 
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
