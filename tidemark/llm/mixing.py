@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tidemark.llm.common import word_count
 from tidemark.session import staged
 
-BLOCK = 20_000  # documents that a task rounds against each other
+BLOCK = 1_000  # documents that a task rounds against each other
 FAN_IN = 64  # blocks whose last fractions the next round combines
 
 
