@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import WORD, rows_of
 from tidemark.llm.shingles import STEP, mixed
+from tidemark.session import staged
 
 SPAN_SENTENCES, SPAN_WORDS = 2, 20  # a run has at least so many
 LONGEST = 25  # a longer sentence counts as several, each of so many words
@@ -120,7 +121,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(ids).astype(np.int64))], names=["_span", "_id"])
 
-    spans = rows.mapInArrow(hashed, "_span bigint, _id bigint")
+    spans = staged(rows.mapInArrow(hashed, "_span bigint, _id bigint"), "spans")
     firsts = spans.groupBy("_span").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first < _last")
     gone = spans.join(firsts.select("_span", "_first"), "_span").where("_id > _first")
     gone = gone.groupBy("_id").agg(F.collect_set("_span").alias("_gone"))  # a document's own runs
