@@ -57,11 +57,11 @@ def url_filter(rule_list: tuple[urls.Rule, ...]) -> str:
         SELECT c.pair, {smoothed("allow", "lasts", "allow_0")} AS allow_1, {smoothed("block", "lasts", "block_0")} AS block_1
         FROM pairs c JOIN lasts USING (last) JOIN zero USING (symbol)
     ), deltas AS (
-        SELECT c.cell, round(ln({smoothed("allow", "contexts", "allow_1")}) - ln({smoothed("block", "contexts", "block_1")}), 4) AS d
+        SELECT c.cell, CAST(round_even((ln({smoothed("allow", "contexts", "allow_1")}) - ln({smoothed("block", "contexts", "block_1")})) * {urls.UNIT}, 0) AS INT) AS d
         FROM every c JOIN contexts USING (context) JOIN one USING (pair)
     ), sums AS (SELECT nr, sum(d) AS total FROM grams JOIN deltas USING (cell) GROUP BY 1),
     scored AS (
-        SELECT ruled.*, CAST(floor(least(greatest(coalesce(total, 0) / greatest(length(url), 1), -{urls.LIMIT}), {urls.LIMIT}) * {urls.STEPS}) AS INT) AS step
+        SELECT ruled.*, CAST(floor(least(greatest(coalesce(total, 0) / {urls.UNIT} / greatest(length(url), 1), -{urls.LIMIT}), {urls.LIMIT}) * {urls.STEPS}) AS INT) AS step
         FROM ruled LEFT JOIN sums USING (nr)
     ), steps AS (
         SELECT step, count(*) FILTER (ruled = 'allow') AS allow, count(*) FILTER (ruled = 'block') AS block FROM scored WHERE ruled IS NOT NULL GROUP BY 1

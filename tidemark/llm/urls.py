@@ -22,6 +22,7 @@ SIZE = len(SYMBOLS) + 2  # 0 is any other character; the last code stands before
 START = SIZE - 1
 CELLS = SIZE**3
 MIN_CONTEXT = 8
+UNIT = 100  # log-probabilities are kept in steps of 1/UNIT
 # Scores are compared in steps of 1/STEPS, within +-LIMIT.
 STEPS, LIMIT = 100, 20
 
@@ -73,7 +74,8 @@ def trigrams(url: Column) -> Column:
 
 
 def model(labelled: DataFrame, url: str = "url", label: str = "ruled") -> DataFrame:
-    """One row, ``deltas``: for each cell, the log-probability under allowed urls minus that under blocked ones, to 4 places.
+    """One row, ``deltas``: for each cell, the log-probability under allowed urls minus that under blocked ones,
+    in whole steps of 1/UNIT.
 
     All labelled urls are counted; equal cells are summed in each task before the shuffle. The table has
     ``CELLS`` entries whatever the input. A kind without urls predicts all characters alike.
@@ -117,14 +119,14 @@ def model(labelled: DataFrame, url: str = "url", label: str = "ruled") -> DataFr
     two = full.join(totals(full, "context"), "context").join(one, "pair")
     deltas = two.select("cell", (F.ln(smoothed("allow", "allow_1")) - F.ln(smoothed("block", "block_1"))).alias("d"))
     ordered = F.array_sort(F.collect_list(F.struct("cell", "d")))
-    return deltas.agg(F.transform(ordered, lambda x: F.round(x["d"], 4).cast("string")).alias("deltas"))
+    return deltas.agg(F.transform(ordered, lambda x: F.rint(x["d"] * UNIT).cast("int")).alias("deltas"))
 
 
 def with_score(pages: DataFrame, fitted: DataFrame, url: str = "url") -> DataFrame:
     """Adds ``score``; an empty or null url scores 0."""
     # CELLS numbers, whatever the input: one literal, folded to an array when the query is planned.
-    deltas = F.split(F.lit(fitted.select(F.array_join("deltas", ",")).head()[0]), ",").cast("array<double>")
-    total = F.aggregate(trigrams(F.col(url)), F.lit(0.0), lambda s, c: s + F.get(deltas, c))
+    deltas = F.split(F.lit(fitted.select(F.array_join("deltas", ",")).head()[0]), ",").cast("array<int>")
+    total = F.aggregate(trigrams(F.col(url)), F.lit(0).cast("bigint"), lambda s, c: s + F.get(deltas, c)) / UNIT
     return pages.withColumn("score", total / F.greatest(F.length(F.coalesce(url, F.lit(""))), F.lit(1)))
 
 

@@ -186,7 +186,6 @@ def write_bundles(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
         if bundle is not None:
             bundle.close()
 
-    root, files = folder, None
     files, root = pafs.FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
     return staged(rows.mapInArrow(run, schema), "warc-index")
@@ -199,7 +198,8 @@ def read_bundles(index: DataFrame) -> DataFrame:
     that its header states.
     """
     id_type = index.schema["page_id"].dataType
-    bundles = index.select("bundle").distinct()
+    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # as few rows, they would meet in one task
+    bundles = index.select("bundle").distinct().repartition(parts, "bundle")
     schema = T.StructType([T.StructField("page_id", T.StringType())]).add("payload_bytes", "long")
     schema = schema.add("payload_digest", "string").add("record_type", "string").add("refers_to", "string")
 
