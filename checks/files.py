@@ -68,7 +68,7 @@ def price_files(spark, sf):
     """Price bars as CSV, one folder per company, read for a range of days."""
     path = new_folder(spark, "bars")
     files.write_table(bars(spark, sf), path, "csv", header=True, partition_by=["Company"])
-    read = files.read_prices(spark, path, None, F.lit(LATEST_BAR).cast("date"))
+    read = files.read_prices(spark, path, end=F.lit(LATEST_BAR).cast("date"))
     return rounded(day_text(read, "Date"), 6, "Open")
 
 

@@ -36,7 +36,7 @@ def confusion_metrics(spark, sf):
 
 
 def cleaned_rows(spark, sf):
-    cleaned = plans.clean_headlines(headlines(spark, sf), STOPS, PROFILES, VALENCES, WEIGHTS)
+    cleaned = plans.clean_headlines(headlines(spark, sf), STOPS, PROFILES, VALENCES, WEIGHTS, "en")
     return cleaned.select("id", "title_clean", "score", "num_comments", "polarity", "subjectivity")
 
 

@@ -178,7 +178,7 @@ def language_truth(spark, sf):
 
 
 def _clean(spark, sf):
-    return plans.clean_headlines(headlines(spark, sf), STOPS, PROFILES, VALENCES, WEIGHTS)
+    return plans.clean_headlines(headlines(spark, sf), STOPS, PROFILES, VALENCES, WEIGHTS, "en")
 
 
 def headline_etl(spark, sf):

@@ -59,7 +59,7 @@ def test_cleaning_is_one_narrow_pass(spark):
     from tidemark.plans.headlines import clean_headlines
 
     raw = spark.createDataFrame(headlines(spark, SF).limit(5).toPandas().drop(columns="day"))
-    text = plan(clean_headlines(raw, STOPS, PROFILES, VALENCES, WEIGHTS))
+    text = plan(clean_headlines(raw, STOPS, PROFILES, VALENCES, WEIGHTS, "en"))
     assert "Exchange" not in text
     assert text.count("regexp_replace") == 1
 

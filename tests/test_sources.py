@@ -46,7 +46,7 @@ def test_prices_by_symbol_file(spark, tmp_path):
     (tmp_path / "XOM.csv").write_text("Date,High,Open,Volume\n2005-01-03,9,4,8.0\n")
     got = files.read_prices(spark, str(tmp_path), symbol_from_path=True)
     assert sorted((r["Company"], str(r["Date"]), r["Open"], r["Volume"]) for r in got.collect()) == [
-        ("NKE", "2005-01-03", 2.0, 6.0), ("NKE", "2006-01-03", 3.0, None), ("XOM", "2005-01-03", 4.0, 8.0),
+        ("NKE", "2004-12-31", 1.0, 5.0), ("NKE", "2005-01-03", 2.0, 6.0), ("NKE", "2006-01-03", 3.0, None), ("XOM", "2005-01-03", 4.0, 8.0),
     ]
     assert [f.name for f in got.schema] == schemas.PRICE_BAR.names
     (tmp_path / "odd.csv").write_text("Date,Open,High,Volume\n2005-01-03,4,9,8.0\n")
@@ -54,6 +54,14 @@ def test_prices_by_symbol_file(spark, tmp_path):
         files.read_prices(spark, [str(tmp_path / "NKE.csv"), str(tmp_path / "odd.csv")], symbol_from_path=True).collect()
     until = files.read_prices(spark, [str(tmp_path / "NKE.csv")], None, dt.date(2005, 1, 3), symbol_from_path=True)
     assert until.count() == 2
+    assert files.read_prices(spark, [str(tmp_path / "NKE.csv")], dt.date(2005, 1, 1), symbol_from_path=True).count() == 2
+
+
+def test_symbols_of_folders_stay_text(spark, tmp_path):
+    for symbol in ("000001", "1e3", "1"):
+        (tmp_path / f"Company={symbol}").mkdir()
+        (tmp_path / f"Company={symbol}" / "a.csv").write_text("Date,Open,Volume\n2005-01-03,4,8.0\n")
+    assert sorted(r["Company"] for r in files.read_prices(spark, str(tmp_path)).collect()) == ["000001", "1", "1e3"]
 
 
 def test_daily_series_takes_its_first_column_as_the_date(spark, tmp_path):
@@ -204,5 +212,3 @@ def test_model_on_a_stream(spark, tmp_path):
     assert got == {"Good win!": 2.0, "Bad loss": 0.0}
     other = training.train(cleaned, "id", classifier=LogisticRegression(maxIter=20))
     assert other.metrics.head()["accuracy"] > 0.9
-    with pytest.raises(ValueError, match="vocabulary"):
-        training.train(cleaned, "id", max_vocabulary=3)

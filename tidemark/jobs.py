@@ -97,7 +97,7 @@ def score(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _bars(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    start = date.fromisoformat(args.start)
+    start = date.fromisoformat(args.start) if args.start else None
     end = date.fromisoformat(args.end) if args.end else None
     return files.read_prices(spark, args.csv, start, end, args.symbol_from_path)
 
@@ -153,7 +153,7 @@ def parser() -> argparse.ArgumentParser:
     def price_job(name, run):
         sub = job(name, run, "out")
         sub.add_argument("csv", nargs="+")
-        sub.add_argument("--start", default=files.PRICE_START.isoformat())
+        sub.add_argument("--start")
         sub.add_argument("--end")
         sub.add_argument("--symbol-from-path", action="store_true")
         return sub

@@ -14,7 +14,7 @@ from tidemark.operators.topk import TOP_SCORES, keep_top_distinct, top_distinct_
 from tidemark.schemas import REQUIRED_RAW_FIELDS
 from tidemark.session import staged
 
-LANGUAGE = "en"
+LANGUAGE = "english"
 
 
 def clean_headlines(
@@ -30,6 +30,8 @@ def clean_headlines(
     One narrow pass: nothing is shuffled and no row leaves the JVM. The language is judged on all tokens,
     since the words that tell languages apart are the stop words removed afterwards.
     """
+    if language not in profiles:
+        raise ValueError(f"no profile for {language}; there are {sorted(profiles)}")
     words = F.col("_words")
 
     def read(tokens: Column) -> Column:

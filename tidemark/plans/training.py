@@ -20,9 +20,6 @@ TERM_SLOTS = 100
 MIN_DOC_FREQ = 5
 TREE_DEPTH = 9
 
-WORDS_PER_VECTOR_TASK = 500_000
-MAX_VOCABULARY = 5_000_000
-
 
 def build_pipeline(
     vec: int = VECTOR_SIZE,
@@ -71,14 +68,6 @@ def labelled(cleaned: DataFrame) -> DataFrame:
     return rows.na.drop("any", subset=["title_clean", "score", "num_comments", "subjectivity", "label"])
 
 
-def word_totals(rows: DataFrame, text: str, min_count: int) -> tuple[int, int]:
-    """Number of distinct words that occur at least ``min_count`` times, and number of all words."""
-    words = rows.select(F.explode(F.split(F.lower(text), r"\s")).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.count_if(F.col("n") >= min_count), F.coalesce(F.sum("n"), F.lit(0))).head()
-    return totals[0], totals[1]
-
-
 @dataclass
 class Trained:
     """A fitted model, its predictions on the rows held back, and their measures."""
@@ -94,14 +83,14 @@ def train(
     key: str,
     parts: int = 4,
     min_count: int = 0,
-    max_vocabulary: int = MAX_VOCABULARY,
     **pipeline,
 ) -> Trained:
     """Fit on three quarters of the rows and measure on the rest.
 
-    Spark's word-vector fit holds the vocabulary on the driver; when it would not fit, this raises and a
-    higher ``min_count`` has to be chosen, rather than dropping words unasked. The fit reads the training
-    rows several times, so they are staged, in even partitions whatever the sizes of the input files.
+    Spark's word-vector fit holds the vocabulary on the driver; ``min_count`` says which words it has. It
+    runs in ``vector_tasks`` tasks, a parameter that doesn't follow the data: tasks are trained apart and
+    averaged, so their number is part of the model. The fit reads the training rows several times, so they
+    are staged, in even partitions whatever the sizes of the input files.
     """
     rows = staged(
         labelled(cleaned).select(
@@ -110,13 +99,7 @@ def train(
         "training",
     )
     training, validation = split_rows(rows, key, parts)
-    size, words = word_totals(training, "title_clean", min_count)
-    if size > max_vocabulary:
-        raise ValueError(
-            f"{size} words exceed the vocabulary bound {max_vocabulary}; raise min_count or the bound"
-        )
-    tasks = 1 + words // WORDS_PER_VECTOR_TASK
-    model = build_pipeline(min_count=min_count, vector_tasks=tasks, **pipeline).fit(training)
+    model = build_pipeline(min_count=min_count, **pipeline).fit(training)
     predictions = model.transform(validation)
     counts = confusion(predictions)
     return Trained(model, predictions, counts, metrics(counts))

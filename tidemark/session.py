@@ -41,7 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return _local_folder(spark.sparkContext.applicationId)
 

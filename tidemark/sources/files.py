@@ -11,9 +11,6 @@ from tidemark.functions.numbers import real
 from tidemark.operators.rows import split_pair
 from tidemark.schemas import CLEAN_HEADLINE, PAIRED_HEADLINE, RAW_HEADLINE, STREAM_HEADLINE
 
-# First day of a price history.
-PRICE_START = date(2005, 1, 1)
-
 
 def read_headlines(
     spark: SparkSession,
@@ -53,13 +50,16 @@ def stream_headlines(
 
 
 def _with_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return spark.read.option("header", True).option("enforceSchema", False).csv(paths)
+    """All columns as text, those of folder names too: a symbol such as ``000001`` must not become a number."""
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    names = reader.csv(paths).columns
+    return reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(paths)
 
 
 def read_prices(
     spark: SparkSession,
     paths: str | list[str],
-    start: date | None = PRICE_START,
+    start: date | None = None,
     end: date | None = None,
     symbol_from_path: bool = False,
 ) -> DataFrame:
