@@ -141,7 +141,7 @@ def batch_prepare(spark, sf):
 def stream_lexicon_join(spark, sf):
     path, checkpoint = new_folder(spark, "scored"), new_folder(spark, "checkpoint")
     lexicon = spark.createDataFrame(list(WEIGHTS.items()), "word string, valence double")
-    query = streaming.start_large_lexicon(_stream(spark, sf, "id"), "id", lexicon, path, checkpoint, mode="mean")
+    query = streaming.start_large_lexicon(_stream(spark, sf, "id"), "id", lexicon, path, checkpoint, STOPS, mode="mean")
     return rounded(_drained(query, spark, path).select("id", "score"), 8, "score")
 
 
@@ -154,7 +154,7 @@ def stream_page_files(spark, sf):
 def stream_score(spark, sf):
     """A model trained, saved, loaded and applied to a stream."""
     folder, path = new_folder(spark, "model"), new_folder(spark, "predicted")
-    training.save_model(training.train(models.cleaned_rows(spark, sf), "id").model, folder)
+    training.save_model(models.trained(spark, sf).model, folder)
     query = streaming.score_stream(
         _stream(spark, sf),
         training.load_model(folder),
@@ -177,7 +177,6 @@ QUERIES = {
 }
 
 _WORDS = f"SELECT id, {kept_sql(tokens_sql('title'))} AS words FROM ({HEADLINES})"
-_ALL_WORDS = f"SELECT id, {tokens_sql('title')} AS words FROM ({HEADLINES})"
 _PREPARED = f"""
     SELECT num_comments, array_to_string({kept_sql(tokens_sql('title'))}, ' ') AS title_clean,
            round(a, 8) + 0.0 AS subjectivity, 0::DOUBLE AS label
@@ -200,6 +199,6 @@ SQL = {
     "paged_feed": "SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS second, event_id FROM events",
     "stream_prepare": _PREPARED,
     "batch_prepare": _PREPARED,
-    "stream_lexicon_join": f"SELECT id, round(a, 8) + 0.0 AS score FROM ({hits_sql(_ALL_WORDS, WEIGHTS)})",
+    "stream_lexicon_join": f"SELECT id, round(a, 8) + 0.0 AS score FROM ({hits_sql(_WORDS, WEIGHTS)})",
     "stream_page_files": f"SELECT title, score, num_comments FROM ({HEADLINES})",
 }

@@ -55,13 +55,23 @@ def hashed_terms(spark, sf):
     return slots.groupBy("doc_id").agg(F.sum("n").cast("bigint").alias("terms"))
 
 
+_TRAINED: dict[tuple[str, str], training.Trained] = {}
+
+
+def trained(spark, sf):
+    """One training per application and tables; the other queries of the model read it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        _TRAINED[key] = training.train(cleaned_rows(spark, sf), "id")
+    return _TRAINED[key]
+
+
 def train_predict(spark, sf):
-    trained = training.train(cleaned_rows(spark, sf), "id")
-    return trained.predictions.select("id", "label", "prediction")
+    return trained(spark, sf).predictions.select("id", "label", "prediction")
 
 
 def train_metrics(spark, sf):
-    return training.train(cleaned_rows(spark, sf), "id").metrics
+    return trained(spark, sf).metrics
 
 
 QUERIES = {

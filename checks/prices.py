@@ -77,6 +77,12 @@ def decomposed_features(spark, sf):
     return rounded(rows, 6, "difference", "standardized_residual")
 
 
+def unfit_customers(spark, sf):
+    """Customers whose orders are on too few days for two periods of two."""
+    rows = table(spark, sf, "orders").select("o_custkey", "o_orderdate", F.col("o_totalprice").alias("price"))
+    return series.unfit(rows, "o_custkey", "o_orderdate", "price", period=2)
+
+
 def lookup_join(spark, sf):
     joined = relation.join_by_date(
         bars(spark, sf), series.standardized_daily(sentiment(spark, sf), "Date", "avg_sentiment_all_news", "z")
@@ -137,7 +143,7 @@ QUERIES = {
     for f in (
         price_stats, customer_stats, monthly_mean_open, monthly_mean_volume, distinct_company,
         sum_volume_one_company, lag_diff, log_interpolate, decompose, decompose_additive,
-        decomposed_features, lookup_join, price_sentiment_rows, pair_corr, item_corr, histogram10,
+        decomposed_features, unfit_customers, lookup_join, price_sentiment_rows, pair_corr, item_corr, histogram10,
         residual_histogram, kde_grid, company_corr, company_histogram, company_density,
     )
 }
@@ -221,6 +227,10 @@ def _density_sql(by: str = "") -> str:
 
 
 SQL = {
+    "unfit_customers": """
+        SELECT o_custkey, 'fewer than two periods' AS issue FROM orders
+        GROUP BY o_custkey HAVING count(DISTINCT CAST(o_orderdate AS DATE)) < 4
+    """,
     "price_stats": f"""
         SELECT Company, round(max(Open), 6) AS max_open, round(min(Open), 6) AS min_open,
                avg(Volume) AS mean_volume, min(Volume) AS min_volume

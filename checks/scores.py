@@ -22,6 +22,12 @@ def daily_top_scaled_rows(spark, sf):
     return rounded(day_text(series, "day"), 6, "avg_sentiment", "normalized_avg")
 
 
+def daily_news_series(spark, sf):
+    """Mean over all rows and over the best-scored rows of a day, each under its own name."""
+    both = headlines.daily_series_of_news(day_events(spark, sf), "day")
+    return rounded(day_text(both, "day"), 6, headlines.ALL_NEWS, headlines.TOP_NEWS)
+
+
 def top_rows_by_day(spark, sf):
     kept = topk.keep_top_distinct(day_events(spark, sf), "day", "score")
     return day_text(kept, "day").select("day", "event_id", "score")
@@ -87,7 +93,7 @@ def page_documents(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        daily_top_scaled, daily_top_scaled_rows, top_rows_by_day, topk_join_form, top_scores_by_day,
+        daily_top_scaled, daily_top_scaled_rows, daily_news_series, top_rows_by_day, topk_join_form, top_scores_by_day,
         distinct_scores, group_mean_daily, min_max_values, min_max_by_type, z_score_values,
         z_score_by_day, keyset_page, numbered_pages, page_documents,
     )
@@ -109,6 +115,13 @@ _TOP_ROWS = f"{_RANKED} SELECT strftime(day, '%Y-%m-%d') AS day, event_id, score
 SQL = {
     "daily_top_scaled": _DAILY,
     "daily_top_scaled_rows": _DAILY,
+    "daily_news_series": f"""{_RANKED},
+        d AS (SELECT day, avg(polarity) AS a, avg(polarity) FILTER (WHERE place <= 100) AS t FROM r GROUP BY day)
+        SELECT strftime(day, '%Y-%m-%d') AS day,
+               round((a - min(a) OVER ()) / (max(a) OVER () - min(a) OVER ()), 6) + 0.0 AS avg_sentiment_all_news,
+               round((t - min(t) OVER ()) / (max(t) OVER () - min(t) OVER ()), 6) + 0.0 AS avg_sentiment_top_news
+        FROM d
+    """,
     "top_rows_by_day": _TOP_ROWS,
     "topk_join_form": _TOP_ROWS,
     "top_scores_by_day": f"""{_RANKED},

@@ -11,6 +11,7 @@ from checks.tables import (
 from tidemark.functions import dates, scoring, text as tx
 from tidemark.operators import lexicon, rows, words
 from tidemark.plans import headlines as plans
+from tidemark.session import as_dict
 
 FIRST_YEAR, LAST_YEAR = 1996, 1999
 TOP_WORDS = 20
@@ -106,6 +107,26 @@ def group_word_freq(spark, sf):
     return words.word_freq(_yearly(spark, sf), "year", "title_clean", TOP_WORDS).select("year", "word", "n", "place")
 
 
+def words_top_2000(spark, sf):
+    """More words than Spark's own limit per task and group allows for."""
+    return words.word_freq(_yearly(spark, sf), "year", "title_clean", 2000).select("year", "word", "n", "place")
+
+
+def _repeated_lexicon(spark):
+    """Some words are listed twice, with other values."""
+    again = [(w, 3 * v) for w, v in VALENCES.items() if v > 1]
+    return spark.createDataFrame([*VALENCES.items(), *again], "word string, valence double")
+
+
+def polarity_repeated(spark, sf):
+    """A word listed twice has the mean of its values, in the join and in the program's table alike."""
+    table = _repeated_lexicon(spark)
+    known = as_dict(lexicon.one_per_word(table, "valence"), "word", "valence")
+    joined = lexicon.lexicon_score(_tokens(spark, sf), "doc_id", "words", table, out="joined")
+    inline = _tokens(spark, sf).select("doc_id", scoring.polarity(F.col("words"), known).alias("inline"))
+    return rounded(joined.join(inline, "doc_id"), 8, "joined", "inline")
+
+
 def distinct_titles_joined(spark, sf):
     return words.joined_titles(_yearly(spark, sf), "year", "title_clean", CHUNK)
 
@@ -195,7 +216,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         notnull_filter, drop_any_null, nonempty_or_filter, year_range, date_parts, parse_dates, epoch_iso,
-        union_files, shaped_columns, split_pair, clean_text, clean_turns, group_word_freq,
+        union_files, shaped_columns, split_pair, clean_text, clean_turns, group_word_freq, words_top_2000,
+        polarity_repeated,
         distinct_titles_joined, idf_table, polarity, polarity_join, polarity_large_join, polarity_label,
         subjectivity, subjectivity_join, language_profile, likely_language, english_only_filter,
         language_truth, headline_etl, headline_daily_sentiment,
@@ -215,6 +237,7 @@ def hits_sql(words: str, table: dict[str, float]) -> str:
 
 
 _DOC_WORDS = f"SELECT doc_id AS id, words FROM ({TOKENS})"
+_REPEATED = {w: (2 * v if v > 1 else v) for w, v in VALENCES.items()}
 _POLARITY = f"""
     SELECT id AS doc_id, round({_COMPOUND}, 8) + 0.0 AS score FROM ({hits_sql(_DOC_WORDS, VALENCES)})
 """
@@ -239,6 +262,12 @@ _YEARLY = f"""
     FROM ({HEADLINES})
 """
 
+_WORD_RANKS = f"""
+    WITH w AS (SELECT year, unnest(string_split(t, ' ')) AS word FROM ({_YEARLY})),
+    c AS (SELECT year, word, count(*) AS n FROM w WHERE word <> '' AND word NOT IN ({quoted(words.PICTURE_STOP_WORDS)}) GROUP BY 1, 2),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY year ORDER BY n DESC, word) AS INTEGER) AS place FROM c)
+"""
+
 _ETL = f"""
     WITH h AS MATERIALIZED (SELECT *, {tokens_sql('title')} AS words FROM ({HEADLINES})
           WHERE score IS NOT NULL AND title IS NOT NULL AND url IS NOT NULL AND domain IS NOT NULL AND created_utc IS NOT NULL),
@@ -276,11 +305,11 @@ SQL = {
     "split_pair": "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[2] AS DOUBLE) AS second FROM embeddings",
     "clean_text": f"SELECT doc_id, array_to_string({kept_sql(tokens_sql('text'))}, ' ') AS title_clean FROM documents",
     "clean_turns": f"SELECT conv_id, turn, array_to_string({tokens_sql('text')}, ' ') AS clean FROM conversations",
-    "group_word_freq": f"""
-        WITH w AS (SELECT year, unnest(string_split(t, ' ')) AS word FROM ({_YEARLY})),
-        c AS (SELECT year, word, count(*) AS n FROM w WHERE word <> '' AND word NOT IN ({quoted(words.PICTURE_STOP_WORDS)}) GROUP BY 1, 2),
-        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY year ORDER BY n DESC, word) AS INTEGER) AS place FROM c)
-        SELECT year, word, n, place FROM r WHERE place <= {TOP_WORDS}
+    "group_word_freq": f"{_WORD_RANKS} SELECT year, word, n, place FROM r WHERE place <= {TOP_WORDS}",
+    "words_top_2000": f"{_WORD_RANKS} SELECT year, word, n, place FROM r WHERE place <= 2000",
+    "polarity_repeated": f"""
+        SELECT id AS doc_id, round({_COMPOUND}, 8) + 0.0 AS joined, round({_COMPOUND}, 8) + 0.0 AS inline
+        FROM ({hits_sql(_DOC_WORDS, _REPEATED)})
     """,
     "distinct_titles_joined": f"""
         WITH t AS ({_YEARLY}),

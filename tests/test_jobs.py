@@ -56,7 +56,7 @@ def test_words(spark, folder, cleaned):
 def test_daily_decompose_and_relate(spark, folder, cleaned):
     jobs.main(["daily", cleaned, str(folder / "daily")])
     sentiment = spark.read.option("header", True).csv(str(folder / "daily"))
-    assert sentiment.columns == ["Date", "avg_sentiment_all_news"] and sentiment.count() == 50
+    assert sentiment.columns == ["Date", "avg_sentiment_all_news", "avg_sentiment_top_news"] and sentiment.count() == 50
 
     rng = np.random.default_rng(0)
     stocks = folder / "stocks"
@@ -69,7 +69,10 @@ def test_daily_decompose_and_relate(spark, folder, cleaned):
     jobs.main(["prices", str(folder / "report"), *files, "--symbol-from-path"])
     assert spark.read.parquet(str(folder / "report" / "stats")).count() == 2
     assert spark.read.parquet(str(folder / "report" / "monthly_open")).count() == 8
-    jobs.main(["decompose", str(folder / "features"), *files, "--symbol-from-path"])
+    (stocks / "NEW.csv").write_text("Date,Open,Volume\n2020-01-01,5.0,1\n")
+    jobs.main(["decompose", str(folder / "features"), *files, str(stocks / "NEW.csv"), "--symbol-from-path"])
+    unfit = spark.read.parquet(str(folder / "features-unfit")).collect()
+    assert [tuple(r) for r in unfit] == [("NEW", "fewer than two periods")]
     assert spark.read.parquet(str(folder / "features")).groupBy("Company").count().collect()[0]["count"] == 72
 
     jobs.main(["relate", str(folder / "features"), str(folder / "daily"), str(folder / "related"), "--grid", "5"])

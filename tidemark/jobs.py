@@ -18,6 +18,7 @@ if __name__ == "__main__":
 
 from tidemark.functions import text as tx
 from tidemark.operators import prices, relation, rows, series, words
+from tidemark.operators.lexicon import one_per_word
 from tidemark.plans import headlines, training
 from tidemark.plans.prices import RELATED
 from tidemark.schemas import CLEAN_HEADLINE, DAILY_SENTIMENT
@@ -32,7 +33,7 @@ PICTURE_WORDS = 200
 
 def read_words(spark: SparkSession, path: str, value: str) -> dict[str, float]:
     table = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
-    return as_dict(table.withColumn(value, F.col(value).cast("double")), "word", value)
+    return as_dict(one_per_word(table, value), "word", value)
 
 
 def read_cleaned(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -61,12 +62,9 @@ def picture_words(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def daily(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Daily sentiment of the best-scored headlines, as one CSV file with date and value."""
-    result = headlines.daily_sentiment(read_cleaned(spark, args))
-    named = result.select(
-        F.col("created_utc_iso").alias("Date"), F.col("normalized_avg").alias(DAILY_SENTIMENT.names[1])
-    )
-    files.write_table(named, args.out, "csv", header=True, single_file=True)
+    """Daily sentiment of all and of the best-scored headlines, as one CSV file with date and both values."""
+    result = headlines.daily_series_of_news(read_cleaned(spark, args))
+    files.write_table(result.withColumnRenamed("created_utc_iso", "Date"), args.out, "csv", header=True, single_file=True)
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -111,9 +109,13 @@ def price_report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def decompose(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Trend, season, residual, difference and standardised residual of each company's price."""
-    features = series.decomposed_features(_bars(spark, args), "Company", "Date", "Open", args.period)
-    files.write_table(features, args.out)
+    """Trend, season, residual, difference and standardised residual of each company's price.
+
+    The companies that cannot be decomposed are written with the reason to ``<out>-unfit``.
+    """
+    bars = _bars(spark, args)
+    files.write_table(series.decomposed_features(bars, "Company", "Date", "Open", args.period), args.out)
+    files.write_table(series.unfit(bars, "Company", "Date", "Open", args.period), f"{args.out.rstrip('/')}-unfit")
 
 
 def relate(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -125,6 +125,29 @@ def decompose(
     )
 
 
+def unfit(
+    df: DataFrame,
+    key: str,
+    day: str,
+    col: str,
+    period: int = DECOMPOSE_PERIOD,
+    model: str = "multiplicative",
+) -> DataFrame:
+    """``key, issue``: the keys that cannot be decomposed and why, one row each.
+
+    The same rules as in :func:`decompose`, from one row of counts per key.
+    """
+    counts = daily_series(df, key, day, col).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_days"), F.count(col).alias("_known"), F.min(col).alias("_least")
+    )
+    issue = F.when(F.col("_days") < 2 * period, "fewer than two periods").when(
+        F.col("_known") < F.col("_days"), "missing values"
+    )
+    if model == "multiplicative":
+        issue = issue.when(F.col("_least") <= 0, "values not above zero")
+    return counts.select(key, issue.alias("issue")).where(F.col("issue").isNotNull())
+
+
 def decomposed_features(
     df: DataFrame, key: str, day: str, col: str, period: int = DECOMPOSE_PERIOD
 ) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import join_per_key, staged
 
 TOP_SCORES = 100
+# Spark cuts each task to k rows per group up to this k; beyond it groups are cut in parts first.
+GROUP_LIMIT, PARTS = 1000, 64
 
 
 def distinct_scores(df: DataFrame, group: str, score: str) -> DataFrame:
@@ -20,8 +24,17 @@ def _best(pairs: DataFrame, group: str, score: str, k: int) -> DataFrame:
     Spark limits each task to ``k`` rows per group before it shuffles by group, so a group that holds
     a third of the table sends no more than ``k`` rows per task.
     """
-    place = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(score)))
-    return pairs.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+    return _ranked(pairs, group, score, [F.desc(score)], k, "_place").drop("_place")
+
+
+def _ranked(rows: DataFrame, group: str, spread: str, order: Sequence[Column], k: int, out: str) -> DataFrame:
+    """The first ``k`` rows of each group with their place; for a large ``k`` first those of each part of a group."""
+    if k > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(spread), F.lit(PARTS))
+        place = F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order))
+        rows = rows.withColumn("_part", part).withColumn(out, place).where(F.col(out) <= k).drop("_part", out)
+    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return rows.withColumn(out, place).where(F.col(out) <= k)
 
 
 def top_distinct(df: DataFrame, group: str, score: str, k: int = TOP_SCORES) -> DataFrame:
@@ -73,5 +86,4 @@ def top_distinct_mean(
 
 def top_words(counts: DataFrame, group: str, word: str, count: str, k: int) -> DataFrame:
     """The ``k`` most frequent words of each group, by word on a tie."""
-    place = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(count), F.col(word)))
-    return counts.withColumn("place", place).where(F.col("place") <= k)
+    return _ranked(counts, group, word, [F.desc(count), F.col(word)], k, "place")

@@ -15,6 +15,8 @@ from tidemark.schemas import REQUIRED_RAW_FIELDS
 from tidemark.session import staged
 
 LANGUAGE = "english"
+# Names of the daily series.
+ALL_NEWS, TOP_NEWS = "avg_sentiment_all_news", "avg_sentiment_top_news"
 
 
 def clean_headlines(
@@ -89,6 +91,18 @@ def daily_sentiment(
     return min_max(staged(means, "daily"), "avg_sentiment", "normalized_avg")
 
 
+def daily_series_of_news(cleaned: DataFrame, day: str = "created_utc_iso", score: str = "score", value: str = "polarity") -> DataFrame:
+    """Both daily series: ``day, avg_sentiment_all_news, avg_sentiment_top_news``.
+
+    The first is the mean over all rows of a day, the second that over its best-scored rows, each scaled to [0, 1]
+    over all days. A day whose rows all lack a score has no second value.
+    """
+    every = group_mean(cleaned, day, value, ALL_NEWS)
+    best = top_distinct_mean(cleaned, day, score, value, TOP_NEWS)
+    both = staged(every.join(best, day, "left"), "daily")
+    return min_max(min_max(both, ALL_NEWS, ALL_NEWS), TOP_NEWS, TOP_NEWS)
+
+
 def daily_sentiment_from_rows(
     cleaned: DataFrame,
     day: str = "created_utc_iso",
