@@ -385,3 +385,22 @@ def test_metrics_are_those_of_the_evaluator(spark):
     judge = MulticlassClassificationEvaluator()
     assert found["f1"] == pytest.approx(judge.evaluate(df))
     assert found["accuracy"] == pytest.approx(judge.evaluate(df, {judge.metricName: "accuracy"}))
+
+
+# Groups cut in parts, unfit keys, repeated words
+
+
+def test_top_rows_of_groups_cut_in_parts(spark, monkeypatch):
+    rows = [(g, i % 300) for g in "ab" for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, s int")
+    want = [(g, s) for g in "ab" for s in range(295, 300)]
+    monkeypatch.setattr(topk, "GROUP_LIMIT", 1)
+    assert sorted(tuple(r) for r in topk.top_distinct(df, "g", "s", 5).collect()) == want
+
+
+def test_unfit_is_what_decompose_reports(spark):
+    frames = [series_frame(spark, v, k) for k, v in {"short": [1], "gap": [1, None, 3, 4], "zero": [0, 1, 2, 3], "fit": [1, 2, 3, 4]}.items()]
+    df = frames[0].unionAll(frames[1]).unionAll(frames[2]).unionAll(frames[3])
+    got = {r["key"]: r["issue"] for r in series.unfit(df, "key", "day", "x", 2).collect()}
+    told = series.decompose(df, "key", "day", "x", 2).where("issue is not null").select("key", "issue").distinct()
+    assert got == {r["key"]: r["issue"] for r in told.collect()} and set(got) == {"short", "gap", "zero"}
