@@ -6,12 +6,12 @@ by chance, and what may be similar enough is confirmed on the full sets. Documen
 
 A bucket's members are not paired with each other. First each is compared with the bucket's smallest and
 largest node. Then only members that are still in different components are compared, block by block inside
-tasks, on their full sets.
+tasks: by their estimates, and those that may be similar enough on their full sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -64,8 +64,12 @@ def sketches(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text
     return rows.mapInArrow(run, schema)
 
 
+def _registers(column: Iterable[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, REGISTERS)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    return _registers(column.to_pylist())
 
 
 def _banded(nodes: DataFrame, rows: int) -> DataFrame:
@@ -124,7 +128,7 @@ def _star(members: DataFrame) -> DataFrame:
 
 
 def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between members of a bucket that are still in different components, confirmed on the full sets.
+    """Links between members of a bucket that are still in different components, estimated and confirmed on the full sets.
 
     The component with the most members in a bucket is only compared with the others. Members are dealt to
     blocks, and a task compares two blocks; a bucket whose members are all in one component has none. What a
@@ -144,21 +148,37 @@ def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, width: int,
     other = F.explode(F.sequence(F.lit(0), "last"))
     dealt = dealt.select("band", "node", "label", minor.alias("minor"), own.alias("own"), last.alias("last"))
     dealt = dealt.select("band", "node", "label", "minor", "own", other.alias("other")).join(texts, "node")
-    dealt = dealt.select("band", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "label", "minor", "text")
+    dealt = dealt.select("band", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "label", "minor", "text", "sketch")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node", ignore_index=True)
         one, two = group["one"].iat[0], group["two"].iat[0]
-        sets = [shingle_set(t, width) for t in group["text"]]
+        node, labels, text = (group[c].to_numpy() for c in ("node", "label", "text"))
         left = np.flatnonzero((group["own"] == one) & group["minor"])
         right = np.flatnonzero(group["own"] == two)
-        found = joining_links(sets, group["label"].to_numpy().copy(), left, right, percent)
-        node = group["node"].to_numpy()
+        left, right = with_likely(_registers(group["sketch"]), labels, left, right, percent)
+        asked = {*left, *right}
+        sets = [shingle_set(t if k in asked else None, width) for k, t in enumerate(text)]
+        found = joining_links(sets, labels.copy(), left, right, percent)
         return pd.DataFrame([(node[i], node[j]) for i, j in found], columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("band", "one", "two").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
+def with_likely(
+    sketch: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The members of both sides that may be similar to one of another label on the other side, by their sketches."""
+    many, of = sketch[right], labels[right]
+    lefts, rights = np.zeros(len(left), bool), np.zeros(len(right), bool)
+    for k, i in enumerate(left):
+        there = ((many != EMPTY) | (sketch[i] != EMPTY)).sum(axis=1)
+        fit = (estimates(sketch[i], many) >= lowest_estimate(percent / 100, there)) & (of != labels[i])
+        lefts[k] = fit.any()
+        rights |= fit
+    return left[lefts], right[rights]
+
+
 def joining_links(sets: list[np.ndarray], labels: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Links of ``left`` with ``right`` members that join different labels; joined labels become one as they are found.
 
@@ -228,11 +248,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """``node, text``: one document's text for each wanted node."""
+    """``node, text, sketch``: one document's text for each wanted node."""
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
-    ids = wanted.select("node", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash"))
+    ids = wanted.select("node", "sketch", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash"))
     same = rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["text_hash"] == ids["_hash"])
-    return rows.join(ids, same).groupBy("node").agg(F.first("text").alias("text"))
+    return rows.join(ids, same).groupBy("node").agg(F.first("text").alias("text"), F.first("sketch").alias("sketch"))
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
