@@ -150,9 +150,10 @@ def polarity_join(spark, sf):
 
 
 def polarity_large_join(spark, sf):
-    """The plan for a lexicon that is over the broadcast bound."""
+    """A lexicon of 150,000 further words, none of which a token can be."""
+    unlisted = spark.range(150_000).select(F.format_string("no-%d", "id").alias("word"), F.lit(1.0).alias("valence"))
     scores = lexicon.lexicon_score(
-        _tokens(spark, sf), "doc_id", "words", _spark_lexicon(spark, VALENCES), max_broadcast_words=5
+        _tokens(spark, sf), "doc_id", "words", _spark_lexicon(spark, VALENCES).unionByName(unlisted)
     )
     return rounded(scores, 8, "score")
 

@@ -88,6 +88,9 @@ def test_daily_decompose_and_relate(spark, folder, cleaned):
     bins = spark.read.parquet(str(folder / "related" / "histogram" / "difference"))
     assert bins.groupBy("Company").sum("n").collect()[0][1] == 36
 
+    jobs.main(["relate", str(folder / "features"), str(folder / "daily"), str(folder / "top"), "--grid", "2", "--news", "top"])
+    assert "standardized_sentiment_top_news" in spark.read.parquet(str(folder / "top" / "rows")).columns
+
 
 def test_train_and_score(spark, folder, cleaned, capsys):
     model = str(folder / "model")

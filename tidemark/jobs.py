@@ -21,7 +21,7 @@ from tidemark.operators import prices, relation, rows, series, words
 from tidemark.operators.lexicon import one_per_word
 from tidemark.plans import headlines, training
 from tidemark.plans.prices import RELATED
-from tidemark.schemas import CLEAN_HEADLINE, DAILY_SENTIMENT
+from tidemark.schemas import CLEAN_HEADLINE
 from tidemark.session import as_dict, build_session
 from tidemark.sources import files
 from tidemark.streaming import headlines as streaming
@@ -120,17 +120,17 @@ def decompose(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def relate(spark: SparkSession, args: argparse.Namespace) -> None:
     """Correlations, histograms and densities of price features and sentiment, per company."""
-    name = DAILY_SENTIMENT.names[1]
-    sentiment = files.read_daily(spark, args.sentiment, [name])
-    scaled = series.standardized_daily(sentiment, "Date", name, RELATED[2])
+    name = headlines.TOP_NEWS if args.news == "top" else headlines.ALL_NEWS
+    related = [*RELATED[:2], f"standardized_sentiment_{args.news}_news"]
+    scaled = series.standardized_daily(files.read_daily(spark, args.sentiment, [name]), "Date", name, related[2])
     joined = relation.join_by_date(spark.read.parquet(args.features), scaled)
     files.write_table(joined, f"{args.out}/rows")
     stored = spark.read.parquet(f"{args.out}/rows")
-    files.write_table(relation.pair_corr(stored, RELATED, by="Company"), f"{args.out}/correlation")
-    for col in RELATED:
+    files.write_table(relation.pair_corr(stored, related, by="Company"), f"{args.out}/correlation")
+    for col in related:
         files.write_table(relation.histogram(stored, col, by="Company"), f"{args.out}/histogram/{col}")
-    for i, x in enumerate(RELATED):
-        for y in RELATED[:i]:
+    for i, x in enumerate(related):
+        for y in related[:i]:
             density = relation.kde_grid(stored, y, x, args.grid, by="Company")
             files.write_table(density, f"{args.out}/density/{y}-{x}")
 
@@ -193,6 +193,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("relate", relate, "features", "sentiment", "out")
     sub.add_argument("--grid", type=int, default=relation.KDE_GRID)
+    sub.add_argument("--news", default="all", choices=["all", "top"], help="which daily series")
     return top
 
 

@@ -97,17 +97,3 @@ def as_dict(df: DataFrame, key: str, value: str, max_rows: int = 100_000) -> dic
     if len(rows) > max_rows:
         raise ValueError(f"more than {max_rows} rows; use the join form for a table of this size")
     return {row[0]: row[1] for row in rows}
-
-
-def broadcast_within(
-    df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 256 * 2**20
-) -> tuple[DataFrame, bool]:
-    """``df`` with a broadcast hint if it stays within both bounds, and whether it does.
-
-    The bounds are measured in one pass over ``df``: its rows, and the bytes of its text columns.
-    """
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(16))
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).head()
-    fits = rows <= max_rows and size <= max_bytes
-    return (F.broadcast(df) if fits else df), fits
