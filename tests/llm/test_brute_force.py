@@ -358,6 +358,20 @@ def test_sentences_of_later_spans_go(spark):
     assert passage in rows[0]["text"] and all(passage not in (rows[k]["text"] or "") for k in range(1, 43))
 
 
+@pytest.mark.parametrize(("n", "sentence"), [(51, 0), (60, 0), (100, 0), (200, 0), (60, 30), (60, 20), (51, 17)])
+def test_passages_are_caught_at_any_offset(n, sentence):
+    """Without marks, or in sentences that the texts' own words open and end, each time at other places."""
+    rng = np.random.default_rng(n + sentence)
+    for k in range(100):
+        passage = [f"p{x}" + "." * bool(sentence and x % sentence == sentence - 1) for x in range(n * k, n * k + n)]
+        one, two = ([f"{name}{x}" + "." * bool(rng.random() < rng.choice([0, 0.1])) for x in range(rng.integers(0, 120))] for name in "ab")
+        at, to = rng.integers(0, len(one) + 1), rng.integers(0, len(two) + 1)
+        gone = np.unique(spans.runs(spans.cut(" ".join(one[:at] + passage + one[at:])))[0])
+        kept = spans.cleaned(" ".join(two[:to] + passage + two[to:]), gone)[0].split()
+        assert [w for w in kept if w[0] == "b"] == two
+        assert sum(w[0] == "p" for w in kept) <= 2 * spans.WINDOW
+
+
 # Toxicity, rules, urls and shards
 
 
