@@ -14,6 +14,7 @@ from tidemark.llm.common import table
 
 SF = "/root/testdata/sf0.001"
 SF2 = "/root/testdata/sf0.01"
+SF3 = "/root/testdata/sf0.1"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -385,6 +386,20 @@ def test_toxic_documents_are_found_among_the_held_out(spark):
     assert there >= 5 and hits >= 0.6 * there and hits >= 0.8 * found
 
 
+def test_scores_of_a_capped_sample_are_near_those_of_all_labels(spark, monkeypatch):
+    docs, labels = table(spark, SF3, "documents"), table(spark, SF3, "labels")
+
+    def figures():
+        found = toxicity.score(docs, toxicity.fit(docs, labels)).select("score").toPandas()["score"]
+        return found.mean(), (found >= queries.TOXIC_FROM).sum()
+
+    mean, predicted = figures()
+    for rows in (400, 200):  # of about 2670 clean and 330 toxic
+        monkeypatch.setattr(toxicity, "TRAIN_ROWS", rows)
+        capped_mean, capped_predicted = figures()
+        assert abs(capped_mean - mean) < 0.02 and abs(capped_predicted - predicted) < 0.2 * predicted
+
+
 def test_segments_are_all_maximal():
     rng = np.random.default_rng(8)
     for _ in range(200):

@@ -135,13 +135,13 @@ def _decay(values: np.ndarray, shares: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Intercept and slope of the log-odds of ``y``, with a small ridge; the slope is not negative."""
     beta, design = np.zeros(2), np.stack([np.ones_like(x), x], axis=1)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (y - p) - 0.1 * beta
-        hessian = (design * (p * (1 - p) + 1e-6)[:, None]).T @ design + 0.1 * np.eye(2)
+        gradient = design.T @ (weight * (y - p)) - 0.1 * beta
+        hessian = (design * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ design + 0.1 * np.eye(2)
         beta = beta + np.clip(np.linalg.solve(hessian, gradient), -2, 2)
     return float(beta[0]), float(max(beta[1], 0.0))
 
@@ -151,10 +151,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     Of each kind at most ``TRAIN_ROWS`` are used, by the hash of their ids; if a document has several labels, the
     largest counts. The ids of these are broadcast, the counts and the calibration's figures come to the driver; all
-    are bounded by the parameters above. In the calibration a document's own counts are left out.
+    are bounded by the parameters above. In the calibration a document's own counts are left out, and a document
+    stands for as many as its kind has labels for each that is used, so a score means the same for any input size.
     """
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = marked.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    there = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     order = F.xxhash64("_id")
     sample = marked.where("toxic = 0").orderBy(order).limit(TRAIN_ROWS).union(marked.where("toxic = 1").orderBy(order).limit(TRAIN_ROWS))
     rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text"))
@@ -196,7 +198,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # The largest sum of a clean text is a Gumbel variable, whose mean lies Euler's constant above its mode.
     shift = float(best[toxic == 0].mean() - EULER)
     again.unpersist()
-    return model._replace(shift=shift, fit=_logistic(surprises - shift, toxic))
+    stands_for = [max(there[k] / TRAIN_ROWS, 1.0) for k in (0, 1)]
+    return model._replace(shift=shift, fit=_logistic(surprises - shift, toxic, np.where(toxic == 1, stands_for[1], stands_for[0])))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
