@@ -209,6 +209,17 @@ def test_ids_of_cut_texts_are_those_of_the_whole(text):
     assert np.frombuffer(packing.Ids(*queries.tokenizer()).of(text), "<u4").tolist() == whole
 
 
+@pytest.mark.parametrize(
+    "text", ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b", "a  <|endoftext|>  b\n", "<|endoftext|><|endoftext|> <|endoftext|>", "x <|endoftext| y <|endoftext|>", "é 漢<|endoftext|> 9"]
+)
+def test_names_of_added_tokens_have_their_own_id(text):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    assert 50256 in whole
+    assert np.frombuffer(packing.Ids(*queries.tokenizer()).of(text), "<u4").tolist() == whole
+
+
 def test_sum_of_squares_places_a_piece_at_the_best_level():
     rng = np.random.default_rng(2)
     levels, fills = packing.Levels(16), Counter()

@@ -11,7 +11,7 @@ import base64
 import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +31,19 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 class Ids(dict):
     """Token ids of texts, as little-endian 32-bit numbers.
 
-    The tokenizer's own cuts include every single space between two other characters: the space begins the next
-    piece. So texts are cut there, and the ids of each distinct piece are asked for once.
+    Texts are cut at the names of added tokens first; each name has its one id. The tokenizer's own cuts of the rest
+    include every single space between two other characters: the space begins the next piece. So texts are cut there,
+    and the ids of each distinct piece are asked for once.
     """
 
-    def __init__(self, tokenizer_file: str, pattern: str):
+    def __init__(self, tokenizer_file: str, pattern: str, added: Mapping[str, int]):
         import tiktoken
 
         with open(tokenizer_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        # Names of special tokens in a text are ordinary text.
+        self.added = {name: struct.pack("<I", number) for name, number in added.items()}
+        longest_first = sorted(map(re.escape, added), key=len, reverse=True)
+        self.names = re.compile(f"({'|'.join(longest_first)})" if added else "(?!)")
         self.encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __missing__(self, piece: str) -> bytes:
@@ -51,6 +54,10 @@ class Ids(dict):
         return found
 
     def of(self, text: str) -> bytes:
+        between = self.names.split(text)
+        return b"".join(self.added[part] if k % 2 else self.rest(part) for k, part in enumerate(between))
+
+    def rest(self, text: str) -> bytes:
         parts = LONE_SPACE.split(text) if PAIRED_SPACE.search(text) else text.split(" ")
         return b"".join(map(self.__getitem__, [parts[0], *[" " + p for p in parts[1:]]]))
 
@@ -151,7 +158,7 @@ def packed_windows(docs: Iterable[tuple], length: int, most_open: int) -> Iterat
 
 
 def pack(
-    docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGTH, end: int = 0, most_open: int = OPEN, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, tokenizer_file: str, pattern: str, added: Mapping[str, int], length: int = LENGTH, end: int = 0, most_open: int = OPEN, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``, one row per piece.
 
@@ -159,7 +166,7 @@ def pack(
     exactly one piece. A sequence has at most ``length`` ids; one whose length is not a power of two would be padded
     to ``length``, but the windows left open at a task's end are cut and joined, so there is none. Rows that repeat
     an id are packed each. Other columns are not read. ``tokenizer_file`` has a byte-level vocabulary as ranks, ``pattern``
-    cuts texts for it, and every executor must be able to read the file; ``sequence_id`` has the task's number in its upper bits.
+    cuts texts for it, ``added`` has the ids of added tokens by their names in texts, and every executor must be able to read the file; ``sequence_id`` has the task's number in its upper bits.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType)])
@@ -168,7 +175,7 @@ def pack(
     stop = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, first = Ids(tokenizer_file, pattern), TaskContext.get().partitionId() << 33
+        ids, first = Ids(tokenizer_file, pattern, added), TaskContext.get().partitionId() << 33
         fields = None
 
         def documents(batches):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import mixing, near, packing, rules, sharding, spans, sql, toxicity, urls, warc, winnow
@@ -71,11 +73,13 @@ def op10_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
 
 
-def tokenizer() -> tuple[str, str]:
-    """The 50k byte-level vocabulary as ranks, and its pattern; the tests compare its ids with those of ``tokenizers``."""
+def tokenizer() -> tuple[str, str, dict[str, int]]:
+    """The 50k byte-level vocabulary as ranks, its pattern and added tokens; the tests compare its ids with those of ``tokenizers``."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added
 
 
 QUERIES = {
