@@ -3,7 +3,7 @@
 import pytest
 
 from checks import compare
-from tidemark.llm import mixing, near, packing, queries, rules, sharding, spans, toxicity, urls, warc, winnow
+from tidemark.llm import align, mixing, near, packing, queries, rules, sharding, simhash, spans, toxicity, urls, warc, winnow
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,10 +61,12 @@ def operators(spark):
         "winnow": winnow.compare_edited,
         "fingerprints": winnow.fingerprints,
         "spans": spans.remove_repeats,
+        "simhash": simhash.near_duplicates,
+        "align": lambda d: align.align(d, *queries.tokenizer_files()),
     }
 
 
-NAMES = ("near", "mixing", "packing", "rules", "toxicity", "shards", "winnow", "fingerprints", "spans")
+NAMES = ("near", "mixing", "packing", "rules", "toxicity", "shards", "winnow", "fingerprints", "spans", "simhash", "align")
 
 
 @pytest.mark.parametrize("name", NAMES)

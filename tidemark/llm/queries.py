@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import mixing, near, packing, rules, sharding, spans, sql, toxicity, urls, warc, winnow
+from tidemark.llm import align, codes, mixing, near, packing, rules, sharding, simhash, spans, sql, toxicity, urls, warc, winnow
 from tidemark.llm.common import table
 
 URL_RULES = (
@@ -73,6 +73,26 @@ def op10_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op11_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    found = codes.compress(table(spark, sf, "embeddings"), parts=16, entries=64, rounds=2)
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return align.align(table(spark, sf, "documents"), *tokenizer_files())
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """A byte-level vocabulary for ``tokenizers`` and one of pieces for ``sentencepiece``."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 def tokenizer() -> tuple[str, str, dict[str, int]]:
     """The 50k byte-level vocabulary as ranks, its pattern and added tokens; the tests compare its ids with those of ``tokenizers``."""
     import public_tokenizers
@@ -87,6 +107,7 @@ QUERIES = {
     for f in (
         op1_url_filter, op2_near_duplicates, op3_mixing, op4_packing, op5_warc,
         op6_quality_rules, op7_toxicity, op8_shards, op9_winnowing, op10_sentence_spans,
+        op11_simhash, op12_vector_codes, op13_token_alignment,
     )
 }
 # The others draw, learn, tokenize or hash; the tests hold them against plain Python.
@@ -96,4 +117,5 @@ SQL = {
     "op5_warc": sql.warc(),
     "op6_quality_rules": sql.quality_rules(),
     "op8_shards": sql.shards(SHARDS),
+    "op12_vector_codes": sql.vector_codes(16, 64, 2),
 }

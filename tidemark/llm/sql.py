@@ -149,3 +149,41 @@ def shards(names: tuple[str, ...]) -> str:
     WITH placed AS (SELECT doc_id, {slot} AS slot FROM documents)
     SELECT doc_id, slot, ([{listed}])[{table}[slot + 1] + 1] AS shard FROM placed
     """
+
+
+def vector_codes(parts: int, entries: int, rounds: int) -> str:
+    """For vectors of one length."""
+
+    def nearest(book: str) -> str:
+        distance = "list_sum(list_transform(range(len(part)), lambda i: (part[i + 1] - entry[i + 1]) * (part[i + 1] - entry[i + 1])))"
+        best = f"min(CAST({distance} AS BIGINT) * {entries} + e)"
+        return f"SELECT nr, p, part, {best} AS best FROM parts JOIN {book} USING (p) GROUP BY ALL"
+
+    steps = []
+    for k in range(rounds):
+        steps.append(f"near_{k} AS ({nearest(f'book_{k}')})")
+        steps.append(f"""means_{k} AS (
+        SELECT p, e, list(mean ORDER BY i) AS mean FROM (
+            SELECT p, best % {entries} AS e, i, CAST(floor(sum(part[i]) / count(*)) AS BIGINT) AS mean
+            FROM (SELECT p, best, part, unnest(range(1, len(part) + 1)) AS i FROM near_{k}) GROUP BY 1, 2, 3
+        ) GROUP BY ALL
+    )""")
+        steps.append(f"book_{k + 1} AS (SELECT p, e, coalesce(mean, entry) AS entry FROM book_{k} LEFT JOIN means_{k} USING (p, e))")
+    return f"""
+    WITH kept AS (
+        SELECT row_number() OVER (ORDER BY vec_id) - 1 AS nr, vec_id, label,
+               list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), parts AS (
+        SELECT nr, p, ints[p * len(ints) // {parts} + 1 : (p + 1) * len(ints) // {parts}] AS part FROM kept, range({parts}) AS r(p)
+    ), book_0 AS (SELECT p, nr AS e, part AS entry FROM parts WHERE nr < {entries}),
+    {", ".join(steps)},
+    last AS ({nearest(f"book_{rounds}")}),
+    coded AS (
+        SELECT nr, string_agg(lower(format('{{:02x}}', best % {entries})), '' ORDER BY p) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error
+        FROM last GROUP BY 1
+    )
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) FROM book_{rounds}) AS codebooks_sha256
+    FROM coded JOIN kept USING (nr)
+    """
