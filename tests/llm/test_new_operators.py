@@ -7,8 +7,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 import xxhash
+from tokenizers import Tokenizer
 
 from checks import compare
 from tidemark.llm import align, codes, queries, simhash, sql
@@ -239,9 +242,28 @@ def test_codes_with_nulls_equal_their_sql(spark, tmp_path):
 # Token alignment
 
 
+class Plain:
+    """Both tokenizers by their own libraries, and the bytes of a token by the rules of its vocabulary."""
+
+    def __init__(self):
+        self.a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        unseen = [b for b in range(256) if b not in seen]
+        self.letters = {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(unseen)}
+
+    def of_a(self, number):
+        return bytes(self.letters[c] for c in self.a.id_to_token(number))
+
+    def of_b(self, number):
+        piece = self.b.id_to_piece(number)
+        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode()
+
+
 @pytest.fixture(scope="module")
 def tokenizers():
-    return align.Tokenizers(*queries.tokenizer_files())
+    return Plain()
 
 
 def plain_alignment(texts, tokenizers):
@@ -252,7 +274,7 @@ def plain_alignment(texts, tokenizers):
         if not text:
             continue
         ids_a, ids_b = tokenizers.a.encode(" " + text, add_special_tokens=False).ids, tokenizers.b.encode(text)
-        bytes_a, bytes_b = [tokenizers.bytes_a[k] for k in ids_a], [tokenizers.bytes_b[k] for k in ids_b]
+        bytes_a, bytes_b = list(map(tokenizers.of_a, ids_a)), list(map(tokenizers.of_b, ids_b))
         if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
             continue
         ranges = []
@@ -322,7 +344,17 @@ def test_alignment_of_null_and_repeated_ids(spark, tokenizers):
 
 
 def test_slices_and_links():
-    assert align.slices([1, 3, 6], [3, 4, 6]) == [(0, 2, 0, 1), (2, 3, 1, 3)]
+    assert align.slices([1, 3, 6], [3, 4, 6]) == ([3, 6], [2, 3], [1, 3])
     assert list(align.links([1, 3, 6], [3, 4, 6], (0, 2, 0, 1))) == [(0, 0), (1, 0)]
     assert list(align.links([1, 3, 6], [3, 4, 6], (2, 3, 1, 3))) == [(2, 1), (2, 2)]
     assert list(align.links([2, 5, 6], [3, 4, 6], (0, 3, 0, 3))) == [(0, 0), (1, 0), (1, 1), (1, 2), (2, 2)]
+
+
+def test_runs_of_pieces_give_what_pieces_alone_give(tokenizers):
+    both = align.Tokenizers(*queries.tokenizer_files())
+    pieces = list(dict.fromkeys(p for t in ODD if t and len(t) < 9000 for p in align.LONE_SPACE.split(t)))
+    together = both.aligned(pieces)
+    alone = [x for p in pieces for x in both._run([p])]
+    for name in ("facts", "counts", "pairs"):
+        assert np.concatenate([getattr(x, name) for x in together]).tolist() == np.concatenate([getattr(x, name) for x in alone]).tolist()
+    assert [g for x in together for g in x.groups] == [g for x in alone for g in x.groups]

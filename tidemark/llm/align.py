@@ -1,9 +1,10 @@
 """Alignment of two tokenizers' ids over the same text.
 
 Both tokenizers begin a token at every space that stands alone between two other characters. So a text is cut there,
-each distinct piece is encoded and aligned once, and a text's groups are those of its pieces in a row. In a piece the
-cumulative ends of both token lists are keys of two dictionaries, end to index. The keys that both have, sorted, slice
-both lists into groups; inside a slice the tokens whose bytes overlap are linked.
+each distinct piece is encoded and aligned once, and a text's groups are those of its pieces in a row. New pieces are
+joined with such spaces to runs. The cumulative ends of both token lists of a run are keys of two dictionaries, end to
+index. The keys that both have, sorted, slice both lists into groups; inside a slice the tokens whose bytes overlap are
+linked.
 
 How often an id pair is linked corpus-wide is summed over blocks of documents: a block lists each pair once, so what is
 shuffled are a block's distinct pairs, and its documents meet the sums by block.
@@ -11,9 +12,12 @@ shuffled are a block's distinct pairs, and its documents meet the sums by block.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -29,29 +33,25 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 BLOCK_LINKS, BLOCK_ROWS = 1 << 18, 4096  # a block of documents is closed when it has so many
 PIECES = 400_000  # distinct pieces that a task remembers
+RUN_CHARS = 1 << 16  # of new pieces that are encoded as one text
 ID_BITS = 32
 
 
 class Aligned(NamedTuple):
-    """Tokens, groups and linked id pairs of a piece; ``fits`` if both sides give its bytes."""
+    """Pieces by number: if both sides give a piece's bytes, its tokens and groups; then the links of all pieces in a row."""
 
-    fits: bool
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: bytes
-    pairs: list[int]
+    facts: np.ndarray  # fits, tokens of both, groups
+    groups: list[bytes]
+    counts: np.ndarray  # links of each piece
+    pairs: np.ndarray
 
 
-def slices(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Bounds of the groups in both lists, from cumulative ends."""
-    index_a = {end: k for k, end in enumerate(ends_a, 1)}
-    index_b = {end: k for k, end in enumerate(ends_b, 1)}
-    found, a, b = [], 0, 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        found.append((a, index_a[end], b, index_b[end]))
-        a, b = index_a[end], index_b[end]
-    return found
+def slices(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """The ends that both have, and the number of tokens up to each in both lists."""
+    index_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
+    index_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
+    common = sorted(index_a.keys() & index_b.keys())
+    return common, list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
 
 
 def links(ends_a: list[int], ends_b: list[int], bounds: tuple[int, int, int, int]) -> Iterator[tuple[int, int]]:
@@ -64,26 +64,27 @@ def links(ends_a: list[int], ends_b: list[int], bounds: tuple[int, int, int, int
         b += end_b <= end_a
 
 
-def byte_letters() -> dict[str, int]:
-    """The byte for each character of a byte-level vocabulary: bytes without a visible form follow from 256 on."""
-    seen = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    unseen = [b for b in range(256) if b not in set(seen)]
-    return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(unseen)}
-
-
 class Tokenizers:
-    """Both tokenizers, and the bytes of their tokens. ``a`` is a byte-level vocabulary, ``b`` one of pieces."""
+    """Both tokenizers, and the bytes of their tokens.
 
-    def __init__(self, file_a: str, file_b: str):
-        import sentencepiece
-        from tokenizers import Tokenizer
+    The first has a byte-level vocabulary as ranks and the pattern that cuts texts for it; the names of special tokens
+    are plain text to it. The second is a model of pieces.
+    """
 
-        self.a = Tokenizer.from_file(file_a)
-        self.a.encode_special_tokens = True  # their strings in texts are plain text
-        self.b = sentencepiece.SentencePieceProcessor(model_file=file_b)
-        letters = byte_letters()
-        self.bytes_a = {k: bytes(letters[c] for c in t) for t, k in self.a.get_vocab(with_added_tokens=False).items() if set(t) <= letters.keys()}
+    def __init__(self, ranks_file: str, pattern: str, pieces_file: str):
+        import sentencepiece
+        import tiktoken
+
+        with open(ranks_file, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.a = tiktoken.Encoding("alignment", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_file)
+        self.bytes_a = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.bytes_a[rank] = token
         self.bytes_b = [self._piece(k) for k in range(self.b.vocab_size())]
+        self.sizes_a, self.sizes_b = (list(map(len, table)) for table in (self.bytes_a, self.bytes_b))
+        self.digits = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
 
     def _piece(self, number: int) -> bytes:
         text = self.b.id_to_piece(number)
@@ -91,20 +92,59 @@ class Tokenizers:
         return bytes([int(one[1], 16)]) if one else text.replace("▁", " ").encode()
 
     def aligned(self, pieces: list[str]) -> list[Aligned]:
-        """Each piece with the space before it; the second tokenizer sets that itself."""
-        of_a = self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)
-        return [self._aligned(p, a.ids, b) for p, a, b in zip(pieces, of_a, self.b.encode(pieces, num_threads=1), strict=True)]
-
-    def _aligned(self, piece: str, ids_a: list[int], ids_b: list[int]) -> Aligned:
-        bytes_a, bytes_b = [self.bytes_a.get(k, b"") for k in ids_a], [self.bytes_b[k] for k in ids_b]
-        raw = (" " + piece).encode()
-        if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
-            return Aligned(False, 0, 0, 0, b"", [])
-        ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]).tolist(), np.cumsum([len(x) for x in bytes_b]).tolist()
-        bounds = slices(ends_a, ends_b)
-        groups = ";".join(f"{','.join(map(str, ids_a[a:c]))}|{','.join(map(str, ids_b[b:d]))}" for a, c, b, d in bounds)
-        pairs = [ids_a[i] << ID_BITS | ids_b[j] for at in bounds for i, j in links(ends_a, ends_b, at)]
-        return Aligned(True, len(ids_a), len(ids_b), len(bounds), groups.encode(), pairs)
+        """The pieces in order, each with the space before it, which the second tokenizer sets itself.
+
+        Many are encoded as one text, with the lone spaces between them at which a text would be cut. Pieces that can't
+        stand beside such a space, or that don't come back among others, are encoded alone.
+        """
+        found, run, size = [], [], 0
+        for piece in pieces:
+            fit = bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+            if run and (not fit or size > RUN_CHARS):
+                found += self._run(run)
+                run, size = [], 0
+            if fit:
+                run.append(piece)
+                size += len(piece) + 1
+            else:
+                found += self._run([piece])
+        return found + (self._run(run) if run else [])
+
+    def _run(self, pieces: list[str]) -> list[Aligned]:
+        text = " ".join(pieces)
+        raw = (" " + text).encode()
+        ids_a, ids_b = self.a(" " + text), self.b.encode(text)
+        if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
+            if len(pieces) > 1:
+                return [x for p in pieces for x in self._run([p])]
+            return [Aligned(np.zeros((1, 4), np.int64), [b""], np.zeros(1, np.int64), np.empty(0, np.int64))]
+        ends_a = list(accumulate(map(self.sizes_a.__getitem__, ids_a)))
+        ends_b = list(accumulate(map(self.sizes_b.__getitem__, ids_b)))
+        common, upto_a, upto_b = slices(ends_a, ends_b)
+        stops = np.array([upto_a, upto_b])
+        starts = np.concatenate([np.zeros((2, 1), np.int64), stops[:, :-1]], axis=1)
+        # Most groups are one token of either side; the links of the others are expanded one group at a time.
+        wide = np.flatnonzero((stops - starts > 1).any(axis=0))
+        first_a, first_b = np.array(ids_a)[starts[0]], np.array(ids_b)[starts[1]]
+        digits = self.digits.__getitem__
+        groups = list(map("%s|%s".__mod__, zip(first_a.tolist(), first_b.tolist(), strict=True)))
+        counts, more = np.ones(len(common), np.int64), []
+        for k in wide.tolist():
+            a, b, c, d = *starts[:, k].tolist(), *stops[:, k].tolist()
+            groups[k] = f"{','.join(map(digits, ids_a[a:c]))}|{','.join(map(digits, ids_b[b:d]))}"
+            expanded = [ids_a[i] << ID_BITS | ids_b[j] for i, j in links(ends_a, ends_b, (a, c, b, d))]
+            counts[k] = len(expanded)
+            more += expanded
+        pairs = np.repeat(first_a << ID_BITS | first_b, counts)
+        pairs[np.repeat(np.isin(np.arange(len(common)), wide, assume_unique=True), counts)] = more
+        # A piece ends where both have a token end.
+        sizes = np.fromiter((len(p.encode()) + 1 for p in pieces), np.int64, len(pieces))
+        last = np.searchsorted(common, np.cumsum(sizes)) + 1
+        first = np.append(0, last[:-1])
+        facts = np.stack([np.ones(len(pieces), np.int64), *np.diff(np.append(0, stops[0][last - 1])[None]), *np.diff(np.append(0, stops[1][last - 1])[None]), last - first], axis=1)
+        texts = [";".join(groups[x:y]).encode() for x, y in zip(first.tolist(), last.tolist(), strict=True)]
+        of_links = np.append(0, np.cumsum(counts))
+        return [Aligned(facts, texts, of_links[last] - of_links[first], pairs)]
 
 
 class Memory:
@@ -118,8 +158,8 @@ class Memory:
         self.number: dict[str, int] = {}
         self.groups: list[bytes] = []
         self.pair_number: dict[int, int] = {}
-        self.facts = np.zeros((0, 4), np.int64)  # fits, tokens of both, groups
-        self.pairs, self.starts, self.size = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
+        self.facts = np.zeros((0, 4), np.int64)
+        self.pairs, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def learn(self, texts: list[list[str]]) -> None:
         """Encodes and aligns the pieces of texts that are new."""
@@ -127,16 +167,18 @@ class Memory:
         if not new:
             return
         found = self.tokenizers.aligned(new)
-        n, of_pairs = len(self.groups), self.pair_number
-        self.number.update(zip(new, range(n, n + len(new)), strict=True))
-        self.groups += [f.groups for f in found]
-        numbers = np.array([of_pairs.setdefault(p, len(of_pairs)) for f in found for p in f.pairs], np.int32)
-        ends = self.starts[n] + np.cumsum([len(f.pairs) for f in found])
-        self.facts, self.starts = _grown(self.facts, n + len(new)), _grown(self.starts, n + 1 + len(new))
-        self.facts[n : n + len(new)] = [(f.fits, f.n_a, f.n_b, f.n_groups) for f in found]
-        self.starts[n + 1 : n + 1 + len(new)] = ends
-        self.pairs = _grown(self.pairs, ends[-1])
-        self.pairs[ends[-1] - len(numbers) : ends[-1]] = numbers
+        n = len(self.groups)
+        after = n + len(new)
+        self.number.update(zip(new, range(n, after), strict=True))
+        for f in found:
+            self.groups += f.groups
+        codes, places = np.unique(np.concatenate([f.pairs for f in found]), return_inverse=True)
+        numbers = np.array([self.pair_number.setdefault(c, len(self.pair_number)) for c in codes.tolist()], np.int32)
+        ends = self.starts[n] + np.cumsum(np.concatenate([f.counts for f in found]))
+        self.facts, self.starts, self.pairs = _grown(self.facts, after), _grown(self.starts, after + 1), _grown(self.pairs, ends[-1])
+        self.facts[n:after] = np.concatenate([f.facts for f in found])
+        self.starts[n + 1 : after + 1] = ends
+        self.pairs[self.starts[n] : ends[-1]] = numbers[places] if len(codes) else []
 
     def linked(self, pieces: np.ndarray) -> np.ndarray:
         """The numbers of all linked id pairs of pieces in a row."""
@@ -146,6 +188,12 @@ class Memory:
         return self.pairs[places]
 
 
+@lru_cache(maxsize=1)
+def memory_of(ranks_file: str, pattern: str, pieces_file: str) -> Memory:
+    """One for all tasks that a worker runs after each other."""
+    return Memory(Tokenizers(ranks_file, pattern, pieces_file))
+
+
 def _grown(values: np.ndarray, size: int) -> np.ndarray:
     """Room for ``size`` rows or more."""
     if len(values) >= size:
@@ -154,7 +202,7 @@ def _grown(values: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate([values, more])
 
 
-def aligned_blocks(docs: DataFrame, file_a: str, file_b: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def aligned_blocks(docs: DataFrame, ranks_file: str, pattern: str, pieces_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per document, and one per block of them that lists its linked id pairs.
 
     Rows of documents: ``block, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs, times``, where ``pairs`` are
@@ -170,7 +218,7 @@ def aligned_blocks(docs: DataFrame, file_a: str, file_b: str, key: str = "doc_id
         schema = schema.add(name, T.ArrayType(part))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = Memory(Tokenizers(file_a, file_b))
+        memory = memory_of(ranks_file, pattern, pieces_file)
         block, held, linked, kind = TaskContext.get().partitionId() << 33, [], 0, None
 
         def closed() -> pa.RecordBatch:
@@ -228,7 +276,7 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
     return counts.join(tops, second == F.col("b")).select("pair", "n", (F.col("n") == F.col("top")).alias("best"))
 
 
-def align(docs: DataFrame, file_a: str, file_b: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def align(docs: DataFrame, ranks_file: str, pattern: str, pieces_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``, one row per row of ``docs``.
 
     ``n_links`` counts the pairs of tokens whose bytes overlap; ``count_sum`` adds, over a document's links, how many
@@ -238,7 +286,7 @@ def align(docs: DataFrame, file_a: str, file_b: str, key: str = "doc_id", text:
     each and count each. Whole texts are read; the pieces of a very long one are in its block alone. Other columns are
     not read. An empty table gives no rows. Every executor must be able to read both files.
     """
-    blocks = staged(aligned_blocks(docs, file_a, file_b, key, text), "blocks")
+    blocks = staged(aligned_blocks(docs, ranks_file, pattern, pieces_file, key, text), "blocks")
     of_blocks = blocks.where(F.col("listed").isNotNull()).select("block", "listed", "counts")
     facts = staged(pair_counts(of_blocks), "pair-counts")
     pairs = of_blocks.select("block", F.posexplode("listed").alias("place", "pair"))

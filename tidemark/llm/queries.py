@@ -86,11 +86,11 @@ def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return align.align(table(spark, sf, "documents"), *tokenizer_files())
 
 
-def tokenizer_files() -> tuple[str, str]:
-    """A byte-level vocabulary for ``tokenizers`` and one of pieces for ``sentencepiece``."""
+def tokenizer_files() -> tuple[str, str, str]:
+    """The 50k byte-level vocabulary as ranks and its pattern, and a model of pieces; the tests compare the ids with those of ``tokenizers``."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
 
 
 def tokenizer() -> tuple[str, str, dict[str, int]]:
