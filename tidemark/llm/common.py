@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -31,6 +31,26 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores before one that a column has; Spark doesn't tell case apart."""
+    there = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in there:
+            name = f"_{name}"
+        there.add(name.lower())
+        found.append(name)
+    return found
+
+
+def repeated(df: DataFrame, times: str, most: int = 10_000) -> DataFrame:
+    """Every row as often as its column ``times`` says, which goes; no array has more than ``most`` entries."""
+    part, turn = unused(df.columns, "part", "turn")
+    parts = df.where(F.col(times) > 0).withColumn(part, F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / most))))
+    left = F.least(F.col(times) - F.col(part) * most, F.lit(most)).cast("int")
+    return parts.withColumn(turn, F.explode(F.sequence(F.lit(1), left))).drop(times, part, turn)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples of Python values, one batch at a time."""
     for batch in batches:

@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidemark.llm.common import word_count
+from tidemark.llm.common import repeated, word_count
 from tidemark.session import staged
 
 BLOCK = 1_000  # documents that a task rounds against each other
@@ -95,60 +96,49 @@ def _rounded(rows: DataFrame, keys: Sequence[str], order: Sequence[str], last: b
     schema = T.StructType([f for f in rows.schema if f.name not in ("fraction", "copies", "open")])
     schema = schema.add("fraction", "double").add("copies", "long").add("open", "boolean")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(list(order), kind="stable", na_position="last").reset_index(drop=True)
-        place = xxhash.xxh3_64_intdigest(repr([group[k].iat[0].item() for k in keys]).encode(), seed=seed)
+    def run(group: pa.Table) -> pa.Table:
+        # Arrow keeps ids as they are; pandas would make them doubles beside a null.
+        group = group.take(pc.sort_indices(group, sort_keys=[(k, "ascending") for k in order], null_placement="at_end"))
+        place = xxhash.xxh3_64_intdigest(repr([group.column(k)[0].as_py() for k in keys]).encode(), seed=seed)
         draws = np.random.Generator(np.random.PCG64(place)).random(len(group) + 1)
-        after = pivotal(group["size"].to_numpy(np.float64), group["fraction"].to_numpy(np.float64), draws[:-1])
+        sizes, fractions = (group.column(c).to_numpy().astype(np.float64) for c in ("size", "fraction"))
+        after = pivotal(sizes, fractions, draws[:-1])
         open_ = (after > 0) & (after < 1)
         if last:
             after = np.where(open_, (draws[-1] < after).astype(float), after)
             open_ = np.zeros(len(after), bool)
-        group["copies"] = group["whole"] + np.where(open_, 0, after).astype(np.int64)
-        group["fraction"], group["open"] = after, open_
-        return group[[f.name for f in schema]]
+        copies = group.column("whole").to_numpy() + np.where(open_, 0, after).astype(np.int64)
+        new = {"fraction": pa.array(after), "copies": pa.array(copies), "open": pa.array(open_)}
+        return pa.table({f.name: new[f.name] if f.name in new else group.column(f.name) for f in schema})
 
-    return rows.groupBy(*keys).applyInPandas(run, schema)
+    return rows.groupBy(*keys).applyInArrow(run, schema)
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[int] = (5, 2, 1),
-    share: float = 1.5,
-    most: float = 2.0,
-    seed: int = 17,
-    key: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-) -> DataFrame:
-    """``doc_id, text_hash, source, size, source_size, target, copies, taken``, one row per row of ``docs``.
+def _chosen(rows: DataFrame, weights: Sequence[int], share: float, most: float, seed: int) -> DataFrame:
+    """Equal rows of ``doc_id, text_hash, source, size`` and what else there is, once, with ``n``, ``source_size``, ``target`` and ``copies``.
 
-    ``size`` counts words, a null text has none; ``target`` is that of the document's source (null is a source of its
-    own), ``copies`` the times the document is taken and ``taken`` the words of these. No document is taken more than
-    ``most`` times, rounded up. A document without words is taken once if its source is taken at all. A source's words
-    miss its target by at most its largest document. The draws depend on ids, sizes and ``seed`` alone, so a
-    rerun gives the same mix; rows that repeat an id are rounded each. An empty table gives no rows.
+    ``n`` is how often the row is there and ``copies`` how often the mix takes all of them together: equal rows are one
+    unit that is rounded once, however many they are.
     """
-    rows = docs.select(
-        F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
-    )
-    rows = staged(rows, "sizes")
-    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    keys = rows.columns
+    rows = staged(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    sums = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count(F.lit(1)).alias("rows"))
     plan = staged(targets(ranked(sums, "source"), weights, share, most), "targets")
     # One row per source, so a source with very many documents is split by the adaptive join.
     same = rows["source"].eqNullSafe(plan["source"])
     placed = rows.join(plan, same).drop(plan["source"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(rate + F.lit(1e-12))
+    wanted = rate * F.col("n")
+    whole = F.floor(wanted + F.lit(1e-12))
     blocks = F.ceil(F.col("rows") / BLOCK)
     placed = placed.withColumns(
         {
-            "whole": F.when(F.col("size") > 0, whole).otherwise(F.when(rate > 0, 1).otherwise(0)).cast("bigint"),
-            "fraction": F.when(F.col("size") > 0, F.greatest(rate - whole, F.lit(0.0))).otherwise(F.lit(0.0)),
+            "whole": F.when(F.col("size") > 0, whole).otherwise(F.when(rate > 0, F.col("n")).otherwise(0)).cast("bigint"),
+            "fraction": F.when(F.col("size") > 0, F.greatest(wanted - whole, F.lit(0.0))).otherwise(F.lit(0.0)),
             "block": F.pmod(F.xxhash64("doc_id", "text_hash"), blocks).cast("bigint"),
         }
     ).drop("rows")
-    order = ("doc_id", "text_hash", "size")
+    order = ("doc_id", "text_hash", "size", *(k for k in keys if k == "other"))
     level = staged(_rounded(placed, ("rank", "block"), order, False, seed), "rounded")
     done = [level.where(~F.col("open"))]
     blocks = plan.agg(F.max(F.ceil(F.col("rows") / BLOCK))).head()[0] or 0
@@ -164,28 +154,67 @@ def mix(
     result = done[0]
     for more in done[1:]:
         result = result.unionByName(more)
-    return result.select(
+    return result.select(*keys, "n", "source_size", "target", "copies")
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = (5, 2, 1),
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: int = 17,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """``doc_id, text_hash, source, size, source_size, target, copies, taken``, one row per row of ``docs``.
+
+    ``size`` counts words, a null text has none; ``target`` is that of the document's source (null is a source of its
+    own), ``copies`` the times the document is taken and ``taken`` the words of these. No document is taken more than
+    ``most`` times, rounded up. A document without words is taken once if its source is taken at all. A source's words
+    miss its target by at most its largest document. The draws depend on ids, sizes and ``seed`` alone, so a
+    rerun gives the same mix. Rows with equal id, text and source are rounded together and share their copies as evenly
+    as whole copies can be shared; ids are kept as they are, null ones too. Very long texts are only counted. Other
+    columns are not read. An empty table gives no rows.
+    """
+    rows = docs.select(
+        F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
+    )
+    each, over = F.floor(F.col("copies") / F.col("n")), F.col("copies") % F.col("n")
+    dealt = F.array(F.struct(over.alias("n"), (each + 1).alias("copies")), F.struct((F.col("n") - over).alias("n"), each.alias("copies")))
+    found = _chosen(rows, weights, share, most, seed).withColumn("dealt", F.explode(dealt))
+    found = repeated(found.withColumns({"n": F.col("dealt.n"), "copies": F.col("dealt.copies")}), "n")
+    return found.select(
         "doc_id", "text_hash", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it.
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[int] = (5, 2, 1),
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: int = 17,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it; all columns stay, whatever their names.
 
-    Rows that repeat an id and text are counted first, and their copies are dealt to them in turn.
+    Rows that are equal in all columns are rounded together, and one of them stands for all that are taken. Null ids,
+    null, empty and very long texts are rows like any other, as :func:`mix` says. An empty table gives no rows.
     """
-    chosen = mix(docs, **options).groupBy("doc_id", "text_hash", "source").agg(
-        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
-    ).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source"), "_copies", "_rows")
-    chosen = staged(chosen, "chosen")
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")) & F.col("source").eqNullSafe(F.col("_source"))
-    )
-    joined = docs.join(chosen, same)
-    share = F.floor(F.col("_copies") / F.col("_rows"))
-    if not chosen.where("_rows > 1").isEmpty():
-        turn = F.row_number().over(Window.partitionBy("_id", "_hash", "_source").orderBy(F.lit(1)))
-        joined = joined.withColumn("_turn", turn)
-        share = share + F.when(F.col("_turn") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    times = F.sequence(F.lit(1), F.col("_share").cast("int"))
-    return joined.withColumn("_share", share).where("_share > 0").withColumn("_time", F.explode(times)).select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(
+        whole.alias("row"), F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(source).alias("source"), F.xxhash64(whole).alias("other"), word_count(F.col(text)).alias("size")
+    )
+    chosen = staged(_chosen(rows.drop("row"), weights, share, most, seed).where("copies > 0"), "chosen")
+    of = chosen.select(*[F.col(c).alias(f"of_{c}") for c in ("doc_id", "text_hash", "source", "other")], "n", "copies")
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ("doc_id", "source")] + [F.col(c) == F.col(f"of_{c}") for c in ("text_hash", "other")]
+    joined = rows.join(of, same)
+    taken = joined.select("row", "n", "copies")
+    if not chosen.where("n > 1").isEmpty():
+        # Equal rows meet in each task first, so a row that is there very often is not gathered.
+        again = joined.where("n > 1").groupBy("doc_id", "text_hash", "source", "other").agg(F.first("row").alias("row"), F.first("copies").alias("copies"))
+        taken = taken.where("n = 1").drop("n").unionByName(again.select("row", "copies"))
+    return repeated(taken.select("row", "copies"), "copies").select("row.*")
