@@ -10,6 +10,7 @@ chance hits, from which a probability is fitted.
 from __future__ import annotations
 
 import string
+import warnings
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import rows_of, utf8
+from tidemark.llm.common import rows_of, unused, utf8
 from tidemark.session import staged
 
 TRAIN_ROWS = 20_000  # labelled documents of each kind that are learnt from, at most
@@ -150,19 +151,23 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learns from labelled documents that are not held out.
 
     Of each kind at most ``TRAIN_ROWS`` are used, by the hash of their ids; if a document has several labels, the
-    largest counts. The ids of these are broadcast, the counts and the calibration's figures come to the driver; all
-    are bounded by the parameters above. In the calibration a document's own counts are left out, and a document
+    largest counts. Labels of ids that no document has count for nothing, and rows equal in id and text count once. The
+    ids of these are broadcast, the counts and the calibration's figures come to the driver; all are bounded by the
+    parameters above. If documents of both kinds are not there, it warns and nothing is learnt. In the calibration a document's own counts are left out, and a document
     stands for as many as its kind has labels for each that is used, so a score means the same for any input size.
     """
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = marked.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text"), F.xxhash64(text).alias("_hash"))
+    marked = staged(rows.select("_id", "_hash").join(marked, "_id").distinct(), "marked")
     there = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
-    order = F.xxhash64("_id")
-    sample = marked.where("toxic = 0").orderBy(order).limit(TRAIN_ROWS).union(marked.where("toxic = 1").orderBy(order).limit(TRAIN_ROWS))
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text"))
-    training = staged(rows.join(F.broadcast(sample), "_id").select("text", "toxic"), "training")
+    order = (F.xxhash64("_id"), "_id", "_hash")
+    sample = marked.where("toxic = 0").orderBy(*order).limit(TRAIN_ROWS).union(marked.where("toxic = 1").orderBy(*order).limit(TRAIN_ROWS))
+    found = rows.join(F.broadcast(sample), ["_id", "_hash"])
+    training = staged(found.groupBy("_id", "_hash").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic"), "training")
     model = _counted(training)
     if not model.learnt:
+        warnings.warn(f"nothing is learnt from {int(model.docs[0])} clean and {int(model.docs[1])} toxic documents", stacklevel=2)
         return model
     shared = docs.sparkSession.sparkContext.broadcast(model)
     bins = int(2 * LIMIT / BIN) + 1
@@ -208,7 +213,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     ``score`` is the fitted probability of the toxic label; ``passages`` are all segments that a clean text of that
     length has with a chance below ``LIKELY``, as first and last token (from 0) and sum. A null or empty text has no
     passage and the score of a text without evidence. If nothing could be learnt, for want of documents of both kinds,
-    every score is 0. Rows that repeat an id have a row each. Other columns are not read.
+    every score is 0. Rows that repeat an id have a row each. Whole texts are scored, however long. Other columns are
+    not read. An empty table gives no rows.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -240,8 +246,13 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
-    """``docs`` without the rows whose score is ``least`` or more; all columns stay."""
+    """``docs`` without the rows whose score is ``least`` or more; all columns stay, whatever their names.
+
+    Rows equal in id and text go or stay together, null ids too. Null and empty texts have the score of a text without
+    evidence. An empty table gives no rows.
+    """
     gone = score(docs, fit(docs, labels)).where(F.col("score") >= least)
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    of_id, of_hash = unused(docs.columns, "of_id", "of_hash")
+    gone = gone.select(F.col("doc_id").alias(of_id), F.col("text_hash").alias(of_hash)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_hash))
     return docs.join(gone, same, "left_anti")
