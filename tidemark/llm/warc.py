@@ -28,6 +28,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 FRAME_BYTES = 1 << 20  # a frame is closed when its records reach this
 BUNDLE_BYTES = 256 << 20  # a bundle is closed when its frames reach this
+SPLIT_FRAMES = 16  # frames in a row that are read together
 LEVEL = 3
 
 
@@ -80,14 +81,14 @@ def parsed(frame: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
 class Bundle:
     """A bundle being written to a binary stream."""
 
-    def __init__(self, out):
-        self.out, self.frames, self.held, self.written = out, [], bytearray(), 0
+    def __init__(self, out, frame_bytes: int = FRAME_BYTES):
+        self.out, self.frames, self.held, self.written, self.frame_bytes = out, [], bytearray(), 0, frame_bytes
         self.packer = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True)
 
     def add(self, raw: bytes) -> Place:
         place = Place(len(self.frames), len(self.held), len(raw))
         self.held += raw
-        if len(self.held) >= FRAME_BYTES:
+        if len(self.held) >= self.frame_bytes:
             self._flush()
         return place
 
@@ -150,7 +151,7 @@ def with_originals(pages: DataFrame, least: int = 0) -> DataFrame:
     return rows.join(staged(shared.where("_n > 1").drop("_n"), "digests"), "_digest", "left").drop("_digest")
 
 
-def write_bundles(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
+def write_bundles(pages: DataFrame, folder: str, least: int = 0, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     """Writes a record per row of ``pages`` (page_id, url, html) and returns the index.
 
     The index is ``page_id, bundle, frame, offset, size``. Of records with equal payloads of at least ``least`` bytes
@@ -176,7 +177,7 @@ def write_bundles(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
             for page, url, html, original, again in rows_of([batch], "page_id", "url", "html", "_original", "revisit"):
                 if bundle is None:
                     name = f"part-{uuid.uuid4().hex}.warc.zst"
-                    bundle = Bundle(files.open_output_stream(f"{root}/{name}", compression=None))
+                    bundle = Bundle(files.open_output_stream(f"{root}/{name}", compression=None), frame_bytes)
                 place = bundle.add(record(page, url, (html or "").encode(), original, again))
                 placed.append((page, f"{folder}/{name}", *place))
                 if bundle.written >= BUNDLE_BYTES:
@@ -191,15 +192,20 @@ def write_bundles(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     return staged(rows.mapInArrow(run, schema), "warc-index")
 
 
-def read_bundles(index: DataFrame) -> DataFrame:
+def read_bundles(index: DataFrame, split_frames: int = SPLIT_FRAMES) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to``, read from the bundles of the index.
 
-    A task reads whole bundles, a frame at a time. A response's digest is taken from its payload and must be the one
-    that its header states.
+    The bundles are read in splits of ``split_frames`` frames, found by the seek table, which are dealt to tasks in turn; so a
+    single large bundle is shared too. A response's digest is taken from its payload and must be the one that its header
+    states. Rows that repeat an id come back each. An empty index gives no rows.
     """
     id_type = index.schema["page_id"].dataType
-    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # as few rows, they would meet in one task
-    bundles = index.select("bundle").distinct().repartition(parts, "bundle")
+    last = index.groupBy("bundle").agg(F.max("frame").alias("last"))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), "last", F.lit(split_frames).cast("bigint")))
+    splits = staged(last.select("bundle", first.alias("first")), "splits")
+    # Dealt in turn and by a number, as adaptive execution would join so few rows in one task.
+    tasks = min(splits.count(), int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    splits = splits.repartition(max(tasks, 1))
     schema = T.StructType([T.StructField("page_id", T.StringType())]).add("payload_bytes", "long")
     schema = schema.add("payload_digest", "string").add("record_type", "string").add("refers_to", "string")
 
@@ -207,10 +213,10 @@ def read_bundles(index: DataFrame) -> DataFrame:
         fields = pa.schema([pa.field(f.name, pa.int64() if f.name == "payload_bytes" else pa.string()) for f in schema])
 
         def records():
-            for (uri,) in rows_of(batches, "bundle"):
+            for uri, first in rows_of(batches, "bundle", "first"):
                 files, path = pafs.FileSystem.from_uri(uri)
                 with files.open_input_file(path) as source:
-                    for entry in seek_table(source):
+                    for entry in seek_table(source)[first : first + split_frames]:
                         frame, at = frame_of(source, entry), 0
                         while at < len(frame):
                             headers, block, at = parsed(frame, at)
@@ -218,7 +224,7 @@ def read_bundles(index: DataFrame) -> DataFrame:
 
         yield from batches_of(records(), fields)
 
-    found = bundles.mapInArrow(run, schema)
+    found = splits.mapInArrow(run, schema)
     return found.select(
         F.col("page_id").try_cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").try_cast(id_type).alias("refers_to")
     )
