@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.llm.common import unused
 from tidemark.llm.links import components
 from tidemark.llm.shingles import (
     EMPTY,
@@ -214,10 +215,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     ``component_id`` is the smallest id reachable and ``kept`` marks the document of that id. A text without words
     has an empty set and is linked with nothing. Rows that repeat an id are told apart by ``text_hash``
     (``xxhash64`` of the text); a null id is never the smallest while there is another, else the row is kept.
-    Other columns are not read. No table gives no rows.
+    Other columns are not read. Whole texts are read, very long ones too. An empty table gives no rows.
 
     A pair of just that similarity shares no band in less than one of a million cases.
     """
+    return _grouped(docs, width, percent, key, text).drop("group")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of :func:`near_duplicates` with ``group``, a number of each component; null for a text without words."""
     found = staged(sketches(docs, width, key, text), "sketches")
     full = found.where(F.col("node").isNotNull())
     nodes = staged(
@@ -239,12 +245,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
 
     lows = labels.join(nodes.select("node", "low_id"), "node").groupBy("label").agg(F.min("low_id").alias("least"))
     owners = nodes.select("node", "low_id").join(labels.join(lows, "label"), "node", "left")
-    owners = owners.select("node", F.coalesce("least", "low_id").alias("component_id"))
+    owners = owners.select("node", F.coalesce("label", "node").alias("group"), F.coalesce("least", "low_id").alias("component_id"))
     result = found.join(owners, "node", "left").withColumn(
         "component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return result.select("doc_id", "text_hash", "n_shingles", "component_id", kept.alias("kept"))
+    return result.select("doc_id", "text_hash", "n_shingles", "component_id", kept.alias("kept"), "group")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -256,8 +262,36 @@ def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that are not ``kept``; all columns stay."""
-    gone = near_duplicates(docs, width, percent).where(~F.col("kept"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same: Column = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(gone, same, "left_anti")
+    """One row of each group of near duplicates; all columns stay, whatever their names.
+
+    It is the row of the smallest id, among several of these the one of the least text hash, among rows equal in both
+    the least by all columns. Null ids come last. Rows without words are in no group and all stay. An empty table gives
+    no rows.
+    """
+    found = staged(_grouped(docs, width, percent).select("doc_id", "text_hash", "group", "kept"), "groups")
+    gone = found.where(~F.col("kept")).select("doc_id", "text_hash")
+    kept = found.where(F.col("kept") & F.col("group").isNotNull())
+    # More than one row of a group has its smallest id only if ids are null or repeat.
+    ties = staged(kept.groupBy("group").agg(F.count(F.lit(1)).alias("rows"), F.min("text_hash").alias("least")).where("rows > 1"), "ties")
+    if ties.isEmpty():
+        return _without(docs, gone.distinct())
+    tied = kept.join(ties, "group")
+    gone = gone.union(tied.where("text_hash <> least").select("doc_id", "text_hash"))
+    equal = tied.where("text_hash = least").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    equal = staged(equal.where("rows > 1").select("doc_id", "text_hash"), "equal")
+    of_id, of_hash = unused(docs.columns, "of_id", "of_hash")
+    pairs = equal.select(F.col("doc_id").alias(of_id), F.col("text_hash").alias(of_hash))
+    # Equal rows meet in each task first, so a row that is there very often is not gathered.
+    once = docs.join(pairs, _same(of_id, of_hash)).groupBy(of_id, of_hash).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+    return _without(docs, gone.union(equal).distinct()).union(once.select("row.*"))
+
+
+def _same(of_id: str, of_hash: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_hash))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows of the given ids and text hashes."""
+    of_id, of_hash = unused(docs.columns, "of_id", "of_hash")
+    pairs = gone.select(F.col("doc_id").alias(of_id), F.col("text_hash").alias(of_hash))
+    return docs.join(pairs, _same(of_id, of_hash), "left_anti")
