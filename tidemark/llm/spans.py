@@ -13,13 +13,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.common import rows_of
+from tidemark.llm.common import rows_of, unused
 from tidemark.llm.shingles import STEP, mixed
 from tidemark.session import staged
 
 SPAN_SENTENCES, SPAN_WORDS = 2, 20  # a run has at least so many
+LAST = 1 << 62  # where rows without an id of their own begin
 WINDOW = 10  # so many words in a row have a cut among them; 3 * WINDOW + SPAN_WORDS - 1 repeated words always hold a run
 
 INVERSE = np.uint64(pow(int(STEP), -1, 1 << 64))
@@ -153,18 +154,39 @@ def cleaned(text: str | None, gone: np.ndarray) -> tuple[str | None, int, int]:
     return kept.decode(), n, int(covered.sum())
 
 
+def placed(docs: DataFrame, name: str, key: str, text: str) -> DataFrame:
+    """Adds the column ``name``, a number that orders documents and tells them apart: the id where one row alone has it.
+
+    Rows whose id is null, repeated or no whole number come last, in the order of a hash of id and text.
+    """
+    told = F.shiftrightunsigned(F.xxhash64(key, text), 2).bitwiseOR(F.lit(LAST))
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        return docs.withColumn(name, told)
+    own = F.col(key).cast("bigint")
+    (of,) = unused([*docs.columns, name], "of")
+    again = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(of)).agg(F.count(F.lit(1)).alias("rows"))
+    again = staged(again.where("rows > 1").select(of), "repeated-ids")
+    if again.isEmpty():
+        return docs.withColumn(name, F.when(F.col(key).isNull(), told).otherwise(own))
+    joined = docs.join(again, F.col(key) == F.col(of), "left")
+    return joined.withColumn(name, F.when(F.col(key).isNull() | F.col(of).isNotNull(), told).otherwise(own)).drop(of)
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``text`` cleaned, and the columns ``n_sentences`` and ``n_removed``; one row per row.
 
-    The first occurrence of a run is that in the smallest id, there the first; the others' pieces go. Rows that
-    repeat an id count as one document, a null id as the last. A document may be left without text; its row stays, the
-    text empty. Null and empty texts stay as they are. Columns named like the new ones are replaced.
+    The first occurrence of a run is that in the smallest id, there the first; the others' pieces go. Rows whose id
+    is null, repeated or no whole number come after all others, in the order of a hash of id and text; rows equal in
+    both count as one document and stay alike. A document may be left without text; its row stays, the text empty. Null
+    and empty texts stay as they are, very long ones are read whole. Columns named like the new ones are replaced, all
+    others stay, whatever their names. An empty table gives no rows.
 
     Only hashes and ids are shuffled to find repeats. Equal hashes of a task are summed before the shuffle, and
     the join that follows splits a run which very many documents have.
     """
-    last = F.coalesce(F.col(key), F.lit(2**63 - 1)).cast("bigint").alias("_id")
-    rows = docs.select(last, F.col(text).alias("_text"))
+    place_name, gone_name = unused(docs.columns, "place", "gone")
+    docs = placed(docs, place_name, key, text)
+    rows = docs.select(F.col(place_name).alias("_id"), F.col(text).alias("_text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,9 +201,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     spans = staged(rows.mapInArrow(hashed, "_span bigint, _id bigint"), "spans")
     firsts = spans.groupBy("_span").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first < _last")
     gone = spans.join(firsts.select("_span", "_first"), "_span").where("_id > _first")
-    gone = gone.groupBy("_id").agg(F.collect_set("_span").alias("_gone"))  # a document's own runs
-    others = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
-    joined = docs.select(*others, last).join(gone, "_id", "left").drop("_id")
+    gone = gone.groupBy(F.col("_id").alias(place_name)).agg(F.collect_set("_span").alias(gone_name))  # a document's own runs
+    others = [c for c in docs.columns if c not in ("n_sentences", "n_removed", place_name)]
+    joined = docs.join(gone, place_name, "left").select(*[F.col(f"`{c}`") for c in others], gone_name)
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in others) + ", n_sentences bigint, n_removed bigint"
@@ -189,7 +211,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [cleaned(t, np.array(g or [], np.int64).view(np.uint64)) for t, g in rows_of([batch], text, "_gone")]
+            out = [cleaned(t, np.array(g or [], np.int64).view(np.uint64)) for t, g in rows_of([batch], text, gone_name)]
             texts, counts, removed = zip(*out, strict=True) if out else ((), (), ())
             columns = [batch.column(c) for c in others]
             columns[place] = pa.array(texts, pa.string())
