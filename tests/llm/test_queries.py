@@ -32,13 +32,13 @@ ROWS = [
     (6, "Ünï   cödé 漢字 \U0001f600 <|endoftext|>  two  gaps ", None, 9),
 ]
 SCHEMA = "doc_id bigint, text string, source string, n_chars bigint"
-CLASHING = ("rank", "size", "label", "node", "score", "copies", "slot", "shard", "n_removed", "part", "_id", "kept")
+CLASHING = ("rank", "size", "label", "node", "score", "copies", "slot", "shard", "n_removed", "part", "_id", "_hash", "kept", "bits", "block")
 
 
 @pytest.fixture(scope="module")
 def odd(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    return df.withColumns({c: df["n_chars"].cast("string") for c in CLASHING if c != "_id"})
+    return df.withColumns({c: df["n_chars"].cast("string") for c in CLASHING})
 
 
 @pytest.fixture(scope="module")
