@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import Classifier, DecisionTreeClassifier
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer, VectorAssembler, VectorSizeHint, Word2Vec
 from pyspark.sql import DataFrame, functions as F
@@ -19,6 +19,8 @@ VECTOR_SIZE = 3
 TERM_SLOTS = 100
 MIN_DOC_FREQ = 5
 TREE_DEPTH = 9
+# The library's word vectors: tasks that are trained apart and averaged, and passes over the rows.
+VECTOR_TASKS, VECTOR_ROUNDS = 16, 2
 
 
 def build_pipeline(
@@ -29,27 +31,26 @@ def build_pipeline(
     classifier: Classifier | None = None,
     seed: int = 0,
     min_count: int = 0,
-    vector_tasks: int = 1,
+    vector_tasks: int = VECTOR_TASKS,
+    word_vectors: Estimator | None = None,
 ) -> Pipeline:
     """Word vectors, hashed term weights and three numbers into a classifier.
 
-    Any classifier that reads ``features`` and ``label`` can replace the decision tree. The size hints
-    let the pipeline check vectors on a stream.
+    Any classifier that reads ``features`` and ``label`` can replace the decision tree, and any stage from
+    ``words`` to ``headline_vector`` of ``vec`` numbers the library's word vectors, such as
+    :class:`tidemark.operators.vectors.CountVectors`. The size hints let the pipeline check vectors on a stream.
     """
     if classifier is None:
         classifier = DecisionTreeClassifier(maxDepth=depth, seed=seed)
+    if word_vectors is None:
+        word_vectors = Word2Vec(
+            vectorSize=vec, minCount=min_count, numPartitions=vector_tasks, maxIter=VECTOR_ROUNDS, seed=seed, inputCol="words", outputCol="headline_vector"
+        )
     numbers = ["score", "num_comments", "subjectivity"]
     return Pipeline(
         stages=[
             Tokenizer(inputCol="title_clean", outputCol="words"),
-            Word2Vec(
-                vectorSize=vec,
-                minCount=min_count,
-                numPartitions=vector_tasks,
-                seed=seed,
-                inputCol="words",
-                outputCol="headline_vector",
-            ),
+            word_vectors,
             HashingTF(numFeatures=tf, inputCol="words", outputCol="word_counts"),
             IDF(minDocFreq=min_df, inputCol="word_counts", outputCol="word_frequency"),
             VectorSizeHint(inputCol="headline_vector", size=vec),
@@ -87,9 +88,10 @@ def train(
 ) -> Trained:
     """Fit on three quarters of the rows and measure on the rest.
 
-    Spark's word-vector fit holds the vocabulary on the driver; ``min_count`` says which words it has. It
+    The library's word-vector fit holds the vocabulary on the driver; ``min_count`` says which words it has. It
     runs in ``vector_tasks`` tasks, a parameter that doesn't follow the data: tasks are trained apart and
-    averaged, so their number is part of the model. The fit reads the training rows several times, so they
+    averaged, so their number is part of the model. The stage that ``word_vectors`` names can replace it; that of
+    counts has neither bound in its fit. The fit reads the training rows several times, so they
     are staged, in even partitions whatever the sizes of the input files.
     """
     rows = staged(
