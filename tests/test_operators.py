@@ -257,11 +257,38 @@ def test_density(spark):
     assert len(got) == 81
 
 
-def test_points_on_a_line_have_no_density(spark):
+@pytest.mark.parametrize("density", [relation.kde_grid, relation.kde_binned])
+def test_points_on_a_line_have_no_density(spark, density):
     df = spark.createDataFrame([("k", float(i), 2.0 * i, 1.0) for i in range(5)], "key string, x double, y double, c double")
     for y in ("y", "c"):
-        got = relation.kde_grid(df, "x", y, grid=3, by="key").collect()
+        got = density(df, "x", y, grid=3, by="key").collect()
         assert len(got) == 9 and all(r["density"] is None for r in got)
+    assert density(df.where("false"), "x", "y", grid=3).collect() == []
+
+
+@pytest.mark.parametrize("step", [0.5, 0.1, 0.02])
+def test_binned_density_keeps_its_bound(spark, step):
+    """Against the exact density, for a round cloud, a narrow one and one with far points; the bound shrinks with the step."""
+    rng = np.random.default_rng(4)
+    clouds = {
+        "round": rng.normal(size=(60, 2)),
+        "narrow": rng.normal(size=(60, 2)) @ np.array([[1.0, 0.99], [0.0, 0.05]]),
+        "far": np.vstack([rng.normal(1e3, 1, size=(30, 2)), rng.normal(1e3 + 40, 3, size=(30, 2))]),
+    }
+    rows = [(k, float(x), float(y)) for k, cloud in clouds.items() for x, y in cloud] + [("round", None, 1.0)]
+    df = spark.createDataFrame(rows, "key string, x double, y double").repartition(4)
+    exact = relation.kde_grid(df, "x", "y", grid=7, by="key").toPandas().set_index(["key", "i", "j"])
+    got = relation.kde_binned(df, "x", "y", grid=7, by="key", step=step).toPandas().set_index(["key", "i", "j"]).loc[exact.index]
+    assert len(got) == 3 * 49
+    np.testing.assert_allclose(got[["gx", "gy"]], exact[["gx", "gy"]])
+    assert ((got.density - exact.density).abs() <= got.bound * (1 + 1e-9)).all()
+    np.testing.assert_allclose(got.bound * 4 / step**2, got.bound.groupby("key").transform("first") * 4 / step**2)
+
+
+def test_binned_density_shuffles_bins_and_not_points(spark):
+    df = spark.range(20_000).select(F.randn(1).alias("x"), F.randn(2).alias("y")).repartition(2)
+    text = relation.kde_binned(df, "x", "y", grid=5)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and "keys=[_x" not in text
 
 
 # Prices
@@ -326,12 +353,18 @@ def test_idf_is_that_of_the_library(spark):
 
 
 def broadcast_and_merge(spark):
-    """Runs a loop's body twice: with Spark's own choice of joins, then without broadcasts."""
+    """Runs a loop's body three times: with a table for every task, with one cut to the words in use, without broadcasts."""
+    bound, larger = lexicon.BROADCAST_ROWS, lexicon._in_use
     yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        lexicon.BROADCAST_ROWS = 1
+        lexicon._in_use = lambda *args: larger(*args)._replace(small=True)
+        yield
+        lexicon._in_use = larger
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         yield
     finally:
+        lexicon.BROADCAST_ROWS, lexicon._in_use = bound, larger
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
