@@ -92,6 +92,54 @@ def test_daily_decompose_and_relate(spark, folder, cleaned):
     assert "standardized_sentiment_top_news" in spark.read.parquet(str(folder / "top" / "rows")).columns
 
 
+def test_features_as_csv(spark, folder, cleaned):
+    """The same relation from features in CSV as from those in Parquet."""
+    stocks = [str(p) for p in (folder / "stocks").glob("[NX]*M.csv")] + [str(folder / "stocks" / "NKE.csv")]
+    jobs.main(["decompose", str(folder / "features-csv"), *stocks, "--symbol-from-path", "--format", "csv"])
+    text = next((folder / "features-csv").glob("*.csv")).read_text()
+    assert text.startswith("Company,Date,")
+    jobs.main(["relate", str(folder / "features-csv"), str(folder / "daily"), str(folder / "related-csv"), "--grid", "2", "--format", "csv"])
+    one, other = (spark.read.parquet(str(folder / d / "correlation")).orderBy("Company", "x", "y").collect() for d in ("related", "related-csv"))
+    assert [tuple(r)[:3] for r in one] == [tuple(r)[:3] for r in other]
+    assert [r["r"] for r in one] == pytest.approx([r["r"] for r in other])
+
+
+def test_staged_tables_of_a_job_go(spark, folder, cleaned):
+    from pathlib import Path
+
+    from tidemark.session import scratch, shared_folder, staged
+
+    at = Path(shared_folder(spark).removeprefix("file:")) / spark.sparkContext.applicationId
+    kept = staged(spark.range(3), "kept")
+    before = set(at.iterdir())
+    jobs.main(["daily", cleaned, str(folder / "daily-again")])
+    assert set(at.iterdir()) == before and kept.count() == 3
+    with pytest.raises(KeyError), scratch(spark):
+        staged(spark.range(3), "gone")
+        raise KeyError
+    assert set(at.iterdir()) == before
+
+
+def test_a_lexicon_above_the_bound_is_joined(spark, folder, cleaned, monkeypatch):
+    """The same rows and predictions as with the table in the program."""
+    monkeypatch.setattr(jobs, "IN_PROGRAM", 1)
+    jobs.main(["clean", str(folder / "raw"), str(folder / "joined"), "--lexicon", str(folder / "lexicon.csv"), "--stop-languages", "english", "--multi-line"])
+    one, other = (spark.read.parquet(p) for p in (cleaned, str(folder / "joined")))
+    assert one.columns == other.columns and one.count() == other.count()
+    round_ = lambda df: sorted((r["title"], r["score"], round(r["polarity"], 12), round(r["subjectivity"], 12)) for r in df.collect())
+    assert round_(one) == round_(other)
+    jobs.main(["train", cleaned, str(folder / "model-counts"), "--vectors", "counts"])
+    drop = folder / "drop-large"
+    drop.mkdir()
+    (drop / "1.json").write_text(json.dumps([{"title": "A bad loss for the city"}, {"title": None}, {"title": "The of"}]))
+    score = ["score", str(drop), str(folder / "model-counts"), str(folder / "checkpoint-large"), "--lexicon", str(folder / "lexicon.csv")]
+    with pytest.raises(ValueError, match="parquet"):
+        jobs.main([*score, "--available-now"])
+    jobs.main([*score, "--sink", "parquet", "--out", str(folder / "scored-large"), "--available-now"])
+    got = {r["title"]: r["prediction"] for r in spark.read.parquet(str(folder / "scored-large")).collect()}
+    assert set(got) == {"A bad loss for the city", "The of"} and got["A bad loss for the city"] == 0.0
+
+
 def test_train_and_score(spark, folder, cleaned, capsys):
     model = str(folder / "model")
     jobs.main(["train", cleaned, model])

@@ -17,13 +17,13 @@ if __name__ == "__main__":
     sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tidemark.functions import text as tx
-from tidemark.operators import prices, relation, rows, series, words
+from tidemark.operators import prices, relation, rows, series, vectors, words
 from tidemark.operators.lexicon import one_per_word
 from tidemark.plans import headlines, training
 from tidemark.plans.prices import RELATED
 from tidemark.schemas import CLEAN_HEADLINE
-from tidemark.session import as_dict, build_session
-from tidemark.sources import files
+from tidemark.session import as_dict, build_session, scratch
+from tidemark.sources import arrays, files
 from tidemark.streaming import headlines as streaming
 
 # Years of the word pictures and words in each.
@@ -31,9 +31,19 @@ FIRST_YEAR, LAST_YEAR = 2008, 2019
 PICTURE_WORDS = 200
 
 
-def read_words(spark: SparkSession, path: str, value: str) -> dict[str, float]:
-    table = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
-    return as_dict(one_per_word(table, value), "word", value)
+IN_PROGRAM = 100_000  # words of a table that is kept in the program; a larger one is joined
+
+
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
+
+
+def is_large(lexicon: DataFrame) -> bool:
+    return lexicon.limit(IN_PROGRAM + 1).count() > IN_PROGRAM
+
+
+def as_words(lexicon: DataFrame, value: str) -> dict[str, float]:
+    return as_dict(one_per_word(lexicon, value), "word", value, IN_PROGRAM)
 
 
 def read_cleaned(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -42,14 +52,13 @@ def read_cleaned(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     """Clean, filter, date and score raw headlines."""
-    cleaned = headlines.clean_headlines(
-        files.read_headlines(spark, args.raw, multi_line=args.multi_line),
-        tx.default_stop_words(args.stop_languages.split(",")),
-        tx.default_profiles(),
-        read_words(spark, args.lexicon, "valence"),
-        read_words(spark, args.lexicon, "subjectivity"),
-        args.language,
-    )
+    raw = arrays.read_json_arrays(spark, args.raw) if args.multi_line else files.read_headlines(spark, args.raw)
+    stops, profiles, lexicon = tx.default_stop_words(args.stop_languages.split(",")), tx.default_profiles(), read_lexicon(spark, args.lexicon)
+    if is_large(lexicon):
+        cleaned = headlines.clean_headlines_by_table(raw, stops, profiles, lexicon, args.language)
+    else:
+        values = [as_words(lexicon, v) for v in ("valence", "subjectivity")]
+        cleaned = headlines.clean_headlines(raw, stops, profiles, *values, args.language)
     kept = cleaned if args.all_columns else headlines.clean_rows(cleaned)
     files.write_table(kept, args.out, args.format, compression=args.compression)
 
@@ -72,7 +81,8 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
     cleaned = read_cleaned(spark, args)
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in CLEAN_HEADLINE.names]
     keyed = cleaned.withColumn("row_key", F.sha2(F.concat_ws("\x1f", *fields), 256))
-    trained = training.train(keyed, "row_key", min_count=args.min_count, seed=args.seed)
+    stage = vectors.CountVectors("words", "headline_vector", training.VECTOR_SIZE, min_count=args.min_count) if args.vectors == "counts" else None
+    trained = training.train(keyed, "row_key", min_count=args.min_count, seed=args.seed, word_vectors=stage)
     training.save_model(trained.model, args.model)
     measures = trained.metrics.head()
     print(f"F1 {measures['f1']:g}, accuracy {measures['accuracy']:g}")
@@ -80,17 +90,15 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     """Classify headlines as they are dropped into a folder."""
-    sink = {"sink": args.sink, "path": args.out} if args.out else {"sink": args.sink}
-    query = streaming.score_stream(
-        files.stream_headlines(spark, args.drop),
-        training.load_model(args.model),
-        args.checkpoint,
-        tx.default_stop_words(args.stop_languages.split(",")),
-        read_words(spark, args.lexicon, "subjectivity"),
-        args.seconds,
-        available_now=args.available_now,
-        **sink,
-    )
+    stream, model, lexicon = files.stream_headlines(spark, args.drop), training.load_model(args.model), read_lexicon(spark, args.lexicon)
+    inputs = (stream, model, args.checkpoint, tx.default_stop_words(args.stop_languages.split(",")))
+    if is_large(lexicon):
+        if args.sink != "parquet" or not args.out:
+            raise ValueError("a lexicon of this size is joined per batch, which needs --sink parquet and --out")
+        query = streaming.score_stream_by_table(*inputs, lexicon, args.out, args.seconds, args.available_now)
+    else:
+        sink = {"sink": args.sink, "path": args.out} if args.out else {"sink": args.sink}
+        query = streaming.score_stream(*inputs, as_words(lexicon, "subjectivity"), args.seconds, available_now=args.available_now, **sink)
     query.stop()
 
 
@@ -114,7 +122,8 @@ def decompose(spark: SparkSession, args: argparse.Namespace) -> None:
     The companies that cannot be decomposed are written with the reason to ``<out>-unfit``.
     """
     bars = _bars(spark, args)
-    files.write_table(series.decomposed_features(bars, "Company", "Date", "Open", args.period), args.out)
+    features = series.decomposed_features(bars, "Company", "Date", "Open", args.period)
+    files.write_table(features, args.out, args.format, header=True)
     files.write_table(series.unfit(bars, "Company", "Date", "Open", args.period), f"{args.out.rstrip('/')}-unfit")
 
 
@@ -123,7 +132,8 @@ def relate(spark: SparkSession, args: argparse.Namespace) -> None:
     name = headlines.TOP_NEWS if args.news == "top" else headlines.ALL_NEWS
     related = [*RELATED[:2], f"standardized_sentiment_{args.news}_news"]
     scaled = series.standardized_daily(files.read_daily(spark, args.sentiment, [name]), "Date", name, related[2])
-    joined = relation.join_by_date(spark.read.parquet(args.features), scaled)
+    features = files.read_features(spark, args.features) if args.format == "csv" else spark.read.parquet(args.features)
+    joined = relation.join_by_date(features, scaled)
     files.write_table(joined, f"{args.out}/rows")
     stored = spark.read.parquet(f"{args.out}/rows")
     files.write_table(relation.pair_corr(stored, related, by="Company"), f"{args.out}/correlation")
@@ -179,6 +189,7 @@ def parser() -> argparse.ArgumentParser:
     sub = cleaned_job("train", train, "model")
     sub.add_argument("--min-count", type=int, default=0)
     sub.add_argument("--seed", type=int, default=0)
+    sub.add_argument("--vectors", default="skip-gram", choices=["skip-gram", "counts"], help="how word vectors are made")
 
     sub = job("score", score, "drop", "model", "checkpoint")
     sub.add_argument("--lexicon", required=True)
@@ -189,17 +200,22 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--available-now", action="store_true")
 
     price_job("prices", price_report)
-    price_job("decompose", decompose).add_argument("--period", type=int, default=series.DECOMPOSE_PERIOD)
+    sub = price_job("decompose", decompose)
+    sub.add_argument("--period", type=int, default=series.DECOMPOSE_PERIOD)
+    sub.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="of the features")
 
     sub = job("relate", relate, "features", "sentiment", "out")
     sub.add_argument("--grid", type=int, default=relation.KDE_GRID)
     sub.add_argument("--news", default="all", choices=["all", "top"], help="which daily series")
+    sub.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="of the features")
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(), args)
+    spark = build_session()
+    with scratch(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

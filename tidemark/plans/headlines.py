@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import scoring, text as tx
 from tidemark.functions.dates import epoch_to_iso
+from tidemark.operators.lexicon import lexicon_score, prepared
 from tidemark.operators.rows import computed, require_non_empty, require_non_null
 from tidemark.operators.scaling import group_mean, min_max
 from tidemark.operators.topk import TOP_SCORES, keep_top_distinct, top_distinct_mean
@@ -62,6 +63,21 @@ def clean_headlines(
     )
 
 
+def clean_headlines_by_table(
+    raw: DataFrame, stop_words: Sequence[str], profiles: Mapping[str, Iterable[str]], lexicon: DataFrame, language: str = LANGUAGE
+) -> DataFrame:
+    """:func:`clean_headlines` with a word table of any size: ``word, valence, subjectivity``.
+
+    The cleaned rows are staged with a number each, scored by joins and given their scores by that number.
+    """
+    plain = clean_headlines(raw, stop_words, profiles, {}, {}, language).drop("polarity", "subjectivity")
+    rows = staged(plain.withColumn("_row", F.monotonically_increasing_id()), "cleaned")
+    words = rows.select("_row", F.split("title_clean", " ").alias("_words"))
+    for value, mode, out in (("valence", "compound", "polarity"), ("subjectivity", "mean", "subjectivity")):
+        rows = rows.join(lexicon_score(words, "_row", "_words", prepared(lexicon, value), value, mode, out), "_row")
+    return rows.drop("_row")
+
+
 def clean_rows(cleaned: DataFrame) -> DataFrame:
     """The columns later jobs read, in the layout of ``CLEAN_HEADLINE``."""
     return cleaned.select(

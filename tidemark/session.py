@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -47,9 +50,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(spark.sparkContext.applicationId)
 
 
+_named: ContextVar[list[str] | None] = ContextVar("named", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder, under the application's id, that no other job uses."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if (named := _named.get()) is not None:
+        named.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end all folders that were named inside it, staged tables among them.
+
+    Meant for whole jobs, which write their results elsewhere: a DataFrame that reads a staged table can't be used
+    after that. Folders that another thread names are not removed.
+    """
+    named: list[str] = []
+    token = _named.set(named)
+    try:
+        yield
+    finally:
+        _named.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in named:
+            folder = hadoop(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:

@@ -91,6 +91,13 @@ def read_daily(spark: SparkSession, path: str | list[str], columns: Sequence[str
     return raw.select(F.col(day).cast("date").alias("Date"), *[real(F.col(c).try_cast("double")).alias(c) for c in columns])
 
 
+def read_features(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Price features from CSV files with a header: company, date, and numbers in all other columns."""
+    raw = _with_header(spark, path)
+    kinds = {"Company": F.col("Company"), "Date": F.col("Date").cast("date")}
+    return raw.select(*[kinds[c].alias(c) if c in kinds else real(F.col(c).try_cast("double")).alias(c) for c in raw.columns])
+
+
 def write_table(
     df: DataFrame,
     path: str,
