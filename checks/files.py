@@ -10,12 +10,15 @@ from checks.tables import BARS, HEADLINES, STOPS, WEIGHTS, bars, day_text, headl
 from checks.texts import hits_sql
 from tidemark import schemas
 from tidemark.plans import training
-from tidemark.session import new_folder
-from tidemark.sources import files, paged, pages
-from tidemark.streaming import headlines as streaming
+from tidemark.session import new_folder, staged
+from tidemark.sources import arrays, files, onefile, paged, pages, prices as mixed
+from tidemark.streaming import bounded, headlines as streaming
 
 # The workers of the checks may run where the package is not installed.
+for module in (arrays, mixed, onefile):
+    cloudpickle.register_pickle_by_value(module)
 cloudpickle.register_pickle_by_value(paged)
+cloudpickle.register_pickle_by_value(pages)
 
 LATEST_BAR = "2000-06-30"
 
@@ -40,6 +43,17 @@ def page_scan(spark, sf):
     return files.read_headlines(spark, path).select("created_utc", "id", "title", "score")
 
 
+def page_array_scan(spark, sf):
+    """One array in one file, its objects broken over lines, read in ranges of 64 KB."""
+    path = new_folder(spark, "array")
+    fields = ("created_utc", "id", "title", "score")
+    broken = _raw(spark, sf).select(F.concat(F.to_json(F.struct(*fields), {"pretty": "true"}), F.lit(",")).alias("value"))
+    first, last = (spark.createDataFrame([(text,)], "value string") for text in ("[", '{"author": "nobody"}\n]'))
+    first.union(broken).union(last).coalesce(1).write.text(path)
+    rows = arrays.read_json_arrays(spark, path, split_bytes=64 << 10)
+    return rows.where(F.col("author").isNull()).select(*fields)
+
+
 def paired_scan(spark, sf):
     """Cleaned headlines whose two scores are in one array."""
     path = new_folder(spark, "paired")
@@ -80,37 +94,81 @@ def series_file(spark, sf):
     return day_text(files.read_daily(spark, path, ["Volume"]), "Date")
 
 
-def _event_feed(path: str):
-    """The events table as a feed that hands out pages after a cursor."""
+def ordered_file(spark, sf):
+    """Every order in one compressed file, by day and key, as it stands there."""
+    path = f"{new_folder(spark, 'orders')}.csv.gz"
+    onefile.write_one_file(table(spark, sf, "orders").select("o_orderdate", "o_orderkey"), path, ["o_orderdate", "o_orderkey"], compressed=True)
+    lines = spark.read.option("header", True).csv(path).select("o_orderkey", F.monotonically_increasing_id().alias("place"))
+    return lines.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "place")
+
+
+def _mixed_bars(spark, sf):
+    """Two kinds of files, with other columns in another order and a date that can't be read for each fifth day."""
+    path = new_folder(spark, "mixed-bars")
+    rows = bars(spark, sf)
+    day = F.when(F.dayofmonth("Date") % 5 == 0, F.concat(F.lit("on "), F.col("Date").cast("string"))).otherwise(F.col("Date").cast("string"))
+    even = F.month("Date") % 2 == 0
+    one = rows.where(even).select(day.alias("Date"), "Open", "Volume", "Company")
+    other = rows.where(~even).select("Company", F.lit("note, with a comma").alias("Remark"), "Volume", day.alias("Date"))
+    files.write_table(one, f"{path}/a", "csv", header=True)
+    files.write_table(other, f"{path}/b", "csv", header=True, compression="gzip")
+    return mixed.read_mixed_prices(spark, [f"{path}/a", f"{path}/b"])
+
+
+def mixed_price_files(spark, sf):
+    return rounded(day_text(_mixed_bars(spark, sf).bars, "Date"), 6, "Open")
+
+
+def rejected_prices(spark, sf):
+    """Rows that are no bars, per kind of file and reason."""
+    rejected = _mixed_bars(spark, sf).rejected
+    return rejected.groupBy(F.regexp_extract("file", "/([ab])/[^/]*$", 1).alias("kind"), "reason").agg(F.count(F.lit(1)).alias("n"))
+
 
-    def fetch(after, until, size):
-        import pyarrow.compute as pc
-        import pyarrow.dataset as ds
+SLICE = 6 * 3600  # seconds of the feed's slices
+KEY = ("second", "event_id")
 
-        when, last = after
-        key, moment = ds.field("event_id"), ds.field("ts").cast("int64")
-        newer = moment >= when * 1000000
-        if last is not None:
-            newer = (moment >= (when + 1) * 1000000) | (newer & (key > last))
-        rows = ds.dataset(path).to_table(
-            columns={"second": pc.divide(moment, 1000000), "event_id": key},
-            filter=newer & (moment < until * 1000000),
-        )
-        if not rows.num_rows:
-            return []
-        page = rows.take(pc.select_k_unstable(rows, size, [("second", "ascending"), ("event_id", "ascending")]))
-        return [(r["second"], r["event_id"]) for r in page.to_pylist()]
 
-    return paged.paged_source("event_feed", "second bigint, event_id bigint", fetch)
+def _events(spark, sf):
+    return table(spark, sf, "events").select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("second"), "event_id")
+
+
+def _feed(name: str, path: str):
+    return paged.paged_source(name, "second bigint, event_id bigint", *pages.sliced_feed(path, KEY, SLICE))
 
 
 def paged_feed(spark, sf):
     """All events through the paged source, six hours of them per task."""
-    spark.dataSource.register(_event_feed(f"{sf}/events.parquet"))
-    start, end = table(spark, sf, "events").agg(
-        F.unix_seconds(F.min("ts").cast("timestamp")), F.unix_seconds(F.max("ts").cast("timestamp")) + 1
-    ).head()
-    return spark.read.format("event_feed").options(start=start, end=end, slice=6 * 3600, size=500).load()
+    path = new_folder(spark, "feed")
+    pages.write_slices(_events(spark, sf), path, KEY, SLICE)
+    spark.dataSource.register(_feed("event_feed", path))
+    start, end = _events(spark, sf).agg(F.min("second"), F.max("second") + 1).head()
+    return spark.read.format("event_feed").options(start=start, end=end, slice=SLICE, size=500).load()
+
+
+OVERLAP = 3600
+
+
+def cursor_feed(spark, sf):
+    """All events as a stream that is stopped, restarted and shown some rows late, each once.
+
+    The feed first has the older half of the events without some that are up to an hour old; these and the newer half
+    follow while the stream is down.
+    """
+    path, out, checkpoint = (new_folder(spark, n) for n in ("feed", "followed", "checkpoint"))
+    events = _events(spark, sf)
+    low, high = events.agg(F.min("second"), F.max("second")).head()
+    middle = (low + high) // 2
+    late = (F.col("second") > middle - OVERLAP) & (F.col("event_id") % 3 == 0) & (F.col("second") < middle - 1)
+    older = F.col("second") <= middle
+    spark.dataSource.register(_feed("event_stream", path))
+    for shown in (older & ~late, ~older | late):
+        pages.write_slices(events.where(shown), path, KEY, SLICE)
+        rows = paged.follow(spark, "event_stream", KEY, OVERLAP, start=low, slice=SLICE, size=500)
+        query = streaming.start(rows, checkpoint, "parquet", out)
+        query.processAllAvailable()
+        query.stop()
+    return spark.read.parquet(out)
 
 
 def _stream(spark, sf, *extra):
@@ -145,6 +203,18 @@ def stream_lexicon_join(spark, sf):
     return rounded(_drained(query, spark, path).select("id", "score"), 8, "score")
 
 
+def bounded_stream(spark, sf):
+    """A stream that is stopped after its first batch and goes on from its checkpoint, each row once."""
+    path, checkpoint, drop = (new_folder(spark, n) for n in ("bounded", "checkpoint", "drop"))
+    rows = _raw(spark, sf).select("id", "title", "score").repartition(6, "id")
+    files.write_table(rows, drop, "json")
+    schema = T.StructType([rows.schema[n] for n in ("id", "title", "score")])
+    for limit in (1, None):
+        stream = files.stream_headlines(spark, drop, schema, max_files=1)
+        bounded.run_for(bounded.write_batches(stream, path, checkpoint, available_now=limit is None), 600, batches=limit)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def stream_page_files(spark, sf):
     path, checkpoint = new_folder(spark, "page-files"), new_folder(spark, "checkpoint")
     streaming.write_page_files(_stream(spark, sf), path, checkpoint, available_now=True).awaitTermination()
@@ -168,11 +238,30 @@ def stream_score(spark, sf):
     return _drained(query, spark, path)
 
 
+def stream_score_differences(spark, sf):
+    """Rows that the model scored on a stream, and how many differ from its scores of the same table, either way."""
+    path, model = new_folder(spark, "predicted"), models.trained(spark, sf).model
+    raw = _raw(spark, sf).select("title", "score", "num_comments")
+    sink = {"sink": "parquet", "path": path, "available_now": True}
+    streaming.score_stream(_stream(spark, sf), model, new_folder(spark, "checkpoint"), STOPS, WEIGHTS, **sink)
+    streamed = spark.read.parquet(path)
+    batch = staged(streaming.predict(streaming.prepare(raw, STOPS, WEIGHTS), model), "batch-scores")
+    signed = streamed.withColumn("sign", F.lit(1)).unionByName(batch.withColumn("sign", F.lit(-1)))
+    off = signed.groupBy("title", "prediction").agg(F.sum("sign").alias("off"))
+    return off.agg(
+        F.lit(streamed.count()).cast("bigint").alias("scored"),
+        F.coalesce(F.sum(F.when(F.col("off") > 0, F.col("off"))), F.lit(0)).alias("only_streamed"),
+        F.coalesce(F.sum(F.when(F.col("off") < 0, -F.col("off"))), F.lit(0)).alias("only_batch"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        json_scan, page_scan, paired_scan, csv_sink, price_files, series_file, paged_feed, stream_prepare,
+        json_scan, page_scan, page_array_scan, paired_scan, csv_sink, price_files, series_file,
+        ordered_file, mixed_price_files, rejected_prices, bounded_stream, paged_feed, cursor_feed, stream_prepare,
         batch_prepare, stream_lexicon_join, stream_page_files, stream_score,
+        stream_score_differences,
     )
 }
 
@@ -186,6 +275,7 @@ _PREPARED = f"""
 SQL = {
     "json_scan": f"SELECT id, title, domain, url, score, num_comments, created_utc FROM ({HEADLINES})",
     "page_scan": f"SELECT created_utc, id, title, score FROM ({HEADLINES})",
+    "page_array_scan": f"SELECT created_utc, id, title, score FROM ({HEADLINES})",
     "paired_scan": f"""
         SELECT title, '2019-11-01' AS created_utc_iso, CAST(CAST(score / 1024 AS FLOAT) AS DOUBLE) AS polarity,
                CAST(CAST(num_comments / 64 AS FLOAT) AS DOUBLE) AS subjectivity, score, num_comments FROM ({HEADLINES})
@@ -195,10 +285,22 @@ SQL = {
         SELECT Company, strftime(Date, '%Y-%m-%d') AS Date, round(Open, 6) + 0.0 AS Open, Volume FROM ({BARS})
         WHERE Date <= DATE '{LATEST_BAR}'
     """,
+    "ordered_file": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS place FROM orders",
+    "mixed_price_files": f"""
+        SELECT Company, strftime(Date, '%Y-%m-%d') AS Date, CASE WHEN month(Date) % 2 = 0 THEN round(Open, 6) + 0.0 END AS Open, Volume FROM ({BARS})
+        WHERE day(Date) % 5 <> 0
+    """,
+    "rejected_prices": f"""
+        SELECT CASE WHEN month(Date) % 2 = 0 THEN 'a' ELSE 'b' END AS kind, 'no date' AS reason, count(*) AS n FROM ({BARS})
+        WHERE day(Date) % 5 = 0 GROUP BY 1
+    """,
+    "bounded_stream": f"SELECT id, title, score FROM ({HEADLINES})",
     "series_file": f"SELECT strftime(Date, '%Y-%m-%d') AS Date, sum(Volume) AS Volume FROM ({BARS}) GROUP BY 1",
     "paged_feed": "SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS second, event_id FROM events",
+    "cursor_feed": "SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS second, event_id FROM events",
     "stream_prepare": _PREPARED,
     "batch_prepare": _PREPARED,
     "stream_lexicon_join": f"SELECT id, round(a, 8) + 0.0 AS score FROM ({hits_sql(_WORDS, WEIGHTS)})",
+    "stream_score_differences": "SELECT count(*) AS scored, CAST(0 AS BIGINT) AS only_streamed, CAST(0 AS BIGINT) AS only_batch FROM documents WHERE text IS NOT NULL",
     "stream_page_files": f"SELECT title, score, num_comments FROM ({HEADLINES})",
 }

@@ -138,6 +138,21 @@ def kde_grid(spark, sf):
     return rounded(rounded(density, 4, "gx", "gy"), 7, "density")
 
 
+def density_binned(spark, sf):
+    """The density from binned points."""
+    density = relation.kde_binned(_related(spark, sf), RELATED[1], RELATED[2], GRID)
+    return rounded(rounded(density.drop("bound"), 4, "gx", "gy"), 7, "density")
+
+
+def density_within_bound(spark, sf):
+    """Whether the binned density of each company keeps its bound against the exact one."""
+    related = _related(spark, sf)
+    exact = relation.kde_grid(related, RELATED[1], RELATED[2], GRID, by="Company").select("Company", "i", "j", F.col("density").alias("exact"))
+    binned = relation.kde_binned(related, RELATED[1], RELATED[2], GRID, by="Company")
+    off = F.abs(F.col("density") - F.col("exact"))
+    return binned.join(exact, ["Company", "i", "j"]).select("Company", "i", "j", (off <= F.col("bound")).alias("within"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -145,6 +160,7 @@ QUERIES = {
         sum_volume_one_company, lag_diff, log_interpolate, decompose, decompose_additive,
         decomposed_features, unfit_customers, lookup_join, price_sentiment_rows, pair_corr, item_corr, histogram10,
         residual_histogram, kde_grid, company_corr, company_histogram, company_density,
+        density_binned, density_within_bound,
     )
 }
 
@@ -226,7 +242,33 @@ def _density_sql(by: str = "") -> str:
     """
 
 
+_STEP = relation.KDE_STEP
+_BINNED = f"""{_FEATURES},
+    c AS (SELECT *, xx * yy - xy * xy AS det, xy / xx AS slope, {_STEP}::DOUBLE * sqrt(xx) AS wide, {_STEP}::DOUBLE * sqrt((xx * yy - xy * xy) / xx) AS high
+          FROM (SELECT count(*) AS n, min(standardized_residual) AS x0, max(standardized_residual) AS x1,
+                       min(standardized_sentiment_all_news) AS y0, max(standardized_sentiment_all_news) AS y1,
+                       var_samp(standardized_residual) * pow(count(*), -1.0 / 3) AS xx,
+                       var_samp(standardized_sentiment_all_news) * pow(count(*), -1.0 / 3) AS yy,
+                       covar_samp(standardized_residual, standardized_sentiment_all_news) * pow(count(*), -1.0 / 3) AS xy FROM m)),
+    v AS (SELECT standardized_residual / wide AS a, (standardized_sentiment_all_news - slope * standardized_residual) / high AS b FROM m, c),
+    w AS MATERIALIZED (
+          SELECT floor(a) + da AS a, floor(b) + db AS b,
+                 sum((CASE WHEN da = 1 THEN a - floor(a) ELSE 1 - a + floor(a) END) * (CASE WHEN db = 1 THEN b - floor(b) ELSE 1 - b + floor(b) END)) AS w
+          FROM v, range(2) r(da), range(2) t(db) GROUP BY 1, 2),
+    g AS (SELECT i, j, n, xx, det, slope, wide, high, x0 - 3 * sqrt(xx) + i * (x1 - x0 + 6 * sqrt(xx)) / {GRID - 1} AS gx,
+                 y0 - 3 * sqrt(yy) + j * (y1 - y0 + 6 * sqrt(yy)) / {GRID - 1} AS gy FROM c, range({GRID}) a(i), range({GRID}) b(j))
+    SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(gx, 4) + 0.0 AS gx, round(gy, 4) + 0.0 AS gy,
+           round(sum(w * exp(-0.5 * ((gx - a * wide) ** 2 / xx + (gy - slope * gx - b * high) ** 2 * xx / det))) / (any_value(n) * 2 * pi() * sqrt(any_value(det))), 7) + 0.0 AS density
+    FROM g, w GROUP BY i, j, gx, gy
+"""
+
+
 SQL = {
+    "density_binned": _BINNED,
+    "density_within_bound": f"""
+        SELECT Company, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, true AS within
+        FROM (SELECT DISTINCT o_orderpriority AS Company FROM orders), range({GRID}) a(i), range({GRID}) b(j)
+    """,
     "unfit_customers": """
         SELECT o_custkey, 'fewer than two periods' AS issue FROM orders
         GROUP BY o_custkey HAVING count(DISTINCT CAST(o_orderdate AS DATE)) < 4

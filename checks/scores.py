@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from checks.tables import DAY_EVENTS, day_events, day_text, rounded, table
-from tidemark.operators import paging, scaling, topk
+from tidemark.operators import fits, paging, scaling, topk
 from tidemark.plans import headlines
+from tidemark.session import new_folder
 
 PAGE_AFTER = ("2024-01-11 00:00:00", 0)
 PAGE_SIZE = 500
@@ -73,6 +76,25 @@ def z_score_by_day(spark, sf):
     return rounded(scaled.select("event_id", "z"), 6, "z")
 
 
+def merged_z_score(spark, sf):
+    """Per-day fits of two halves of the events, merged and applied to all of them."""
+    rows = day_events(spark, sf)
+    halves = [fits.fit_states(rows.where(F.col("event_id") % 2 == half), "score", ["day"]) for half in (0, 1)]
+    merged = fits.merge_states(halves[0].unionByName(halves[1]), ["day"])
+    return rounded(fits.scale_by_key(rows, "score", "z", merged, "day").select("event_id", "z"), 6, "z")
+
+
+def stored_min_max(spark, sf):
+    """Fits stored per day while a fifth of the last days' events is missing; then these days alone are fitted anew."""
+    path, rows = new_folder(spark, "fits"), day_events(spark, sf)
+    last = rows.agg(F.max("day")).head()[0]
+    changed = [last - timedelta(days=k) for k in range(3)]
+    fits.store_states(rows.where(~F.col("day").isin(changed) | (F.col("event_id") % 5 > 0)), "score", "day", path)
+    fits.store_states(rows, "score", "day", path, changed)
+    state = fits.merge_states(fits.load_states(spark, path)).head()
+    return rounded(fits.scale_with(rows, "score", "scaled", state).select("event_id", "scaled"), 6, "scaled")
+
+
 def keyset_page(spark, sf):
     events = table(spark, sf, "events").select("ts", "event_id", "value")
     page = paging.keyset_page(events, ["ts", "event_id"], PAGE_AFTER, PAGE_SIZE)
@@ -95,7 +117,7 @@ QUERIES = {
     for f in (
         daily_top_scaled, daily_top_scaled_rows, daily_news_series, top_rows_by_day, topk_join_form, top_scores_by_day,
         distinct_scores, group_mean_daily, min_max_values, min_max_by_type, z_score_values,
-        z_score_by_day, keyset_page, numbered_pages, page_documents,
+        z_score_by_day, merged_z_score, stored_min_max, keyset_page, numbered_pages, page_documents,
     )
 }
 
@@ -112,6 +134,15 @@ _DAILY = f"""{_RANKED},
 """
 _TOP_ROWS = f"{_RANKED} SELECT strftime(day, '%Y-%m-%d') AS day, event_id, score FROM r WHERE place <= 100"
 
+_MIN_MAX = """
+    SELECT event_id, round((value - min(value) OVER ()) / (max(value) OVER () - min(value) OVER ()), 6) + 0.0 AS scaled
+    FROM events
+"""
+_Z_BY_DAY = f"""
+    SELECT event_id, round((score - avg(score) OVER w) / stddev_pop(score) OVER w, 6) + 0.0 AS z
+    FROM ({DAY_EVENTS}) WINDOW w AS (PARTITION BY day)
+"""
+
 SQL = {
     "daily_top_scaled": _DAILY,
     "daily_top_scaled_rows": _DAILY,
@@ -135,10 +166,8 @@ SQL = {
         SELECT strftime(day, '%Y-%m-%d') AS day, round(avg(polarity), 8) + 0.0 AS avg_polarity
         FROM ({DAY_EVENTS}) GROUP BY 1
     """,
-    "min_max_values": """
-        SELECT event_id, round((value - min(value) OVER ()) / (max(value) OVER () - min(value) OVER ()), 6) + 0.0 AS scaled
-        FROM events
-    """,
+    "min_max_values": _MIN_MAX,
+    "stored_min_max": _MIN_MAX,
     "min_max_by_type": """
         SELECT event_id, event_type,
                round((value - min(value) OVER w) / (max(value) OVER w - min(value) OVER w), 6) + 0.0 AS scaled
@@ -147,10 +176,8 @@ SQL = {
     "z_score_values": """
         SELECT event_id, round((value - avg(value) OVER ()) / stddev_pop(value) OVER (), 6) + 0.0 AS z FROM events
     """,
-    "z_score_by_day": f"""
-        SELECT event_id, round((score - avg(score) OVER w) / stddev_pop(score) OVER w, 6) + 0.0 AS z
-        FROM ({DAY_EVENTS}) WINDOW w AS (PARTITION BY day)
-    """,
+    "z_score_by_day": _Z_BY_DAY,
+    "merged_z_score": _Z_BY_DAY,
     "keyset_page": f"""
         SELECT event_id, value FROM events
         WHERE (ts, event_id) > (TIMESTAMP '{PAGE_AFTER[0]}', {PAGE_AFTER[1]})

@@ -1,7 +1,7 @@
 """The driver's tables in the roles the jobs expect, in Spark and in SQL.
 
 Daily price bars come from ``orders`` (priority as company), headlines from ``documents`` dated by the
-order of the same key, the second daily series from ``lineitem``.
+order of the same key or, without one, by their own, the second daily series from ``lineitem``.
 """
 
 from __future__ import annotations
@@ -81,8 +81,9 @@ SENTIMENT = f"""
 def headlines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in the layout of raw headlines."""
     docs, orders = table(spark, sf, "documents"), table(spark, sf, "orders")
-    day = F.col("o_orderdate").cast("date")
-    return docs.join(orders.select("o_orderkey", "o_orderdate"), F.col("doc_id") == F.col("o_orderkey")).select(
+    own = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("doc_id") % 2000).cast("int"))
+    day = F.coalesce(F.col("o_orderdate").cast("date"), own)
+    return docs.join(orders.select("o_orderkey", "o_orderdate"), F.col("doc_id") == F.col("o_orderkey"), "left").select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("title"),
         F.col("source").alias("domain"),
@@ -99,9 +100,9 @@ def headlines(spark: SparkSession, sf: str) -> DataFrame:
 HEADLINES = """
     SELECT CAST(doc_id AS VARCHAR) AS id, text AS title, source AS domain, 'doc/' || doc_id AS url,
            n_chars AS score, doc_id AS num_comments,
-           date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + doc_id AS created_utc,
-           CAST(o_orderdate AS DATE) AS day
-    FROM documents JOIN orders ON doc_id = o_orderkey
+           date_diff('day', DATE '1970-01-01', day) * 86400 + doc_id AS created_utc, day
+    FROM (SELECT documents.*, coalesce(CAST(o_orderdate AS DATE), DATE '1995-01-01' + CAST(doc_id % 2000 AS INTEGER)) AS day
+          FROM documents LEFT JOIN orders ON doc_id = o_orderkey)
 """
 
 

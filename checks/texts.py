@@ -9,7 +9,7 @@ from checks.tables import (
     tokens_sql, word_values,
 )
 from tidemark.functions import dates, scoring, text as tx
-from tidemark.operators import lexicon, rows, words
+from tidemark.operators import frequent, language, lexicon, rows, vectors, words
 from tidemark.plans import headlines as plans
 from tidemark.session import as_dict
 
@@ -135,6 +135,12 @@ def idf_table(spark, sf):
     return rounded(words.idf_table(_tokens(spark, sf), "words", 5), 8, "idf")
 
 
+def pmi_table(spark, sf):
+    """Mutual information of words at most two places apart that occur twenty times."""
+    counts = vectors.cooccurrences(_tokens(spark, sf), "words", 2, 20)
+    return rounded(vectors.ppmi(counts), 6, "value")
+
+
 def _spark_lexicon(spark, values):
     return spark.createDataFrame(list(values.items()), "word string, valence double")
 
@@ -199,6 +205,29 @@ def language_truth(spark, sf):
     return _docs(spark, sf).groupBy("lang", found.alias("found")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _judged(spark, sf):
+    """Languages of the documents held back, by grams of the others."""
+    docs = _docs(spark, sf).select("doc_id", "lang", tx.tokens(F.col("text")).alias("words"))
+    learnt, held_back = rows.split_rows(docs, "doc_id")
+    langs, profiles = language.learn(learnt, "words", "lang")
+    found = language.most_likely(held_back, "doc_id", "words", langs, profiles).withColumnRenamed("lang", "found")
+    return held_back.select("doc_id", "lang").join(found, "doc_id", "left").withColumn("found", F.coalesce("found", F.lit("none")))
+
+
+def gram_language(spark, sf):
+    return _judged(spark, sf).select("doc_id", "found")
+
+
+def gram_language_truth(spark, sf):
+    """How the language found by grams agrees with the given one, on documents that nothing was learnt from."""
+    return _judged(spark, sf).groupBy("lang", "found").agg(F.count(F.lit(1)).alias("n"))
+
+
+def frequent_words_2000(spark, sf):
+    """The rows of ``words_top_2000`` without a shuffle of every word."""
+    return frequent.frequent_words(_yearly(spark, sf), "year", "title_clean", 2000).select("year", "word", "n", "place")
+
+
 def _clean(spark, sf):
     return plans.clean_headlines(headlines(spark, sf), STOPS, PROFILES, VALENCES, WEIGHTS, "en")
 
@@ -219,9 +248,9 @@ QUERIES = {
         notnull_filter, drop_any_null, nonempty_or_filter, year_range, date_parts, parse_dates, epoch_iso,
         union_files, shaped_columns, split_pair, clean_text, clean_turns, group_word_freq, words_top_2000,
         polarity_repeated,
-        distinct_titles_joined, idf_table, polarity, polarity_join, polarity_large_join, polarity_label,
+        distinct_titles_joined, idf_table, pmi_table, polarity, polarity_join, polarity_large_join, polarity_label,
         subjectivity, subjectivity_join, language_profile, likely_language, english_only_filter,
-        language_truth, headline_etl, headline_daily_sentiment,
+        language_truth, gram_language, gram_language_truth, frequent_words_2000, headline_etl, headline_daily_sentiment,
     )
 }
 
@@ -269,7 +298,7 @@ _WORD_RANKS = f"""
     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY year ORDER BY n DESC, word) AS INTEGER) AS place FROM c)
 """
 
-_ETL = f"""
+ETL = f"""
     WITH h AS MATERIALIZED (SELECT *, {tokens_sql('title')} AS words FROM ({HEADLINES})
           WHERE score IS NOT NULL AND title IS NOT NULL AND url IS NOT NULL AND domain IS NOT NULL AND created_utc IS NOT NULL),
     v AS ({votes_sql('SELECT id, words FROM h')}),
@@ -282,7 +311,25 @@ _ETL = f"""
           WHERE array_to_string(kept, ' ') <> '')
 """
 
+_GRAMS = rf"""
+    WITH t AS (SELECT doc_id, lang, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 4 = 0 AS held_back, words FROM ({TOKENS})),
+    w AS (SELECT doc_id, lang, held_back, ' ' || w || ' ' AS w FROM (SELECT doc_id, lang, held_back, unnest(words) AS w FROM t) WHERE w <> ''),
+    g AS MATERIALIZED (SELECT doc_id, lang, held_back, substr(w, i, 3) AS gram FROM (SELECT *, unnest(range(1, greatest(length(w) - 1, 2))) AS i FROM w)),
+    n AS (SELECT gram, lang, count(*) AS n FROM g WHERE NOT held_back AND lang IS NOT NULL GROUP BY 1, 2),
+    k AS (SELECT gram FROM n GROUP BY 1 HAVING sum(n) >= 3),
+    s AS (SELECT lang, sum(n) + (SELECT count(*) FROM k) AS size FROM n GROUP BY 1),
+    p AS MATERIALIZED (SELECT k.gram, s.lang, CAST(round(ln((coalesce(n.n, 0) + 1)::DOUBLE / s.size) * {language.UNIT}) AS BIGINT) AS weight
+          FROM k CROSS JOIN s LEFT JOIN n ON n.gram = k.gram AND n.lang = s.lang),
+    c AS (SELECT doc_id, gram, count(*) AS times FROM g WHERE held_back GROUP BY 1, 2),
+    v AS (SELECT doc_id, p.lang, sum(weight * times) AS score FROM c JOIN p USING (gram) GROUP BY 1, 2),
+    f AS (SELECT doc_id, arg_min(lang, (-score, lang)) AS found FROM v GROUP BY 1),
+    j AS (SELECT t.doc_id, t.lang, coalesce(f.found, 'none') AS found FROM t LEFT JOIN f USING (doc_id) WHERE held_back)
+"""
+
 SQL = {
+    "gram_language": f"{_GRAMS} SELECT doc_id, found FROM j",
+    "gram_language_truth": f"{_GRAMS} SELECT lang, found, count(*) AS n FROM j GROUP BY 1, 2",
+    "frequent_words_2000": f"{_WORD_RANKS} SELECT year, word, n, place FROM r WHERE place <= 2000",
     "notnull_filter": "SELECT doc_id, text, quality, toxic FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND toxic IS NOT NULL AND text IS NOT NULL",
     "drop_any_null": "SELECT doc_id, quality FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND toxic IS NOT NULL AND text IS NOT NULL",
     "nonempty_or_filter": f"""
@@ -325,6 +372,18 @@ SQL = {
                CASE WHEN doc_freq >= 5 THEN round(ln(((SELECT count(*) FROM documents) + 1) / (doc_freq + 1)::DOUBLE), 8) + 0.0 ELSE 0::DOUBLE END AS idf
         FROM f
     """,
+    "pmi_table": f"""
+        WITH t AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM ({TOKENS})),
+        k AS (SELECT w FROM t GROUP BY 1 HAVING count(*) >= 20),
+        n AS (SELECT w, lead(w, 1) OVER o AS one, lead(w, 2) OVER o AS two FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        p AS (SELECT w AS a, one AS b FROM n UNION ALL SELECT w, two FROM n),
+        d AS (SELECT a AS word, b AS context FROM p UNION ALL SELECT b, a FROM p),
+        c AS MATERIALIZED (SELECT word, context, count(*) AS n FROM d WHERE word IN (FROM k) AND context IN (FROM k) GROUP BY 1, 2),
+        s AS (SELECT word, CAST(sum(n) AS DOUBLE) AS n FROM c GROUP BY 1),
+        q AS (SELECT c.word, c.context, c.n * (SELECT CAST(sum(n) AS DOUBLE) FROM c) AS together, s.n * z.n AS chance
+              FROM c JOIN s ON c.word = s.word JOIN s z ON c.context = z.word)
+        SELECT word, context, round(ln(together / chance), 6) + 0.0 AS value FROM q WHERE together > chance
+    """,
     "polarity": _POLARITY,
     "polarity_join": _POLARITY,
     "polarity_large_join": _POLARITY,
@@ -343,11 +402,11 @@ SQL = {
         SELECT d.lang, coalesce(v.lang, 'none') AS found, count(*) AS n
         FROM documents d LEFT JOIN (SELECT * FROM ({_VOTES}) WHERE place = 1) v ON d.doc_id = v.id GROUP BY 1, 2
     """,
-    "headline_etl": f"""{_ETL}
+    "headline_etl": f"""{ETL}
         SELECT id, title_clean, strftime(t, '%Y-%m-%dT%H:%M:%S') AS created_utc_iso, round(polarity, 8) + 0.0 AS polarity,
                round(subjectivity, 8) + 0.0 AS subjectivity FROM c
     """,
-    "headline_daily_sentiment": f"""{_ETL},
+    "headline_daily_sentiment": f"""{ETL},
         r AS (SELECT CAST(t AS DATE) AS day, polarity, dense_rank() OVER (PARTITION BY CAST(t AS DATE) ORDER BY score DESC) AS place FROM c),
         d AS (SELECT day, avg(polarity) AS a FROM r WHERE place <= 100 GROUP BY day)
         SELECT strftime(day, '%Y-%m-%d') AS created_utc_iso, round(a, 6) + 0.0 AS avg_sentiment,

@@ -10,7 +10,10 @@ from tidemark.streaming.headlines import prepare
 
 SF = "/root/testdata/sf0.001"
 # These start streams or fit models while they are built.
-EAGER = {"stream_prepare", "stream_lexicon_join", "stream_page_files", "stream_score", "train_predict", "train_metrics"}
+EAGER = {
+    "stream_prepare", "stream_lexicon_join", "stream_page_files", "stream_score", "train_predict", "train_metrics", "cursor_feed", "train_other",
+    "stream_score_differences", "validation_labels", "assembled_numbers", "loaded_model_agrees", "slot_idf", "page_array_scan",
+}
 
 
 def plan(df):
@@ -75,6 +78,16 @@ def test_scans_read_only_needed_columns(spark):
     assert schemas == {"struct<ts:timestamp_ntz,value:double,props:string>"}
 
 
+def test_a_small_lexicon_costs_one_shuffle_of_hits(spark):
+    from checks import texts
+
+    for name in ("polarity_join", "subjectivity_join"):
+        text = plan(texts.QUERIES[name](spark, SF))
+        keys = [line.split("hashpartitioning(")[1].split(",")[0] for line in text.splitlines() if "Exchange hashpartitioning" in line]
+        assert sum("doc_id" in k for k in keys) == 1 and all("doc_id" in k or "word" in k for k in keys)
+        assert "SortMergeJoin" not in text and text.count("partial_sum(_value") == 1
+
+
 def test_large_key_tables_are_not_broadcast_blindly(spark):
     """A key without a bound is staged, so that its size decides the join."""
     df = spark.range(1000).select((F.col("id") % 400).cast("string").alias("g"), "id")

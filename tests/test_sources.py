@@ -128,14 +128,119 @@ def test_paged_batch(spark, size, width):
     assert got.rdd.getNumPartitions() == -(-30 // width)
 
 
-def test_paged_stream(spark, tmp_path):
-    spark.dataSource.register(feed())
-    rows = spark.readStream.format("headline_feed").options(end=START + 60, slice=5, size=4).load()
-    query = streaming.start(rows, str(tmp_path / "c"), "parquet", str(tmp_path / "out"))
+def shown_feed(path):
+    """A feed whose rows stand in a file, which a test may change."""
+
+    def rows():
+        return sorted(map(tuple, json.loads(path.read_text())))
+
+    def fetch(after, until, size):
+        when, last = after
+        newer = [r for r in rows() if (r[0] > when or r[0] == when and (last is None or r[1] > last)) and r[0] < until]
+        return newer[:size]
+
+    def newest():
+        return max(rows(), default=None)
+
+    return paged.paged_source("shown_feed", "created_utc bigint, id bigint", fetch, newest)
+
+
+def show(path, rows):
+    path.write_text(json.dumps(sorted(rows)))
+
+
+def followed(spark, tmp_path, overlap, **options):
+    rows = paged.follow(spark, "shown_feed", overlap=overlap, slice=5, size=4, **options)
+    return streaming.start(rows, str(tmp_path / "c"), "parquet", str(tmp_path / "out"))
+
+
+def seen(spark, tmp_path):
+    return sorted(tuple(r) for r in spark.read.schema("created_utc bigint, id bigint").parquet(str(tmp_path / "out")).collect())
+
+
+def test_stream_goes_on_after_its_last_key(spark, tmp_path):
+    """Rows that share the last second come later, and nothing new starts no batch."""
+    feed_file = tmp_path / "feed.json"
+    spark.dataSource.register(shown_feed(feed_file))
+    first = [(START + k // 3, k) for k in range(20)]
+    show(feed_file, first)
+    query = followed(spark, tmp_path, 0)
+    query.processAllAvailable()
+    batch = query.lastProgress["batchId"]
+    assert seen(spark, tmp_path) == first
+    query.processAllAvailable()
+    offsets = (tmp_path / "c" / "offsets" / str(batch)).read_text().splitlines()
+    assert json.loads(offsets[-1]) == {"time": START + 6, "id": 19}
+    assert not list((tmp_path / "c" / "offsets").glob(str(batch + 2)))
+    more = [(START + 6, 20), (START + 6, 21), (START + 30, 22)]
+    show(feed_file, first + more)
     query.processAllAvailable()
     query.stop()
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted(r["id"] for r in got.collect()) == list(range(100))
+    assert seen(spark, tmp_path) == first + more
+
+
+@pytest.mark.parametrize("restart", [False, True])
+def test_rows_shown_late_come_once(spark, tmp_path, restart):
+    feed_file = tmp_path / "feed.json"
+    spark.dataSource.register(shown_feed(feed_file))
+    every = [(START + 10 * k, 2 * k + e) for k in range(30) for e in (0, 1)]
+    late = {every[k] for k in (40, 45, 51)}  # up to 90 seconds behind the newest row of the first run
+    too_late = every[3]
+    half = [r for r in every[:52] if r not in late and r != too_late]
+    show(feed_file, half)
+    query = followed(spark, tmp_path, 100)
+    query.processAllAvailable()
+    assert seen(spark, tmp_path) == sorted(half)
+    if restart:
+        query.stop()
+    show(feed_file, every)
+    if restart:
+        query = followed(spark, tmp_path, 100)
+    query.processAllAvailable()
+    query.stop()
+    assert seen(spark, tmp_path) == sorted(r for r in every if r != too_late)
+
+
+def test_a_batch_is_read_again_from_its_two_offsets():
+    rows = [(100 + k // 4, k) for k in range(200)]
+
+    def fetch(after, until, size):
+        newer = [r for r in rows if (r[0] > after[0] or r[0] == after[0] and (after[1] is None or r[1] > after[1])) and r[0] < until]
+        return newer[:size]
+
+    def read(start, end, **more):
+        parts = paged.slices_between(start, end, 7, **more)
+        return [r for p in parts for r in paged.read_slice(fetch, p, 3)]
+
+    offsets = [{"time": 90, "id": None}] + [{"time": rows[k][0], "id": rows[k][1]} for k in (0, 1, 30, 31, 120, 199)]
+    for start, end in zip(offsets, offsets[1:]):
+        low = -1 if start["id"] is None else start["id"]
+        assert read(start, end) == read(start, end) == rows[low + 1 : end["id"] + 1]
+        again = read(start, end, overlap=5, least=90)
+        assert again == [r for r in rows if start["time"] - 5 <= r[0] and r[1] <= end["id"]]
+    assert read(offsets[3], offsets[3]) == read(offsets[0], offsets[0]) == read(offsets[4], offsets[1]) == []
+
+
+def test_a_feed_without_its_newest_key_is_no_stream(spark, tmp_path):
+    spark.dataSource.register(feed())
+    with pytest.raises(Exception, match="key of its last row"):
+        query = streaming.start(spark.readStream.format("headline_feed").load(), str(tmp_path / "c"), "memory", name="none")
+        query.processAllAvailable()
+
+
+def test_slices_are_a_feed(spark, tmp_path):
+    path, key = str(tmp_path / "slices"), ("t", "id")
+    df = spark.range(3000).select((START + F.col("id") * 7 % 500).alias("t"), "id", F.concat(F.lit("r"), "id").alias("name"))
+    pages.write_slices(df.where("id % 2 = 0").union(df.limit(1).selectExpr("null", "id", "name")), path, key, 60)
+    pages.write_slices(df.where("id % 2 = 1"), path, key, 60)
+    fetch, newest = pages.sliced_feed(path, key, 60, ["name"])
+    rows = sorted((START + k * 7 % 500, k, f"r{k}") for k in range(3000))
+    assert newest() == rows[-1][:2]
+    part = paged.TimeSlice(START, START + 500)
+    for size in (7, 500, 5000):
+        assert list(paged.read_slice(fetch, part, size)) == rows
+    assert fetch((START + 499, rows[-1][1]), START + 500, 5) == [] == fetch((START + 10**6, None), START + 10**6 + 1, 5)
+    assert pages.sliced_feed(str(tmp_path / "none"), key, 60)[1]() is None
 
 
 # Streams
