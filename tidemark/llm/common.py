@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -57,6 +58,25 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*(batch.column(n).to_pylist() for n in names), strict=True)
 
 
+def groups_of(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordBatch]:
+    """Rows that stand sorted by ``keys``, numbers all, one group of equal keys at a time."""
+    held = None
+    for batch in batches:
+        batch = batch if held is None else pa.concat_batches([held, batch])
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows - 1, bool)
+        for k in keys:
+            values = batch.column(k).to_numpy(zero_copy_only=False)
+            change |= values[1:] != values[:-1]
+        starts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        for a, b in zip(starts, starts[1:], strict=False):
+            yield batch.slice(a, b - a)
+        held = batch.slice(starts[-1])  # it may go on in the next batch
+    if held is not None:
+        yield held
+
+
 def batches_of(rows: Iterator[tuple], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
     """Rows back to Arrow batches of at most ``size`` rows."""
     held: list[tuple] = []

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.common import unused
+from tidemark.llm.common import groups_of, unused
 from tidemark.llm.links import components
 from tidemark.llm.shingles import (
     EMPTY,
@@ -128,12 +128,13 @@ def _star(members: DataFrame) -> DataFrame:
     return members.select(ends.alias("p")).select("p.*").where("a <> b").distinct()
 
 
-def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between members of a bucket that are still in different components, estimated and confirmed on the full sets.
 
     The component with the most members in a bucket is only compared with the others. Members are dealt to
-    blocks, and a task compares two blocks; a bucket whose members are all in one component has none. What a
-    task gives back are links that join components, fewer than it has members.
+    blocks, and a task compares two blocks by their sketches; a bucket whose members are all in one component has none.
+    Only members that may be similar to one of another component go on, and their texts are joined to these alone. What
+    a task gives back in the end are links that join components, fewer than it has members.
     """
     placed = members.where("n > 3").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     sizes = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("size"))
@@ -148,22 +149,36 @@ def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, width: int,
     last = F.when(small, 0).when(minor, F.col("minor_blocks") + F.col("major_blocks") - 1).otherwise(F.col("minor_blocks") - 1).cast("int")
     other = F.explode(F.sequence(F.lit(0), "last"))
     dealt = dealt.select("band", "node", "label", minor.alias("minor"), own.alias("own"), last.alias("last"))
-    dealt = dealt.select("band", "node", "label", "minor", "own", other.alias("other")).join(texts, "node")
-    dealt = dealt.select("band", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "label", "minor", "text", "sketch")
+    dealt = dealt.select("band", "node", "label", "minor", "own", other.alias("other")).join(nodes.select("node", "sketch"), "node")
+    pair = (F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+    dealt = dealt.select("band", *pair, "node", "label", (F.col("minor") & (F.col("own") <= F.col("other"))).alias("left"), (F.col("own") >= F.col("other")).alias("right"), "sketch")
+    dealt = dealt.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two", "node")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_of(batches, "band", "one", "two"):
+            labels = group.column("label").to_numpy()
+            left, right = (np.flatnonzero(group.column(c).to_numpy(zero_copy_only=False)) for c in ("left", "right"))
+            if not len(left) or (labels == labels[0]).all():
+                continue
+            lefts, rights = with_likely(_matrix(group.column("sketch")), labels, left, right, percent)
+            if len(lefts):
+                sides = np.zeros((2, len(labels)), bool)
+                sides[0, lefts], sides[1, rights] = True, True
+                columns = [*(group.column(c) for c in ("band", "one", "two", "node", "label")), *map(pa.array, sides)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "left", "right"]).filter(pa.array(sides.any(axis=0)))
+
+    names = ("band", "one", "two", "node", "label")
+    schema = "band bigint, one int, two int, node bigint, label bigint, left boolean, right boolean"
+    asked = staged(dealt.mapInArrow(likely, schema), "asked")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node", ignore_index=True)
-        one, two = group["one"].iat[0], group["two"].iat[0]
-        node, labels, text = (group[c].to_numpy() for c in ("node", "label", "text"))
-        left = np.flatnonzero((group["own"] == one) & group["minor"])
-        right = np.flatnonzero(group["own"] == two)
-        left, right = with_likely(_registers(group["sketch"]), labels, left, right, percent)
-        asked = {*left, *right}
-        sets = [shingle_set(t if k in asked else None, width) for k, t in enumerate(text)]
-        found = joining_links(sets, labels.copy(), left, right, percent)
+        node, labels = (group[c].to_numpy() for c in ("node", "label"))
+        left, right = (np.flatnonzero(group[c]) for c in ("left", "right"))
+        found = joining_links([shingle_set(t, width) for t in group["text"]], labels.copy(), left, right, percent)
         return pd.DataFrame([(node[i], node[j]) for i, j in found], columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("band", "one", "two").applyInPandas(run, "a bigint, b bigint").distinct()
+    return asked.join(texts.select("node", "text"), "node").groupBy("band", "one", "two").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def with_likely(
@@ -240,7 +255,7 @@ def _grouped(docs: DataFrame, width: int, percent: int, key: str = "doc_id", tex
     stars = _likely(_star(members), nodes, percent)
     near = staged(_confirmed(stars, texts, width, percent), "links")
     labels = components(near)
-    more = staged(_across(members, labels, texts, width, percent), "links")
+    more = staged(_across(members, labels, nodes, texts, width, percent), "links")
     labels = components(near.union(more))
 
     lows = labels.join(nodes.select("node", "low_id"), "node").groupBy("label").agg(F.min("low_id").alias("least"))
@@ -254,11 +269,11 @@ def _grouped(docs: DataFrame, width: int, percent: int, key: str = "doc_id", tex
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """``node, text, sketch``: one document's text for each wanted node."""
+    """``node, text``: one document's text for each wanted node."""
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
-    ids = wanted.select("node", "sketch", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash"))
+    ids = wanted.select("node", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash"))
     same = rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["text_hash"] == ids["_hash"])
-    return rows.join(ids, same).groupBy("node").agg(F.first("text").alias("text"), F.first("sketch").alias("sketch"))
+    return rows.join(ids, same).groupBy("node").agg(F.first("text").alias("text"))
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
