@@ -1,0 +1,118 @@
+"""The URL models against plain Python, and what longer contexts are worth."""
+
+import hashlib
+import math
+from collections import Counter, defaultdict
+
+import pytest
+
+from tidemark.llm import queries, urls
+from tidemark.llm.common import table
+
+SF, SF3 = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
+
+
+def lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def held(text):
+    return hashlib.md5(text.encode()).hexdigest()[0] in urls.HELD_BACK
+
+
+class PlainModel:
+    """Witten-Bell over all observed contexts of up to ``order`` characters."""
+
+    def __init__(self, texts, order):
+        self.order, self.counts = order, defaultdict(Counter)
+        for text in texts:
+            padded = urls.START * order + text
+            for i in range(len(text)):
+                for k in range(order + 1):
+                    self.counts[padded[i + order - k : i + order]][padded[i + order]] += 1
+
+    def share(self, context, char, kinds):
+        p = (self.counts[""][char] + 1) / (self.counts[""].total() + kinds + 1)
+        for k in range(1, self.order + 1):
+            if found := self.counts.get(context[self.order - k :]):
+                p = (found[char] + len(found) * p) / (found.total() + len(found))
+        return p
+
+
+def plain_scores(rows, order):
+    """``rows`` are (url, verdict of a rule or None)."""
+    learnt = {k: PlainModel([lower(u) for u, v in rows if u and v == k and not held(lower(u))], order) for k in urls.KINDS}
+    kinds = len(set(learnt["allow"].counts[""]) | set(learnt["block"].counts[""]))
+    out = {}
+    for u, _ in rows:
+        text = lower(u or "")
+        padded, total = urls.START * order + text, 0
+        for i in range(len(text)):
+            context, char = padded[i : i + order], padded[i + order]
+            total += round((math.log(learnt["allow"].share(context, char, kinds)) - math.log(learnt["block"].share(context, char, kinds))) * urls.UNIT)
+        out[text] = total / urls.UNIT / max(len(text), 1)
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 5])
+def test_scores_are_those_of_the_plain_model(spark, order):
+    odd = [(-1, "http://ÜNÏ.漢字.net/\U0001f600/A"), (-2, None), (-3, ""), (-4, "x" * 3000), (-5, "http://a.net/\x02\x02b")]
+    pages = table(spark, SF, "pages").select("page_id", "url").union(spark.createDataFrame(odd, "page_id bigint, url string"))
+    ruled = {r["page_id"]: (r["url"], r["ruled"]) for r in urls.with_rule(pages, queries.URL_RULES).collect()}
+    wanted = plain_scores(list(ruled.values()), order)
+    judged = urls.judge_urls(pages, queries.URL_RULES, order=order).collect()
+    assert len(judged) == len(ruled) == 255
+    for r in judged:
+        if r["rule"] is None:
+            assert r["score"] == pytest.approx(wanted[lower(r["url"] or "")], abs=1e-3)
+        else:
+            assert r["score"] is None and r["verdict"] == ruled[r["page_id"]][1]
+
+
+def test_verdicts_follow_the_threshold(spark):
+    judged = urls.judge_urls(table(spark, SF, "pages"), queries.URL_RULES).where("rule is null").collect()
+    least = min(r["score"] for r in judged if r["verdict"] == "allow")
+    assert all(r["score"] < least for r in judged if r["verdict"] == "block") and len({r["verdict"] for r in judged}) == 2
+
+
+def held_out_error(spark, order):
+    """Sum of both shares of errors on labelled urls that neither models nor threshold have seen."""
+    ruled = urls.with_rule(table(spark, SF3, "pages").select("page_id", "url"), queries.URL_RULES).where("ruled is not null")
+    unseen = "substring(md5(cast(concat('unseen', url) as binary)), 1, 1) < '8'"
+    known = urls.distinct_urls(ruled.where(f"not ({unseen})"), "url")
+    asked = ruled.where(unseen).withColumnsRenamed({"ruled": "truth"}).selectExpr("url", "truth", "cast(null as string) as ruled")
+    both = known.drop("id").unionByName(asked.selectExpr("lower(url) as text", "ruled", "1L as n").distinct()).selectExpr("*", "monotonically_increasing_id() as id")
+    scored = urls.scores(urls.staged(both, "both"), order)
+    least = urls.calibrated(scored).head()["least"]
+    truth = {lower(r["url"]): r["truth"] for r in asked.collect()}
+    wrong, of = Counter(), Counter()
+    for r in scored.where("ruled is null").withColumn("step", urls.step_of(scored["score"])).collect():
+        of[truth[r["text"]]] += 1
+        wrong[truth[r["text"]]] += (r["step"] >= least) != (truth[r["text"]] == "allow")
+    return sum(wrong[k] / of[k] for k in urls.KINDS), of.total()
+
+
+def test_longer_contexts_judge_better(spark):
+    short, count = held_out_error(spark, 2)
+    long, _ = held_out_error(spark, 5)
+    print(f"held-out sum of error shares: order 2 {short:.3f}, order 5 {long:.3f}, of {count} urls")
+    assert long <= short and long < 0.05 and count > 300
+
+
+def test_the_model_grows_with_the_urls(spark):
+    sizes = []
+    for sf in (SF, SF3):
+        ruled = urls.with_rule(table(spark, sf, "pages").select("url"), queries.URL_RULES)
+        every, contexts = urls.counted(urls.distinct_urls(ruled, "url").where("ruled is not null"))
+        sizes.append((every.count(), contexts.count()))
+    assert sizes[1][0] > 3 * sizes[0][0] and sizes[1][1] > 3 * sizes[0][1]
+
+
+def test_nothing_to_learn_from_allows(spark):
+    df = spark.createDataFrame([(1, "http://a.net/x"), (2, "http://b.org/y"), (3, None)], "page_id int, url string")
+    assert {r["page_id"]: r["verdict"] for r in urls.judge_urls(df, queries.URL_RULES).collect()} == {1: "allow", 2: "allow", 3: "allow"}
+
+
+def test_plans_hold_no_python(spark):
+    text = urls.judge_urls(table(spark, SF, "pages"), queries.URL_RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text and "Pandas" not in text and "CartesianProduct" not in text

@@ -13,65 +13,59 @@ def lowered(text: str) -> str:
     return f"translate({text}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 
-def url_filter(rule_list: tuple[urls.Rule, ...]) -> str:
-    order = sorted(rule_list, key=lambda r: (-len(r.text), r.text))
-    fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in order]
-    rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in zip(fits, order, strict=True))
-    ruled = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in zip(fits, order, strict=True))
-    size = urls.SIZE
-
-    def totals(k: str) -> str:
-        return f"sum({k}) AS {k}_n, count(*) FILTER ({k} > 0) AS {k}_kinds"
-
-    def smoothed(k: str, at: str, shorter: str) -> str:
-        n, types = f"{at}.{k}_n", f"{at}.{k}_kinds"
-        return f"CASE WHEN {n} >= {urls.MIN_CONTEXT} THEN (c.{k} + {types} * {shorter}) / ({n} + {types}) ELSE {shorter} END"
-
+def url_filter(rule_list: tuple[urls.Rule, ...], order: int = urls.ORDER) -> str:
+    ranked = sorted(rule_list, key=lambda r: (-len(r.text), r.text))
+    fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in ranked]
+    rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in zip(fits, ranked, strict=True))
+    ruled = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in zip(fits, ranked, strict=True))
+    sizes = range(1, order + 2)
+    figures = ("allow", "block", "allow_n", "allow_kinds", "block_n", "block_kinds", "all_kinds")
+    by_size = ", ".join(f"coalesce(max({c}) FILTER (size = {k}), 0) AS {c}_{k}" for k in sizes for c in figures)
+
+    def smoothed(kind: str) -> str:
+        p = f"(({kind}_1 + 1)::DOUBLE / ({kind}_n_1 + all_kinds_1 + 1))"
+        steps = [f"p_1 AS (SELECT *, {p} AS p FROM by_size)"]
+        for k in sizes[1:]:
+            n, types = f"{kind}_n_{k}", f"{kind}_kinds_{k}"
+            steps.append(f"p_{k} AS (SELECT * EXCLUDE p, CASE WHEN {n} > 0 THEN ({kind}_{k} + {types} * p) / ({n} + {types}) ELSE p END AS p FROM p_{k - 1})")
+        return f"(WITH {', '.join(steps)} SELECT run, p AS {kind} FROM p_{order + 1})"
+
+    kinds = ", ".join(f"coalesce(sum(n) FILTER (ruled = '{k}'), 0) AS {k}" for k in urls.KINDS)
+    totals = ", ".join(f"sum({k}) AS {k}_n, count(*) FILTER ({k} > 0) AS {k}_kinds" for k in urls.KINDS)
     return f"""
     WITH rest AS (
         SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
     ), parts AS (
-        SELECT page_id, coalesce(url, '') AS url, {lowered("regexp_extract(rest, '^[^/?#]*')")} AS host,
+        SELECT page_id, coalesce({lowered("url")}, '') AS text, {lowered("regexp_extract(rest, '^[^/?#]*')")} AS host,
                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
-    ), ruled AS (
-        SELECT *, row_number() OVER () AS nr, CASE {rule} END AS rule, CASE {ruled} END AS ruled FROM parts
-    ), chars AS (
-        SELECT nr, ruled, url, unnest(string_split({lowered("url")}, '')) AS symbol, generate_subscripts(string_split({lowered("url")}, ''), 1) AS place
-        FROM ruled WHERE url <> ''
-    ), codes AS (SELECT *, instr('{urls.SYMBOLS}', symbol) AS code FROM chars),
-    grams AS (
-        SELECT nr, ruled, (lag(code, 2, {urls.START}) OVER w * {size} + lag(code, 1, {urls.START}) OVER w) * {size} + code AS cell
-        FROM codes WINDOW w AS (PARTITION BY nr ORDER BY place)
-    ), counts AS (
-        SELECT cell, count(*) FILTER (ruled = 'allow') AS allow, count(*) FILTER (ruled = 'block') AS block FROM grams WHERE ruled IS NOT NULL GROUP BY 1
-    ), every AS (
-        SELECT r.cell, r.cell // {size} AS context, r.cell % {size * size} AS pair, r.cell // {size} % {size} AS last, r.cell % {size} AS symbol,
-               coalesce(allow, 0) AS allow, coalesce(block, 0) AS block
-        FROM (SELECT unnest(range({urls.CELLS})) AS cell) r LEFT JOIN counts USING (cell)
-    ), pairs AS (SELECT pair, last, symbol, sum(allow) AS allow, sum(block) AS block FROM every GROUP BY ALL),
-    symbols AS (SELECT symbol, sum(allow) AS allow, sum(block) AS block FROM pairs GROUP BY ALL),
-    zero AS (SELECT symbol, (allow + 1) / (sum(allow) OVER () + {size}) AS allow_0, (block + 1) / (sum(block) OVER () + {size}) AS block_0 FROM symbols),
-    lasts AS (SELECT last, {totals("allow")}, {totals("block")} FROM pairs GROUP BY ALL),
-    contexts AS (SELECT context, {totals("allow")}, {totals("block")} FROM every GROUP BY ALL),
-    one AS (
-        SELECT c.pair, {smoothed("allow", "lasts", "allow_0")} AS allow_1, {smoothed("block", "lasts", "block_0")} AS block_1
-        FROM pairs c JOIN lasts USING (last) JOIN zero USING (symbol)
-    ), deltas AS (
-        SELECT c.cell, CAST(round_even((ln({smoothed("allow", "contexts", "allow_1")}) - ln({smoothed("block", "contexts", "block_1")})) * {urls.UNIT}, 0) AS INT) AS d
-        FROM every c JOIN contexts USING (context) JOIN one USING (pair)
-    ), sums AS (SELECT nr, sum(d) AS total FROM grams JOIN deltas USING (cell) GROUP BY 1),
-    scored AS (
-        SELECT ruled.*, CAST(floor(least(greatest(coalesce(total, 0) / {urls.UNIT} / greatest(length(url), 1), -{urls.LIMIT}), {urls.LIMIT}) * {urls.STEPS}) AS INT) AS step
-        FROM ruled LEFT JOIN sums USING (nr)
+    ), judged AS (SELECT *, CASE {rule} END AS rule, CASE {ruled} END AS ruled FROM parts),
+    urls AS MATERIALIZED (
+        SELECT *, row_number() OVER () AS id, substr(md5(text), 1, 1) IN ({', '.join(f"'{c}'" for c in urls.HELD_BACK)}) AS held
+        FROM (SELECT text, ruled, count(*) AS n FROM judged WHERE text <> '' GROUP BY 1, 2)
+    ), runs AS MATERIALIZED (
+        SELECT id, ruled, held, n, unnest(list_transform(range(1, length(text) + 1), lambda i: substr(repeat(chr({ord(urls.START)}), {order}) || text, i, {order + 1}))) AS run FROM urls
+    ), longest AS (SELECT run, {kinds} FROM runs WHERE ruled IS NOT NULL AND NOT held GROUP BY 1),
+    ends AS MATERIALIZED (SELECT substr(run, {order + 2} - size) AS part, sum(allow) AS allow, sum(block) AS block FROM longest, range(1, {order + 2}) s(size) GROUP BY 1),
+    contexts AS MATERIALIZED (SELECT substr(part, 1, length(part) - 1) AS context, {totals}, count(*) AS all_kinds FROM ends GROUP BY 1),
+    asked AS (SELECT run, size, substr(run, {order + 2} - size) AS part FROM (SELECT DISTINCT run FROM runs WHERE ruled IS NULL OR held), range(1, {order + 2}) s(size)),
+    joined AS (SELECT run, size, allow, block, c.* FROM asked LEFT JOIN ends USING (part) LEFT JOIN contexts c ON context = substr(part, 1, size - 1)),
+    by_size AS MATERIALIZED (SELECT run, {by_size} FROM joined GROUP BY 1),
+    deltas AS (
+        SELECT run, CAST(round_even((ln(allow) - ln(block)) * {urls.UNIT}, 0) AS INT) AS d
+        FROM {smoothed("allow")} JOIN {smoothed("block")} USING (run)
+    ), scored AS (
+        SELECT text, ruled, n, CAST(floor(least(greatest(total::DOUBLE / {urls.UNIT} / length(text), -{urls.LIMIT}), {urls.LIMIT}) * {urls.STEPS}) AS INT) AS step
+        FROM urls JOIN (SELECT id, sum(d) AS total FROM runs JOIN deltas USING (run) GROUP BY 1) USING (id) WHERE ruled IS NULL OR held
     ), steps AS (
-        SELECT step, count(*) FILTER (ruled = 'allow') AS allow, count(*) FILTER (ruled = 'block') AS block FROM scored WHERE ruled IS NOT NULL GROUP BY 1
+        SELECT step, {kinds} FROM scored WHERE ruled IS NOT NULL GROUP BY 1
     ), errors AS (
-        SELECT CAST(ceil((step + coalesce(lag(step) OVER (ORDER BY step), step)) / 2) AS INT) AS cut, round(coalesce(sum(allow) OVER w, 0) / sum(allow) OVER () + 1 - coalesce(sum(block) OVER w, 0) / sum(block) OVER (), 9) AS error
+        SELECT CAST(ceil((step + coalesce(lag(step) OVER (ORDER BY step), step)) / 2) AS INT) AS cut,
+               round(coalesce(sum(allow) OVER w, 0) / nullif(sum(allow) OVER (), 0) + 1 - coalesce(sum(block) OVER w, 0) / nullif(sum(block) OVER (), 0), 9) AS error
         FROM steps WINDOW w AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-    ), least AS (SELECT cut AS least FROM errors WHERE error IS NOT NULL AND NOT isnan(error) ORDER BY error, cut LIMIT 1)
+    ), least AS (SELECT cut AS least FROM errors WHERE error IS NOT NULL ORDER BY error, cut LIMIT 1)
     SELECT page_id, host, path, rule,
-           coalesce(ruled, CASE WHEN step < (SELECT least FROM least) THEN 'block' ELSE 'allow' END) AS verdict
-    FROM scored
+           coalesce(j.ruled, CASE WHEN coalesce(step, 0) < (SELECT least FROM least) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM judged j LEFT JOIN (SELECT text, step FROM scored WHERE ruled IS NULL) s USING (text)
     """
 
 

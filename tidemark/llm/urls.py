@@ -1,10 +1,11 @@
 """URL filter: host and path rules first, then two character language models.
 
 The models are learnt from the urls that a rule allows and from those that a rule blocks. Each predicts a
-character from the two before it, from one or from none: a context seen too rarely is dropped, and what is left
-is smoothed with the next shorter one (Witten-Bell). A url's score is the mean over its characters of the
-difference of log-probabilities; the threshold is the one that separates the two kinds of labelled urls best.
-Everything is made of native expressions and aggregates.
+character from the five before it, or from as many of these as it has seen in a row, and smooths what a context says
+with the next shorter one (Witten-Bell). A url's score is the mean over its characters of the difference of
+log-probabilities. The threshold is the one that best separates the two kinds of labelled urls that were held back from
+the models. What is counted are the runs of characters that occur, so the model grows with the urls. Everything is
+made of native expressions, aggregates and joins.
 """
 
 from __future__ import annotations
@@ -14,17 +15,16 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import lower_ascii
+from tidemark.llm.common import lower_ascii, unused
 from tidemark.session import staged
 
-SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789/.-_?=&#:%~+"
-SIZE = len(SYMBOLS) + 2  # 0 is any other character; the last code stands before the first character
-START = SIZE - 1
-CELLS = SIZE**3
-MIN_CONTEXT = 8
-UNIT = 100  # log-probabilities are kept in steps of 1/UNIT
+ORDER = 5  # characters of the longest context
+START = "\x02"  # stands before the first character
+HELD_BACK = "0123"  # first digits of the MD5 of urls that are held back: a quarter
+UNIT = 1000  # log-probabilities are kept in steps of 1/UNIT
 # Scores are compared in steps of 1/STEPS, within +-LIMIT.
 STEPS, LIMIT = 100, 20
+KINDS = ("allow", "block")
 
 
 class Rule(NamedTuple):
@@ -62,107 +62,114 @@ def with_rule(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> Data
     return found.withColumns({"rule": rule, "ruled": verdict})
 
 
-def trigrams(url: Column) -> Column:
-    """For each character of the url's lower-case text, the number of its cell in the model."""
-    chars = F.filter(F.split(lower_ascii(F.coalesce(url, F.lit(""))), ""), lambda c: c != "")
-    codes = F.transform(chars, lambda c: F.call_function("locate", c, F.lit(SYMBOLS)))
-    start, n = F.lit(START), F.size(codes)
-    before = F.slice(F.concat(F.array(start, start), codes), F.lit(1), n)
-    last = F.slice(F.concat(F.array(start), codes), F.lit(1), n)
-    context = F.zip_with(before, last, lambda a, b: a * SIZE + b)
-    return F.zip_with(context, codes, lambda ab, c: ab * SIZE + c)
+def held_back(text: Column) -> Column:
+    return F.substring(F.md5(text.cast("binary")), 1, 1).isin(*HELD_BACK)
 
 
-def model(labelled: DataFrame, url: str = "url", label: str = "ruled") -> DataFrame:
-    """One row, ``deltas``: for each cell, the log-probability under allowed urls minus that under blocked ones,
-    in whole steps of 1/UNIT.
+def runs(text: Column, order: int = ORDER) -> Column:
+    """For each character of a text, it and the ``order`` before it."""
+    padded = F.concat(F.lit(START * order), text)
+    return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(padded, i, order + 1))
 
-    All labelled urls are counted; equal cells are summed in each task before the shuffle. The table has
-    ``CELLS`` entries whatever the input. A kind without urls predicts all characters alike.
+
+def distinct_urls(ruled: DataFrame, url: str) -> DataFrame:
+    """``id, text, ruled, n``: urls in lower case that are not empty, numbered, and how often each is there."""
+    text = lower_ascii(F.col(url))
+    found = ruled.where(F.col(url) != "").groupBy(text.alias("text"), "ruled").agg(F.count(F.lit(1)).alias("n"))
+    return staged(found.withColumn("id", F.monotonically_increasing_id()), "urls")
+
+
+def counted(labelled: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
+    """The model: ``run, allow, block`` for every run of up to ``order`` + 1 characters, and the same for contexts.
+
+    Of a context, ``<kind>_n`` is how often it occurs before a character, ``<kind>_kinds`` before how many different ones, and
+    ``all_kinds`` that in both kinds together. Only the longest runs are counted in the urls; the shorter ones are sums of
+    these. Equal runs of a task are added up before a shuffle, so one that all urls have is no burden.
+    """
+    longest = labelled.select("ruled", "n", F.explode(runs(F.col("text"), order)).alias("run")).groupBy("run")
+    sums = [F.coalesce(F.sum(F.when(F.col("ruled") == k, F.col("n"))), F.lit(0)).alias(k) for k in KINDS]
+    longest = staged(longest.agg(*sums), "longest-runs")
+    ends = F.transform(F.sequence(F.lit(1), F.lit(order + 1)), lambda k: F.substring("run", order + 2 - k, k))
+    shorter = longest.select(F.explode(ends).alias("run"), *KINDS).groupBy("run")
+    every = staged(shorter.agg(*[F.sum(k).alias(k) for k in KINDS]), "runs")
+    totals = [e for k in KINDS for e in (F.sum(k).alias(f"{k}_n"), F.count_if(F.col(k) > 0).alias(f"{k}_kinds"))]
+    context = F.expr("substring(run, 1, length(run) - 1)").alias("context")
+    return every, staged(every.groupBy(context).agg(*totals, F.count(F.lit(1)).alias("all_kinds")), "contexts")
+
+
+def differences(asked: DataFrame, every: DataFrame, contexts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``run, d`` of the asked runs: the last character's log-probability under allowed urls minus that under blocked ones.
+
+    In whole steps of 1/UNIT. A context that a kind has never seen leaves it to the next shorter one; without any, a
+    character's share counts, one being added to each.
+    """
+    end = F.explode(F.sequence(F.lit(1), F.lit(order + 1))).alias("size")
+    ends = asked.select("run", end).withColumn("end", F.substring("run", F.lit(order + 2) - F.col("size"), F.col("size")))
+    ends = ends.withColumn("context", F.expr("substring(end, 1, size - 1)"))
+    joined = ends.join(every.withColumnRenamed("run", "end"), "end", "left").join(contexts, "context", "left")
+    figures = [*KINDS, *[f"{k}_{x}" for k in KINDS for x in ("n", "kinds")], "all_kinds"]
+    by_size = [F.coalesce(F.max(F.when(F.col("size") == k, F.col(c))), F.lit(0)).alias(f"{c}_{k}") for k in range(1, order + 2) for c in figures]
+    found = joined.groupBy("run").agg(*by_size)
+    for kind in KINDS:
+        found = found.withColumn(kind, (F.col(f"{kind}_1") + 1) / (F.col(f"{kind}_n_1") + F.col("all_kinds_1") + 1))
+        for k in range(2, order + 2):
+            n, types = F.col(f"{kind}_n_{k}"), F.col(f"{kind}_kinds_{k}")
+            found = found.withColumn(kind, F.when(n > 0, (F.col(f"{kind}_{k}") + types * F.col(kind)) / (n + types)).otherwise(F.col(kind)))
+    return found.select("run", F.rint((F.ln("allow") - F.ln("block")) * UNIT).cast("int").alias("d"))
+
+
+def scores(urls: DataFrame, order: int = ORDER) -> DataFrame:
+    """``text, ruled, n, score`` of the urls of :func:`distinct_urls` that no rule decides and of those held back.
+
+    Runs are joined with their differences; a run that very many urls have is split by the adaptive join.
     """
-    cells = labelled.where(F.col(label).isNotNull()).select(
-        (F.col(label) == "allow").alias("allowed"), F.explode(trigrams(F.col(url))).alias("cell")
-    )
-    counts = staged(
-        cells.groupBy("cell").agg(
-            F.count_if("allowed").alias("allow"), F.count_if(~F.col("allowed")).alias("block")
-        ),
-        "url-counts",
-    )
-    full = labelled.sparkSession.range(CELLS).select(
-        F.col("id").cast("int").alias("cell"),
-        F.floor(F.col("id") / SIZE).cast("int").alias("context"),
-        (F.col("id") % (SIZE * SIZE)).cast("int").alias("pair"),
-        (F.floor(F.col("id") / SIZE) % SIZE).cast("int").alias("last"),
-        (F.col("id") % SIZE).cast("int").alias("symbol"),
-    )
-    full = full.join(counts, "cell", "left").fillna(0, ["allow", "block"])
-    kinds = ("allow", "block")
-    pairs = full.groupBy("pair", "last", "symbol").agg(*[F.sum(k).alias(k) for k in kinds])
-    symbols = pairs.groupBy("symbol").agg(*[F.sum(k).alias(k) for k in kinds])
-
-    def totals(df: DataFrame, key: str) -> DataFrame:
-        sums = [e for k in kinds for e in (F.sum(k).alias(f"{k}_n"), F.count_if(F.col(k) > 0).alias(f"{k}_kinds"))]
-        return df.groupBy(key).agg(*sums)
-
-    def smoothed(k: str, shorter: str) -> Column:
-        n, types = F.col(f"{k}_n"), F.col(f"{k}_kinds")
-        mixed = (F.col(k) + types * F.col(shorter)) / (n + types)
-        return F.when(n >= MIN_CONTEXT, mixed).otherwise(F.col(shorter))
-
-    every = Window.partitionBy()  # over the symbols, SIZE rows at most
-    zero = symbols.select(
-        "symbol", *[((F.col(k) + 1) / (F.sum(k).over(every) + SIZE)).alias(f"{k}_0") for k in kinds]
-    )
-    one = pairs.join(totals(pairs, "last"), "last").join(zero, "symbol")
-    one = one.select("pair", *[smoothed(k, f"{k}_0").alias(f"{k}_1") for k in kinds])
-    two = full.join(totals(full, "context"), "context").join(one, "pair")
-    deltas = two.select("cell", (F.ln(smoothed("allow", "allow_1")) - F.ln(smoothed("block", "block_1"))).alias("d"))
-    ordered = F.array_sort(F.collect_list(F.struct("cell", "d")))
-    return deltas.agg(F.transform(ordered, lambda x: F.rint(x["d"] * UNIT).cast("int")).alias("deltas"))
-
-
-def with_score(pages: DataFrame, fitted: DataFrame, url: str = "url") -> DataFrame:
-    """Adds ``score``; an empty or null url scores 0."""
-    # CELLS numbers, whatever the input: one literal, folded to an array when the query is planned.
-    deltas = F.split(F.lit(fitted.select(F.array_join("deltas", ",")).head()[0]), ",").cast("array<int>")
-    total = F.aggregate(trigrams(F.col(url)), F.lit(0).cast("bigint"), lambda s, c: s + F.get(deltas, c)) / UNIT
-    return pages.withColumn("score", total / F.greatest(F.length(F.coalesce(url, F.lit(""))), F.lit(1)))
+    held = held_back(F.col("text"))
+    asked = urls.where(F.col("ruled").isNull() | held)
+    every, contexts = counted(urls.where(F.col("ruled").isNotNull() & ~held), order)
+    listed = asked.select("id", F.explode(runs(F.col("text"), order)).alias("run"))
+    found = staged(differences(listed.select("run").distinct(), every, contexts, order), "differences")
+    sums = listed.join(found, "run").groupBy("id").agg(F.sum("d").alias("total"))
+    scored = asked.join(sums, "id").withColumn("score", F.col("total") / UNIT / F.length("text"))
+    return staged(scored.select("text", "ruled", "n", "score"), "url-scores")
 
 
 def step_of(score: Column) -> Column:
     return F.floor(F.least(F.greatest(score, F.lit(-LIMIT)), F.lit(LIMIT)) * STEPS).cast("int")
 
 
-def calibrated(scored: DataFrame, label: str = "ruled") -> DataFrame:
+def calibrated(scored: DataFrame) -> DataFrame:
     """One row, ``least``: the lowest step of score that is allowed.
 
     It makes the sum of the shares of allowed urls below it and of blocked urls from it smallest, and lies in the
     middle of the gap where it does; of several, the lowest. Null without urls of both kinds. The window is over the steps, 4001 at most.
     """
-    steps = scored.where(F.col(label).isNotNull()).groupBy(step_of(F.col("score")).alias("step"))
-    counts = steps.agg(
-        F.count_if(F.col(label) == "allow").alias("allow"), F.count_if(F.col(label) == "block").alias("block")
-    )
+    steps = scored.where(F.col("ruled").isNotNull()).groupBy(step_of(F.col("score")).alias("step"))
+    counts = steps.agg(*[F.coalesce(F.sum(F.when(F.col("ruled") == k, F.col("n"))), F.lit(0)).alias(k) for k in KINDS])
     below, every = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    kept_out = F.coalesce(F.sum("allow").over(below), F.lit(0)) / F.sum("allow").over(every)
-    let_in = 1 - F.coalesce(F.sum("block").over(below), F.lit(0)) / F.sum("block").over(every)
+    kept_out = F.try_divide(F.coalesce(F.sum("allow").over(below), F.lit(0)), F.sum("allow").over(every))
+    let_in = 1 - F.try_divide(F.coalesce(F.sum("block").over(below), F.lit(0)), F.sum("block").over(every))
     cut = F.ceil((F.col("step") + F.coalesce(F.lag("step").over(Window.orderBy("step")), F.col("step"))) / 2)
     errors = counts.select(cut.cast("int").alias("cut"), F.round(kept_out + let_in, 9).alias("error"))
     return errors.agg(F.min(F.when(F.col("error").isNotNull(), F.struct("error", "cut")))["cut"].alias("least"))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", order: int = ORDER) -> DataFrame:
     """Adds ``host``, ``path``, ``rule``, ``score`` and ``verdict`` to every row.
 
     The verdict is that of the longest rule that fits; else ``allow`` if the score reaches the calibrated
-    threshold, ``block`` if not. Where the rules allow no url or block none, there is nothing to learn from
-    and urls without a rule are allowed. A null url has an empty host and path. Columns of these names in
-    ``pages`` are replaced.
+    threshold, ``block`` if not. Where no url or no held-back url is allowed, or none is blocked, there is nothing to learn
+    from and urls without a rule are allowed. ``score`` is null where a rule decides; that of an empty or null url is 0. A
+    null url has an empty host and path. Very long urls are read whole. Columns of these names in ``pages`` are
+    replaced, rows that repeat an id have a row each, an empty table gives no rows.
     """
     ruled = with_rule(pages, rules, url)
-    fitted = staged(model(ruled, url), "url-model")
-    scored = with_score(ruled, fitted, url)
+    scored = scores(distinct_urls(ruled, url), order)
     least = staged(calibrated(scored), "url-threshold").scalar()
-    learnt = F.when(step_of(F.col("score")) < least, "block").otherwise("allow")
-    return scored.withColumn("verdict", F.coalesce("ruled", learnt)).drop("ruled")
+    text, known = unused(ruled.columns, "text", "known")
+    judged = scored.where(F.col("ruled").isNull()).select(F.col("text").alias(text), F.col("score").alias(known))
+    ruled = ruled.withColumn(known + "_text", F.when(F.col("ruled").isNull(), lower_ascii(F.col(url))))
+    joined = ruled.join(judged, F.col(known + "_text") == F.col(text), "left").drop("score")
+    score = F.when(F.col("ruled").isNull(), F.coalesce(known, F.lit(0.0)))
+    learnt = F.when(step_of(score) < least, "block").otherwise("allow")
+    joined = joined.withColumns({"verdict": F.coalesce("ruled", learnt), "score": score})
+    return joined.drop("ruled", text, known, known + "_text")
