@@ -15,7 +15,10 @@ from pathlib import Path
 from checks import catalog
 from tidemark import build_session
 
-ONCE = {"train_predict", "train_metrics", "stream_prepare", "stream_lexicon_join", "stream_page_files", "stream_score"}
+ONCE = {
+    "train_predict", "train_metrics", "train_other", "validation_labels", "assembled_numbers", "loaded_model_agrees", "stream_prepare",
+    "stream_lexicon_join", "stream_page_files", "stream_score", "stream_score_differences", "cursor_feed", "bounded_stream",
+}
 
 
 def timed(spark, name: str, sf: str) -> float:

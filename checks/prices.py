@@ -102,11 +102,11 @@ def _related(spark, sf):
 
 
 def pair_corr(spark, sf):
-    return rounded(relation.pair_corr(_related(spark, sf), RELATED), 8, "r").drop("label")
+    return rounded(relation.pair_corr(_related(spark, sf), RELATED), 8, "r")
 
 
 def company_corr(spark, sf):
-    return rounded(relation.pair_corr(_related(spark, sf), RELATED, by="Company"), 8, "r").drop("label")
+    return rounded(relation.pair_corr(_related(spark, sf), RELATED, by="Company"), 8, "r")
 
 
 def company_histogram(spark, sf):
@@ -338,14 +338,14 @@ SQL = {
                round(standardized_sentiment_all_news, 6) + 0.0 AS standardized_sentiment_all_news
         FROM m
     """,
-    "pair_corr": f"{_FEATURES} {_corr_sql('m', RELATED)}",
+    "pair_corr": f"{_FEATURES} SELECT *, round(r, 2) + 0.0 AS label FROM ({_corr_sql('m', RELATED)})",
     "item_corr": f"""
         SELECT x, y, r, round(r, 2) + 0.0 AS label
         FROM ({_corr_sql('lineitem', ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])})
     """,
     "histogram10": f"WITH {_bins_sql('events', 'value', 6)}",
     "residual_histogram": f"{_FEATURES}, {_bins_sql('m', 'standardized_residual', 5)}",
-    "company_corr": f"{_FEATURES} " + _corr_sql("m", RELATED, "Company"),
+    "company_corr": f"{_FEATURES} SELECT *, round(r, 2) + 0.0 AS label FROM ({_corr_sql('m', RELATED, 'Company')})",
     "company_histogram": f"""{_FEATURES},
         h AS (SELECT Company, min(difference) AS lo, max(difference) AS hi FROM m GROUP BY 1),
         b AS (SELECT Company, CAST(i AS INTEGER) AS bin, i * ((hi - lo) / 10) + lo AS lo,
