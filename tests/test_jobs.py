@@ -98,10 +98,12 @@ def test_features_as_csv(spark, folder, cleaned):
     jobs.main(["decompose", str(folder / "features-csv"), *stocks, "--symbol-from-path", "--format", "csv"])
     text = next((folder / "features-csv").glob("*.csv")).read_text()
     assert text.startswith("Company,Date,")
-    jobs.main(["relate", str(folder / "features-csv"), str(folder / "daily"), str(folder / "related-csv"), "--grid", "2", "--format", "csv"])
+    jobs.main(["relate", str(folder / "features-csv"), str(folder / "daily"), str(folder / "related-csv"), "--grid", "2", "--format", "csv", "--binned"])
     one, other = (spark.read.parquet(str(folder / d / "correlation")).orderBy("Company", "x", "y").collect() for d in ("related", "related-csv"))
     assert [tuple(r)[:3] for r in one] == [tuple(r)[:3] for r in other]
     assert [r["r"] for r in one] == pytest.approx([r["r"] for r in other])
+    density = spark.read.parquet(str(next((folder / "related-csv" / "density").iterdir())))
+    assert "bound" in density.columns and density.count() == 8
 
 
 def test_staged_tables_of_a_job_go(spark, folder, cleaned):

@@ -141,7 +141,7 @@ def relate(spark: SparkSession, args: argparse.Namespace) -> None:
         files.write_table(relation.histogram(stored, col, by="Company"), f"{args.out}/histogram/{col}")
     for i, x in enumerate(related):
         for y in related[:i]:
-            density = relation.kde_grid(stored, y, x, args.grid, by="Company")
+            density = (relation.kde_binned if args.binned else relation.kde_grid)(stored, y, x, args.grid, by="Company")
             files.write_table(density, f"{args.out}/density/{y}-{x}")
 
 
@@ -206,6 +206,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("relate", relate, "features", "sentiment", "out")
     sub.add_argument("--grid", type=int, default=relation.KDE_GRID)
+    sub.add_argument("--binned", action="store_true", help="densities from binned points, with a bound on their error")
     sub.add_argument("--news", default="all", choices=["all", "top"], help="which daily series")
     sub.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="of the features")
     return top
