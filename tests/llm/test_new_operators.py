@@ -5,6 +5,7 @@ import itertools
 import math
 import re
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -252,11 +253,12 @@ class Plain:
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         unseen = [b for b in range(256) if b not in seen]
         self.letters = {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(unseen)}
+        self.of_a, self.of_b = cache(self.bytes_of_a), cache(self.bytes_of_b)
 
-    def of_a(self, number):
+    def bytes_of_a(self, number):
         return bytes(self.letters[c] for c in self.a.id_to_token(number))
 
-    def of_b(self, number):
+    def bytes_of_b(self, number):
         piece = self.b.id_to_piece(number)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode()
 
