@@ -165,7 +165,8 @@ def pack(
     A document is its text's ids and then ``end``; a null text is empty, so every row has a piece. Each id is in
     exactly one piece. A sequence has at most ``length`` ids; one whose length is not a power of two would be padded
     to ``length``, but the windows left open at a task's end are cut and joined, so there is none. Rows that repeat
-    an id are packed each. Other columns are not read. ``tokenizer_file`` has a byte-level vocabulary as ranks, ``pattern``
+    an id are packed each, null ids too; a very long text has as many pieces as it needs. Other columns are not read. An
+    empty table gives no rows. ``tokenizer_file`` has a byte-level vocabulary as ranks, ``pattern``
     cuts texts for it, ``added`` has the ids of added tokens by their names in texts, and every executor must be able to read the file; ``sequence_id`` has the task's number in its upper bits.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))

@@ -44,7 +44,8 @@ def with_shard(df: DataFrame, shards: Sequence[str], key: str = "doc_id", slots:
     """Adds ``slot`` and ``shard``, replacing columns of these names.
 
     The table has ``slots`` entries whatever the input and goes to the tasks with the plan; placing a row is one
-    lookup, without a shuffle. Equal keys, repeated rows included, share a shard. A null key is in slot 0.
+    lookup, without a shuffle. Equal keys, repeated rows included, share a shard. A null key is in slot 0. Other columns
+    stay, texts are not read. An empty table gives no rows.
     """
     # One literal, folded to an array when the query is planned.
     numbers = F.split(F.lit(",".join(map(str, lookup_table(shards, slots)))), ",").cast("array<int>")
