@@ -37,6 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows in sequences of 1024 tokens; a row that is there twice is packed twice, null texts too."""
     return packing.pack(docs, *queries.tokenizer())
 
 
