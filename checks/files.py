@@ -45,11 +45,10 @@ def page_scan(spark, sf):
 
 def page_array_scan(spark, sf):
     """One array in one file, its objects broken over lines, read in ranges of 64 KB."""
-    path = new_folder(spark, "array")
+    path = new_folder(spark, "array") + ".json"
     fields = ("created_utc", "id", "title", "score")
     broken = _raw(spark, sf).select(F.concat(F.to_json(F.struct(*fields), {"pretty": "true"}), F.lit(",")).alias("value"))
-    first, last = (spark.createDataFrame([(text,)], "value string") for text in ("[", '{"author": "nobody"}\n]'))
-    first.union(broken).union(last).coalesce(1).write.text(path)
+    onefile.write_one_text(broken, path, "[\n", '{"author": "nobody"}\n]\n')
     rows = arrays.read_json_arrays(spark, path, split_bytes=64 << 10)
     return rows.where(F.col("author").isNull()).select(*fields)
 

@@ -100,3 +100,13 @@ def test_an_object_cut_off_by_the_end_of_its_file_is_closed(spark, tmp_path):
     (tmp_path / "cut.json").write_text('[{"id": "1"}, {"id": "2", "score": 5')
     rows = arrays.read_json_arrays(spark, str(tmp_path / "cut.json")).select("id", "score").collect()
     assert sorted(map(tuple, rows)) == [("1", None), ("2", 5)]
+
+
+def test_small_ranges_are_read_several_to_a_task(spark, tmp_path, monkeypatch):
+    rows = [{"id": str(k), "title": "a {b} \"c\" " * (k % 40)} for k in range(3000)]
+    (tmp_path / "whole.json").write_text(json.dumps(rows, indent=1))
+    tasks, run = [], arrays.staged
+    monkeypatch.setattr(arrays, "staged", lambda df, name: tasks.append(df.rdd.getNumPartitions()) or run(df, name))
+    got = arrays.read_json_arrays(spark, str(tmp_path / "whole.json"), split_bytes=1 << 10)
+    assert sorted((r["id"], r["title"]) for r in got.select("id", "title").collect()) == sorted((r["id"], r["title"]) for r in rows)
+    assert tasks == [2 * spark.sparkContext.defaultParallelism] and (tmp_path / "whole.json").stat().st_size > 500 << 10

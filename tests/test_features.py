@@ -50,6 +50,19 @@ def test_parts_are_copied_one_after_another_where_files_have_no_places(tmp_path)
     assert (tmp_path / "whole").read_text() == "a\nb\nc\n" and done.column("size").to_pylist() == [4]
 
 
+def test_one_text_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    copied, parts = [], onefile._parts
+    monkeypatch.setattr(onefile, "_parts", lambda *a: copied.extend(found := parts(*a)) or found)
+    df = spark.range(500).select(F.concat("id", F.lit(",\né")).alias("value")).repartition(6)
+    for _ in range(2):  # the second replaces the first
+        onefile.write_one_text(df, str(tmp_path / "whole"), "[\n", "0\n]\n")
+    lines = (tmp_path / "whole").read_text().split("\n")
+    assert lines[0] == "[" and lines[-3:] == ["0", "]", ""] and lines[2:-3:2] == ["é"] * 500
+    assert sorted(lines[1:-3:2]) == sorted(f"{k}," for k in range(500)) and len(copied) == 12
+    onefile.write_one_text(df.limit(0), f"file://{tmp_path}/none", "[", "]")
+    assert (tmp_path / "none").read_text() == "[]"
+
+
 # Files that don't agree
 
 

@@ -20,6 +20,7 @@ from tidemark.schemas import RAW_HEADLINE
 from tidemark.session import staged
 
 CLOSE = re.compile(r'[^"\\]*(?:\\.[^"\\]*)*"', re.S)
+TASK_BYTES = 64 << 20  # of ranges that a task reads one after another
 TOKEN = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"|["{]', re.S)
 
 
@@ -119,9 +120,9 @@ def json_objects(spark: SparkSession, path: str | list[str], split_bytes: int |
     """``file, object``: the text of every outermost JSON object of the files, wherever lines break.
 
     Objects may stand in arrays, one after another or one per line. Large files are read in ranges of
-    ``split_bytes`` (Spark's own setting if not given), side by side. Whatever is outside objects is passed over, and
-    an object that its file cuts off is closed there. The objects are staged; only parts of objects that lie across
-    ranges are shuffled, and of each range a few numbers come to the driver.
+    ``split_bytes`` (Spark's own setting if not given), side by side, small ones several to a task. Whatever is outside
+    objects is passed over, and an object that its file cuts off is closed there. The objects are staged; only parts of
+    objects that lie across ranges are shuffled, and of each range a few numbers come to the driver.
     """
     setting = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(setting)
@@ -131,6 +132,10 @@ def json_objects(spark: SparkSession, path: str | list[str], split_bytes: int |
             spark.conf.set(setting, split_bytes)
             spark.conf.set("spark.sql.files.openCostInBytes", min(split_bytes, 4 << 20))
         text = _chunks(spark, path)
+        if split_bytes:  # small ranges stay apart, but a task reads many of them
+            ranges = text.rdd.getNumPartitions()
+            tasks = max(2 * spark.sparkContext.defaultParallelism, ranges * split_bytes // TASK_BYTES)
+            text = text.coalesce(tasks) if tasks < ranges else text
         effects = defaultdict(list)
         for r in text.mapInArrow(_effects, EFFECTS).collect():  # one row per range
             effects[r["file"]].append((r["block"], Effect(*r[2:5]), Effect(*r[5:8])))

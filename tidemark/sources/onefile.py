@@ -37,7 +37,7 @@ def _placed(batches: Iterator[pa.RecordBatch], target: str) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], names=["size"])
 
 
-def _appended(batches: Iterator[pa.RecordBatch], target: str, head: bytes) -> Iterator[pa.RecordBatch]:
+def _appended(batches: Iterator[pa.RecordBatch], target: str, head: bytes, tail: bytes = b"") -> Iterator[pa.RecordBatch]:
     """Copies parts one after another to a file that can't be written in places."""
     from pyarrow import fs
 
@@ -51,6 +51,7 @@ def _appended(batches: Iterator[pa.RecordBatch], target: str, head: bytes) -> It
                 with source_files.open_input_stream(source_name, compression=None) as source:
                     while chunk := source.read(COPY_BYTES):
                         size += out.write(chunk)
+        out.write(tail)
     yield pa.RecordBatch.from_arrays([pa.array([size], pa.int64())], names=["size"])
 
 
@@ -68,6 +69,21 @@ def write_one_file(df: DataFrame, path: str, order: Sequence[str], compressed: b
     ranged.write.option("compression", "gzip" if compressed else "none").csv(folder)
     line = ",".join(c if not set(c) & set('",\n') else '"' + c.replace('"', '\\"') + '"' for c in df.columns).encode() + b"\n" if header else b""
     head = gzip.compress(line, mtime=0) if compressed and line else line
+    _joined(spark, folder, path, head)
+
+
+def write_one_text(df: DataFrame, path: str, head: str = "", tail: str = "") -> None:
+    """The texts of a table of one column, a line each, as one file at ``path`` between ``head`` and ``tail``.
+
+    Tasks write their texts side by side, in no fixed order; the parts are laid end to end as in :func:`write_one_file`.
+    """
+    folder = new_folder(df.sparkSession, "parts")
+    df.write.option("compression", "none").text(folder)
+    _joined(df.sparkSession, folder, path, head.encode(), tail.encode())
+
+
+def _joined(spark: SparkSession, folder: str, path: str, head: bytes, tail: bytes = b"") -> None:
+    """Lays the parts in ``folder`` end to end between ``head`` and ``tail``, and removes the folder."""
     parts = _parts(spark, folder)
     hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
     target = f"{path}.{uuid.uuid4().hex}"
@@ -76,7 +92,9 @@ def write_one_file(df: DataFrame, path: str, order: Sequence[str], compressed: b
         at = target.removeprefix("file://").removeprefix("file:")
         with open(at, "wb") as out:
             out.write(head)
-            out.truncate(len(head) + sum(size for _, size in parts))
+            out.seek(len(head) + sum(size for _, size in parts))
+            out.write(tail)
+            out.truncate()
         places, offset = [], len(head)
         for name, size in parts:
             places.append((name, offset))
@@ -85,7 +103,7 @@ def write_one_file(df: DataFrame, path: str, order: Sequence[str], compressed: b
         copied = listed.mapInArrow(lambda batches: _placed(batches, at), "size bigint")
     else:
         listed = spark.createDataFrame([p for p in parts], "path string, length bigint").coalesce(1)
-        copied = listed.mapInArrow(lambda batches: _appended(batches, target, head), "size bigint")
+        copied = listed.mapInArrow(lambda batches: _appended(batches, target, head, tail), "size bigint")
     total = copied.agg(F.sum("size")).head()[0] or 0
     files = hadoop(path).getFileSystem(conf)
     if total != sum(size for _, size in parts):
