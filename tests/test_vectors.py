@@ -40,6 +40,37 @@ def test_rare_words_are_left_out(docs):
     assert got == {p: n for p, n in plain_counts(2).items() if set(p) <= kept}
 
 
+@pytest.mark.parametrize("most", [0, 1, 1000])
+def test_known_words_may_be_too_many_to_broadcast(docs, monkeypatch, most):
+    kept = {"a", "b", "c", "d"}  # "e" occurs three times
+    monkeypatch.setattr(vectors, "MAX_WORDS", most)
+    got = {(r["word"], r["context"]): r["n"] for r in vectors.cooccurrences(docs, "words", 3, 4).collect()}
+    assert got == {p: n for p, n in plain_counts(3).items() if set(p) <= kept}
+
+
+def plans_of_staged(monkeypatch):
+    plans, run = {}, vectors.staged
+
+    def spied(df, name="staged"):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return run(df, name)
+
+    monkeypatch.setattr(vectors, "staged", spied)
+    return plans
+
+
+def test_pairs_and_their_information_are_counted_without_a_shuffle_by_word(spark, docs, monkeypatch):
+    plans = plans_of_staged(monkeypatch)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # words of more than these bytes
+        values = vectors.ppmi(vectors.cooccurrences(docs, "words", 2, 2))
+        plan = values._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plans["cooccurrences"] + plan and "lambda" not in plans["cooccurrences"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def plain_ppmi(window):
     counts = plain_counts(window)
     names = sorted({w for w, _ in counts})

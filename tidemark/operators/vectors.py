@@ -18,28 +18,49 @@ WINDOW = 5
 MAX_WORDS = 1_000_000  # that a pipeline stage holds
 
 
+def _fits(df: DataFrame) -> bool:
+    """Whether a table has at most ``MAX_WORDS`` rows; such a table of words is joined as a broadcast."""
+    return df.limit(MAX_WORDS + 1).count() <= MAX_WORDS
+
+
 def cooccurrences(df: DataFrame, tokens: str, window: int = WINDOW, min_count: int = 1) -> DataFrame:
     """``word, context, n``: how often two words stand at most ``window`` places apart, counted in both directions.
 
     Pairs are listed inside the row, equal ones are added up in each task before the shuffle, each as one direction. Words
-    that occur fewer than ``min_count`` times are left out after the counting; null tokens never count.
+    that occur fewer than ``min_count`` times are left out of the pairs, not of the places; null tokens never count. Up to
+    ``MAX_WORDS`` known words are broadcast, so that pairs are shuffled as two numbers and without unknown words; more are
+    joined after the counting.
     """
     words = F.col(tokens)
+    later = [F.slice(words, d, F.greatest(F.size(words) - (d - 1), F.lit(0))).alias(f"w{d}") for d in range(2, window + 2)]
+    # Shifted arrays side by side, in a generator without lambdas. An outer one, since Catalyst filters on the size of a
+    # plain one's array, which it would compute twice.
+    placed = df.select(F.inline_outer(F.arrays_zip(words.alias("w1"), *later)))
+
+    def listed(rows: DataFrame) -> DataFrame:
+        """``one, other`` of rows of a word and those after it."""
+        others = F.array(*[F.struct(F.col(f"w{d}").alias("other")) for d in range(2, window + 2)])
+        return rows.where(F.col("w1").isNotNull()).select(F.col("w1").alias("one"), F.inline(others)).where(F.col("other").isNotNull())
 
-    def at_distance(d: Column) -> Column:
-        later = F.slice(words, d + 1, F.greatest(F.size(words) - d, F.lit(0)))
-        return F.transform(later, lambda w, i: F.struct(F.get(words, i).alias("one"), w.alias("other")))
+    def added(pairs: DataFrame) -> DataFrame:
+        return pairs.groupBy(F.least("one", "other").alias("word"), F.greatest("one", "other").alias("context")).agg(F.count(F.lit(1)).alias("n"))
 
-    # An outer explode, since Catalyst filters on the size of a plain one's array, which it would compute twice.
-    pairs = df.select(F.explode_outer(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window)), at_distance))).alias("p"))
-    pairs = pairs.where(F.col("p.one").isNotNull() & F.col("p.other").isNotNull())
-    counted = pairs.groupBy(F.least("p.one", "p.other").alias("word"), F.greatest("p.one", "p.other").alias("context")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
     if min_count > 1:
-        listed = df.select(F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull()).groupBy("word")
-        known = staged(listed.agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= min_count).select("word"), "words")
-        counted = counted.join(known, "word", "left_semi").join(known.withColumnRenamed("word", "context"), "context", "left_semi")
+        times = df.select(F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("times"))
+        known = staged(times.where(F.col("times") >= min_count).select("word", F.monotonically_increasing_id().alias("number")), "words")
+        if _fits(known):
+            ones = F.broadcast(known.select(F.col("word").alias("w1"), F.col("number").alias("one")))
+            others = F.broadcast(known.select(F.col("word").alias("other"), F.col("number").alias("second")))
+            # The first word is looked up once for all its pairs.
+            first = placed.join(ones, "w1").drop("w1").withColumnRenamed("one", "w1")
+            counted = added(listed(first).join(others, "other").select("one", F.col("second").alias("other")))
+            names = [F.broadcast(known.select(F.col("number").alias(c), F.col("word").alias(f"_{c}"))) for c in ("word", "context")]
+            counted = counted.join(names[0], "word").join(names[1], "context").select(F.col("_word").alias("word"), F.col("_context").alias("context"), "n")
+        else:
+            known = known.select("word")
+            counted = added(listed(placed)).join(known, "word", "left_semi").join(known.withColumnRenamed("word", "context"), "context", "left_semi")
+    else:
+        counted = added(listed(placed))
     same = F.col("word") == F.col("context")
     one = F.struct("word", "context", F.when(same, 2 * F.col("n")).otherwise(F.col("n")).alias("n"))
     back = F.struct(F.col("context").alias("word"), F.col("word").alias("context"), F.col("n").alias("n"))
@@ -51,6 +72,8 @@ def ppmi(counts: DataFrame) -> DataFrame:
     counts = staged(counts, "cooccurrences")
     sums = staged(counts.groupBy("word").agg(F.sum("n").alias("of_word")), "word-sums")
     total = counts.select(F.sum("n").cast("double")).scalar()
+    if _fits(sums):
+        sums = F.broadcast(sums)
     joined = counts.join(sums, "word").join(sums.select(F.col("word").alias("context"), F.col("of_word").alias("of_context")), "context")
     together, chance = F.col("n").cast("double") * total, F.col("of_word").cast("double") * F.col("of_context").cast("double")
     return joined.where(together > chance).select("word", "context", F.ln(together / chance).alias("value"))
