@@ -71,6 +71,18 @@ def test_pairs_and_their_information_are_counted_without_a_shuffle_by_word(spark
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_round_shuffles_no_entries(spark, monkeypatch):
+    plans = plans_of_staged(monkeypatch)
+    m = np.arange(25.0).reshape(5, 5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        vectors.leading_vectors(matrix_frame(spark, m + m.T), 2, extra=2, rounds=2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plans["subspace"] and plans["subspace"].count("hashpartitioning") == 1
+
+
 def plain_ppmi(window):
     counts = plain_counts(window)
     names = sorted({w for w, _ in counts})

@@ -100,14 +100,18 @@ def leading_vectors(matrix: DataFrame, size: int, extra: int = 5, rounds: int =
     being eigenvectors is at most ``tolerance`` of the largest eigenvalue. A round's result is staged, so no lineage grows.
     """
     x, y = [f"x{j}" for j in range(size + extra)], [f"y{j}" for j in range(size + extra)]
-    words = matrix.select("word").distinct()
+    # Entries of a word lie in one file, so that a task adds them up before the shuffle.
+    entries = staged(matrix.repartition("word"), "entries")
+    words = staged(entries.select("word").distinct(), "entry-words")
+    small = _fits(words)
     # A zero on the diagonal gives each word its own columns back beside the product.
-    entries = staged(matrix.unionByName(words.select("word", F.col("word").alias("context"), F.lit(0.0).alias("value"))), "entries")
+    entries = entries.unionByName(words.select("word", F.col("word").alias("context"), F.lit(0.0).alias("value")))
     now = words.select("word", *[(F.xxhash64("word", F.lit(j)) / 2.0**63).alias(c) for j, c in enumerate(x)])
     own = F.col("word") == F.col("context")
     orthonormal = False
     for k in range(rounds + 1):
-        joined = entries.join(now.withColumnRenamed("word", "context"), "context")
+        columns = now.withColumnRenamed("word", "context")
+        joined = entries.join(F.broadcast(columns) if small else columns, "context")
         sums = [F.sum(F.col("value") * F.col(a)).alias(b) for a, b in zip(x, y, strict=True)]
         after = staged(joined.groupBy("word").agg(*sums, *[F.max(F.when(own, F.col(a))).alias(a) for a in x]), "subspace")
         squares = _products(after, y, y)
