@@ -317,3 +317,20 @@ def test_model_on_a_stream(spark, tmp_path):
     assert got == {"Good win!": 2.0, "Bad loss": 0.0}
     other = training.train(cleaned, "id", classifier=LogisticRegression(maxIter=20))
     assert other.metrics.head()["accuracy"] > 0.9
+
+
+def test_predictions_are_made_once(spark):
+    from tidemark.operators.rows import split_rows
+    from tidemark.plans import training
+
+    word = F.when(F.col("id") % 2 == 0, "good").otherwise("bad")
+    cleaned = spark.range(200).select(
+        F.col("id").cast("string").alias("id"), word.alias("title_clean"), F.lit(1).alias("score"), F.lit(2).alias("num_comments"),
+        F.lit(0.5).alias("subjectivity"), F.when(F.col("id") % 2 == 0, 0.6).otherwise(-0.6).alias("polarity"),
+    )
+    trained = training.train(cleaned, "id")
+    assert trained.predictions.inputFiles() and all("/predictions-" in f for f in trained.predictions.inputFiles())
+    assert "UDF" not in trained.confusion._jdf.queryExecution().executedPlan().toString()
+    again = trained.model.transform(split_rows(training.labelled(cleaned), "id")[1])
+    columns = ["id", "label", "features", "prediction"]
+    assert sorted(map(str, trained.predictions.select(columns).collect())) == sorted(map(str, again.select(columns).collect()))

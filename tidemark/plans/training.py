@@ -92,7 +92,8 @@ def train(
     runs in ``vector_tasks`` tasks, a parameter that doesn't follow the data: tasks are trained apart and
     averaged, so their number is part of the model. The stage that ``word_vectors`` names can replace it; that of
     counts has neither bound in its fit. The fit reads the training rows several times, so they
-    are staged, in even partitions whatever the sizes of the input files.
+    are staged, in even partitions whatever the sizes of the input files. So are the predictions: each reading of
+    them would otherwise send all words to every executor and apply the model again.
     """
     rows = staged(
         labelled(cleaned).select(
@@ -102,7 +103,7 @@ def train(
     )
     training, validation = split_rows(rows, key, parts)
     model = build_pipeline(min_count=min_count, **pipeline).fit(training)
-    predictions = model.transform(validation)
+    predictions = staged(model.transform(validation), "predictions")
     counts = confusion(predictions)
     return Trained(model, predictions, counts, metrics(counts))
 
