@@ -9,14 +9,14 @@ from checks import models
 from checks.tables import BARS, HEADLINES, STOPS, WEIGHTS, bars, day_text, headlines, kept_sql, rounded, table, tokens_sql
 from checks.texts import hits_sql
 from tidemark import schemas
-from tidemark.operators import wordtable
+from tidemark.operators import skipgram, wordtable
 from tidemark.plans import training
 from tidemark.session import new_folder, staged
 from tidemark.sources import arrays, files, onefile, paged, pages, prices as mixed
 from tidemark.streaming import bounded, headlines as streaming
 
 # The workers of the checks may run where the package is not installed.
-for module in (arrays, mixed, onefile, wordtable):
+for module in (arrays, mixed, onefile, skipgram, wordtable):
     cloudpickle.register_pickle_by_value(module)
 cloudpickle.register_pickle_by_value(paged)
 cloudpickle.register_pickle_by_value(pages)

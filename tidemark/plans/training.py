@@ -6,13 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import Classifier, DecisionTreeClassifier
-from pyspark.ml.feature import IDF, HashingTF, Tokenizer, VectorAssembler, VectorSizeHint, Word2Vec
+from pyspark.ml.feature import IDF, HashingTF, Tokenizer, VectorAssembler, VectorSizeHint
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.scoring import polarity_label
 from tidemark.operators.evaluate import confusion, metrics
 from tidemark.operators.rows import split_rows
-from tidemark.operators.wordtable import TabledWord2Vec
+from tidemark.operators.skipgram import SkipGram
 from tidemark.session import staged
 
 # Model sizes.
@@ -20,7 +20,7 @@ VECTOR_SIZE = 3
 TERM_SLOTS = 100
 MIN_DOC_FREQ = 5
 TREE_DEPTH = 9
-# The library's word vectors: tasks that are trained apart and averaged, and passes over the rows.
+# Word vectors: the least number of parts that are trained apart and averaged, and passes over the rows.
 VECTOR_TASKS, VECTOR_ROUNDS = 16, 2
 
 
@@ -38,16 +38,13 @@ def build_pipeline(
     """Word vectors, hashed term weights and three numbers into a classifier.
 
     Any classifier that reads ``features`` and ``label`` can replace the decision tree, and any stage from
-    ``words`` to ``headline_vector`` of ``vec`` numbers the library's word vectors, such as
-    :class:`tidemark.operators.vectors.CountVectors`. The size hints let the pipeline check vectors on a stream.
+    ``words`` to ``headline_vector`` of ``vec`` numbers the skip-grams, such as
+    :class:`tidemark.operators.vectors.CountVectors` or the library's ``Word2Vec``. The size hints let the pipeline check vectors on a stream.
     """
     if classifier is None:
         classifier = DecisionTreeClassifier(maxDepth=depth, seed=seed)
     if word_vectors is None:
-        fit = Word2Vec(
-            vectorSize=vec, minCount=min_count, numPartitions=vector_tasks, maxIter=VECTOR_ROUNDS, seed=seed, inputCol="words", outputCol="headline_vector"
-        )
-        word_vectors = TabledWord2Vec(fit)
+        word_vectors = SkipGram("words", "headline_vector", vec, min_count, vector_tasks, VECTOR_ROUNDS, seed)
     numbers = ["score", "num_comments", "subjectivity"]
     return Pipeline(
         stages=[
@@ -90,12 +87,11 @@ def train(
 ) -> Trained:
     """Fit on three quarters of the rows and measure on the rest.
 
-    The library's word-vector fit holds the vocabulary on the driver; ``min_count`` says which words it has. It
-    runs in ``vector_tasks`` tasks, a parameter that doesn't follow the data: tasks are trained apart and
-    averaged, so their number is part of the model. The stage that ``word_vectors`` names can replace it; that of
-    counts has neither bound in its fit. The fit reads the training rows several times, so they
-    are staged, in even partitions whatever the sizes of the input files. So are the predictions: each reading of
-    them would otherwise send all words to every executor and apply the model again.
+    The word vectors are fitted and kept as tables (:class:`tidemark.operators.skipgram.SkipGram`); ``min_count`` says
+    which words they have. Parts of the rows are trained apart and averaged: at least ``vector_tasks``, more when there
+    are more tokens. The stage that ``word_vectors`` names can replace it. The fit reads the training rows several
+    times, so they are staged, in even partitions whatever the sizes of the input files. So are the predictions: each
+    reading of them would otherwise apply the model again.
     """
     rows = staged(
         labelled(cleaned).select(
