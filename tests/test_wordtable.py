@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import Word2Vec, Word2VecModel
+from pyspark.ml.feature import Tokenizer, Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -61,6 +61,22 @@ def test_a_large_table_of_words_is_not_broadcast(spark, docs, fitted):
     assert "FlatMapCoGroupsInArrow" in plan and "Broadcast" not in plan
 
 
+def test_a_small_table_of_words_is_not_collected_either(docs, fitted):
+    plan = fitted.transform(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+
+
+def test_predictions_prepare_the_rows_once(spark, fitted):
+    raw = spark.createDataFrame([("Good, win!", 1, None), ("bad", None, 2), (None, 1, 1), ("bad", None, 2), ("", 3, 4)], "title string, score bigint, num_comments bigint")
+    prepared = streaming.prepare(raw, ["say"], {"bad": 0.5})
+    model = PipelineModel([Tokenizer(inputCol="title_clean", outputCol="words"), WordTable(fitted.vectors, "words", "prediction", 3)])
+    found = streaming.predict(prepared, model)
+    assert "regexp_replace" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.columns == ["title", "prediction"]
+    want = model.transform(prepared).select("title", "prediction").collect()
+    assert sorted(map(str, found.collect())) == sorted(map(str, want)) and len(want) == 4
+
+
 @pytest.mark.parametrize("sink", ["memory", "console", "json"])
 def test_streams_are_scored_by_batches(spark, fitted, tmp_path, monkeypatch, sink):
     rows = spark.createDataFrame([("good win", 1), ("bad", 2)], "title string, k int").withColumn("words", F.split("title", " "))
