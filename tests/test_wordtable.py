@@ -91,3 +91,14 @@ def test_streams_are_scored_by_batches(spark, fitted, tmp_path, monkeypatch, sin
         got = spark.table("scored") if sink == "memory" else spark.read.json(str(tmp_path / "out"))
         want = {r["title"]: list(r["v"]) for r in fitted.transform(rows).collect()}
         assert {r["title"]: r["prediction"] for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("blocks", [1, 64, 65, 130])
+def test_words_are_told_apart_by_one_shuffle_of_a_row_per_word(spark, blocks):
+    rows = spark.createDataFrame([(b, ["a", None, f"w{b % 7}", "a"]) for b in range(blocks)] + [(0, None), (0, [])], "_block int, words array<string>")
+    marked = wordtable.marked_words(rows.withColumn("words", F.transform("words", F.upper)), "words", blocks)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(word" in plan and plan.count("transform(words") == 1
+    found = [(r["word"], r["_of"], r["n"]) for r in wordtable.words_of_blocks(marked, blocks).collect()]
+    n = {f"W{k}": len(range(k, blocks, 7)) for k in range(7)}
+    assert sorted(found) == sorted([("A", b, 2 * blocks) for b in range(blocks)] + [(f"W{b % 7}", b, n[f"W{b % 7}"]) for b in range(blocks)])

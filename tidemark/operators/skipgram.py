@@ -9,10 +9,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml import Estimator
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.paging import number_pages
-from tidemark.operators.wordtable import WordTable, count_tokens, in_blocks, words_of_blocks
+from tidemark.operators.wordtable import WordTable, block_marks, count_tokens, in_blocks, marked_words, words_of_blocks
 from tidemark.session import staged
 
 FIT_TOKENS = 2_000_000  # tokens of a block, which one task trains on
@@ -171,19 +171,17 @@ class SkipGram(Estimator):
         blocks = max(self.tasks, -(-count_tokens(dataset, self.input_col) // FIT_TOKENS))
         values = [F.col(f"`{f.name}`") for f in dataset.schema if "map<" not in f.dataType.simpleString()]
         rows = in_blocks(dataset.withColumn("_order", F.xxhash64(*values)), blocks).select("_block", "_order", self.input_col)
-        listed = rows.select(F.col("_block").alias("_of"), F.explode(self.input_col).alias("word")).where(F.col("word").isNotNull())
-        of_blocks = staged(listed.groupBy("_of", "word").agg(F.count(F.lit(1)).alias("n")), "block-words")
+        marked = staged(marked_words(rows, self.input_col, blocks), "block-words")
         first = [(F.xxhash64("word", F.lit(self.seed), F.lit(j)) / (2.0**64 * size)).cast("float") for j in axes]
-        state = of_blocks.select("_of", "word").join(staged(vocabulary(of_blocks, self.min_count), "leaves"), "word").select("_of", "word", "key", F.array(*first).alias("x"))
+        state = words_of_blocks(marked.join(staged(vocabulary(marked, self.min_count), "leaves"), "word"), blocks).select("_of", "word", "key", F.array(*first).alias("x"))
         for done in range(self.rounds):
             run = _learnt(self.input_col, size, self.window, self.seed, done, self.rounds, self.rate)
             found = rows.groupBy("_block").cogroup(state.groupBy("_of")).applyInArrow(run, "_of int, word string, key bigint, x array<float>")
             found = staged(found, "learnt")
             whole = [F.sum(F.round(F.get("x", F.lit(j)) * ONE).cast("bigint")) for j in axes]
             if done + 1 < self.rounds:
-                # A key has at most one row per block.
-                same = Window.partitionBy("key")
-                mean = F.array(*[(s.over(same) / F.count(F.lit(1)).over(same) / ONE).cast("float") for s in whole])
-                state = found.select("_of", "word", "key", mean.alias("x"))
+                # A key has at most one row per block, and the same word in all.
+                mean = F.array(*[(s / F.count(F.lit(1)) / ONE).cast("float") for s in whole])
+                state = words_of_blocks(found.groupBy("word", "key").agg(mean.alias("x"), *block_marks("_of", blocks)), blocks)
         vectors = found.groupBy("word").agg(F.array(*[(s / F.count(F.lit(1)) / ONE).cast("float") for s in whole]).alias("vector"))
         return WordTable(staged(vectors, "word-vectors"), self.input_col, self.output_col, size)

@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.session import new_folder, staged
 
@@ -27,10 +27,28 @@ def in_blocks(df: DataFrame, blocks: int) -> DataFrame:
     return df.withColumn("_block", F.pmod(F.xxhash64(*values), F.lit(blocks)).cast("int"))
 
 
-def words_of_blocks(rows: DataFrame, tokens: str) -> DataFrame:
-    """``_of, word``: each word of each block once."""
-    listed = rows.select(F.col("_block").alias("_of"), F.explode(F.array_distinct(tokens)).alias("word"))
-    return listed.where(F.col("word").isNotNull()).distinct()
+def block_marks(of: str, blocks: int) -> list[Column]:
+    """Aggregates ``_in0, ...``: a bit for each block in the column ``of``, 64 to a number."""
+    bit = F.expr(f"shiftleft(1L, {of})")  # the shift is taken modulo 64
+    return [F.bit_or(F.when(F.expr(f"{of} div 64") == k, bit).otherwise(F.lit(0))).alias(f"_in{k}") for k in range(-(-blocks // 64))]
+
+
+def marked_words(rows: DataFrame, tokens: str, blocks: int) -> DataFrame:
+    """``word, n, _in0, ...``: each word once, how often it occurs, and the marks of the blocks that have it."""
+    # Of a plain column Spark would first test that it has tokens, and so split the texts twice.
+    each = F.explode(F.coalesce(tokens, F.array().cast("array<string>")))
+    listed = rows.select("_block", each.alias("word")).where(F.col("word").isNotNull())
+    return listed.groupBy("word").agg(F.count(F.lit(1)).alias("n"), *block_marks("_block", blocks))
+
+
+def words_of_blocks(marked: DataFrame, blocks: int) -> DataFrame:
+    """Each row with :func:`block_marks` once for each of its blocks, ``_of``, without the marks."""
+    every = marked.withColumn("_of", F.explode(F.lit(list(range(blocks)))))
+    marks = [f"_in{k}" for k in range(-(-blocks // 64))]
+    mark = F.col(marks[-1])
+    for k in range(len(marks) - 2, -1, -1):
+        mark = F.when(F.col("_of") < 64 * (k + 1), F.col(marks[k])).otherwise(mark)
+    return every.where(mark.bitwiseAND(F.expr("shiftleft(1L, _of)")) != 0).drop(*marks)
 
 
 def count_tokens(df: DataFrame, tokens: str) -> int:
@@ -56,8 +74,8 @@ def _means(tokens: str, out: str, size: int) -> Callable:
 class WordTable(Transformer, HasInputCol, HasOutputCol, MLReadable, MLWritable):
     """The mean of the vectors of a row's words; words without a vector count as zeros, as in the library's ``Word2VecModel``.
 
-    ``vectors`` is a table ``word, vector`` of any size, one row per word. The rows are dealt to blocks; the words of a block
-    are joined with the table once and meet the block's rows in one task. Nothing is broadcast or collected, whatever the
+    ``vectors`` is a table ``word, vector`` of any size, one row per word. The rows are dealt to blocks; the words of all rows,
+    each with the blocks that have it, are joined with the table once and meet the rows of each block in one task. Nothing is broadcast or collected, whatever the
     table's size. The rows are read three times, so they are better staged. Rows of a stream are joined by batches
     (``foreachBatch``). A row without words has zeros. The numbers are added in the order of
     the words, so a row has the same mean whatever its block.
@@ -76,9 +94,11 @@ class WordTable(Transformer, HasInputCol, HasOutputCol, MLReadable, MLWritable):
         tokens, out, size = self.getInputCol(), self.getOutputCol(), self.getOrDefault(self.size)
         n = count_tokens(dataset, tokens)
         tasks = dataset.sparkSession.sparkContext.defaultParallelism
-        rows = in_blocks(dataset, max(-(-n // BLOCK_TOKENS), min(4 * tasks, n // LEAST_TOKENS), 1))
-        # Hashed are the words of the blocks, the table only passes by: it is neither collected to be broadcast nor sorted.
-        words = self.vectors.select("word", "vector").join(words_of_blocks(rows, tokens).hint("shuffle_hash"), "word")
+        blocks = max(-(-n // BLOCK_TOKENS), min(4 * tasks, n // LEAST_TOKENS), 1)
+        rows = in_blocks(dataset, blocks)
+        # Hashed are the words of the rows, the table only passes by: it is neither collected to be broadcast nor sorted.
+        marked = marked_words(rows, tokens, blocks).drop("n").hint("shuffle_hash")
+        words = words_of_blocks(self.vectors.select("word", "vector").join(marked, "word"), blocks)
         schema = T.StructType([*dataset.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
         found = rows.groupBy("_block").cogroup(words.groupBy("_of")).applyInArrow(_means(tokens, out, size), schema)
         return found.withColumn(out, array_to_vector(F.col(f"`{out}`")))

@@ -101,9 +101,9 @@ def train(
     )
     training, validation = split_rows(rows, key, parts)
     stages = build_pipeline(min_count=min_count, **pipeline).getStages()
-    words = Pipeline(stages=stages[:2]).fit(training)
-    # The stages after the word vectors read their rows several times.
-    rest = Pipeline(stages=stages[2:]).fit(staged(words.transform(training), "training-vectors"))
+    words = Pipeline(stages=stages[:3]).fit(training)
+    # The stages after the word vectors and the term counts read their rows several times, but no words.
+    rest = Pipeline(stages=stages[3:]).fit(staged(words.transform(training).drop("title_clean", "words"), "training-vectors"))
     model = PipelineModel([*words.stages, *rest.stages])
     predictions = staged(model.transform(validation), "predictions")
     counts = confusion(predictions)
