@@ -101,3 +101,14 @@ def test_one_word_has_a_vector(spark):
 
 def test_the_pipeline_holds_no_words_on_the_driver():
     assert isinstance(training.build_pipeline().getStages()[1], skipgram.SkipGram)
+
+
+def test_rows_to_train_on_are_scored_once(spark):
+    rows = [("good", 1, 2, 0.5, 0.2), ("bad", 1, 2, None, 0.2), ("nan", 1, 2, float("nan"), 0.2), ("loss", 1, 2, -0.5, float("nan")), (None, 1, 2, 0.5, 0.2), ("plain", 1, None, 0.0, 0.0), ("day", 1, 2, 0.0, 0.0)]
+    raw = spark.createDataFrame(rows, "title_clean string, score int, num_comments int, valence double, weight double")
+    cleaned = raw.select("title_clean", "score", "num_comments", F.sqrt(F.col("valence") * F.abs("valence")).alias("polarity"), F.col("weight").alias("subjectivity"))
+    found = training.labelled(cleaned)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("SQRT") == 1
+    want = {r["title_clean"]: r["label"] for r in training.labelled(raw.select("title_clean", "score", "num_comments", F.col("valence").alias("polarity"), F.col("weight").alias("subjectivity"))).collect()}
+    assert want == {"good": 2.0, "nan": 1.0, "day": 1.0}
+    assert {r["title_clean"]: r["label"] for r in found.collect()} == want

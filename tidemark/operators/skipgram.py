@@ -131,9 +131,16 @@ def _learnt(tokens: str, size: int, window: int, seed: int, done: int, rounds: i
                     path[:, k] = up[path[:, k + 1]]
                 wanted = 1 - (leaf[out][:, None] >> np.arange(long - 1, -1, -1) & 1).astype(np.float32)
                 x, u = vectors[of], weights[path]
-                product = x @ u.transpose(0, 2, 1)
-                error = (wanted - 0.5)[:, None, :] - 0.5 * np.tanh(0.5 * product)
-                error *= mask[:, :, None] & (np.abs(product) < FARTHEST)
+                error = x @ u.transpose(0, 2, 1)
+                product = error[mask]  # most of the time goes into tanh, so it gets the neighbours inside only
+                near = np.abs(product) < FARTHEST
+                product *= 0.5
+                np.tanh(product, out=product)
+                product *= 0.5
+                np.subtract(np.repeat(wanted - 0.5, mask.sum(1), 0), product, out=product)
+                product *= near
+                error[...] = 0
+                error[mask] = product
                 for part, values in zip(found, (of[mask], (error @ u)[mask], path.ravel(), (error.transpose(0, 2, 1) @ x).reshape(-1, size), np.repeat(mask.sum(1), long)), strict=True):
                     part.append(values)
             if found[0]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.scoring import polarity_label
 from tidemark.operators.evaluate import confusion, metrics
-from tidemark.operators.rows import split_rows
+from tidemark.operators.rows import computed, split_rows
 from tidemark.operators.skipgram import SkipGram
 from tidemark.session import staged
 
@@ -64,7 +64,8 @@ def build_pipeline(
 
 def labelled(cleaned: DataFrame) -> DataFrame:
     """Rows the pipeline can read: complete, with the label of their polarity."""
-    rows = cleaned.withColumn("label", polarity_label(F.col("polarity")))
+    # Computed apart: the test for missing values would otherwise repeat what the numbers are computed from.
+    rows = computed(cleaned, polarity_label(F.col("polarity")), "label")
     return rows.na.drop("any", subset=["title_clean", "score", "num_comments", "subjectivity", "label"])
 
 
