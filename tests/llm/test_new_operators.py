@@ -122,6 +122,23 @@ def test_every_pair_up_to_three_bits_shares_a_bucket(spark):
     assert all(a == b or label[a] == label[b] for a, b in pairs)
 
 
+def test_simhash_broadcasts_no_table_that_grows(spark, monkeypatch):
+    """Not even small ones: the size of an exploded table is one that Spark doesn't know. A row per component may go."""
+    plans, write = {}, simhash.staged
+
+    def recorded(df, name="staged"):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "staged", recorded)
+    df = spark.createDataFrame([(k, f"words of text {k // 2}") for k in range(50)], "doc_id bigint, text string")
+    found = simhash.near_duplicates(df)
+    plans["found"] = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plans["hits"]
+    assert [n for n, plan in plans.items() if "Broadcast" in plan and n != "owners"] == []
+    assert sorted((r["doc_id"], r["component_id"]) for r in found.collect()) == [(k, k // 2 * 2) for k in range(50)]
+
+
 def test_simhash_of_null_ids_and_empty_texts(spark):
     rows = [(None, "same words here"), (None, "same words here"), (9, ""), (8, None), (7, "  "), (2**60 + 1, "same words here"), (5, "other text of words")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "text AS bits", "1 AS bucket", "2 AS label", "3 AS component_id")

@@ -76,6 +76,11 @@ def _looked_up(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.explode(F.array_except(ball, own)).alias("bucket"), "bits")
 
 
+def _hashed(per_key: DataFrame) -> DataFrame:
+    """A table with a row per key, to be joined by shuffles and hashed in each task: the driver gets none of it."""
+    return per_key.hint("shuffle_hash")
+
+
 def joining_links(bits: np.ndarray, left: np.ndarray, right: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Links of ``left`` with ``right`` members at ``most`` bits that join components, as places in ``bits``."""
     unsigned = bits.view(np.uint64)  # signed numbers are counted without their sign
@@ -95,16 +100,17 @@ def _links(table: DataFrame, seeking: DataFrame, most: int) -> DataFrame:
     ``table`` has one row per bucket and entered member, ``seeking`` one per bucket and member that looks in. A large
     bucket's members are dealt to blocks, and a task compares two of them.
     """
-    entered = table.groupBy("bucket").agg(F.count(F.lit(1)).alias("entered"))
-    hits = staged(seeking.join(staged(entered, "buckets"), "bucket"), "hits")
+    entered = staged(table.groupBy("bucket").agg(F.count(F.lit(1)).alias("entered")), "buckets")
+    # Spark sizes ``seeking`` as the rows it is exploded from, and so might broadcast it.
+    hits = staged(seeking.join(_hashed(entered), "bucket"), "hits")
     sought = hits.groupBy("bucket").agg(F.count(F.lit(1)).alias("sought"))
-    sizes = entered.join(sought, "bucket", "left").na.fill(0, ["sought"]).where("entered + sought > 1")
+    sizes = entered.join(_hashed(sought), "bucket", "left").na.fill(0, ["sought"]).where("entered + sought > 1")
     members = table.withColumn("inside", F.lit(True)).unionByName(hits.select("bucket", "bits", F.lit(False).alias("inside")))
     inner, outer = F.ceil(F.col("entered") / BLOCK), F.ceil(F.col("sought") / BLOCK)
     hashed = F.xxhash64("bits")
     own = F.when(F.col("inside"), F.pmod(hashed, inner)).otherwise(inner + F.pmod(hashed, outer))
     last = F.when(F.col("inside"), inner + outer).otherwise(inner) - 1
-    dealt = members.join(staged(sizes, "sizes"), "bucket").select("bucket", "bits", "inside", own.cast("int").alias("own"), last.cast("int").alias("last"))
+    dealt = members.join(_hashed(staged(sizes, "sizes")), "bucket").select("bucket", "bits", "inside", own.cast("int").alias("own"), last.cast("int").alias("last"))
     dealt = dealt.select("bucket", "bits", "inside", "own", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
     pair = ("bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
     dealt = dealt.select(*pair, (F.col("own") <= F.col("other")).alias("first"), "bits")
@@ -155,7 +161,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, most: int = 3, key: str = "
     found = staged(fingerprints(docs, width, key, text), "fingerprints")
     nodes = staged(found.groupBy("bits").agg(F.min("doc_id").alias("low_id")), "nodes")
     labels = components(staged(_links(_table(nodes), _looked_up(nodes), most), "links")).withColumnRenamed("node", "bits")
-    lows = labels.join(nodes, "bits").groupBy("label").agg(F.min("low_id").alias("least"))
-    owners = nodes.join(labels.join(lows, "label"), "bits", "left").select("bits", F.coalesce("least", "low_id").alias("component_id"))
+    lows = nodes.join(_hashed(labels), "bits").groupBy("label").agg(F.min("low_id").alias("least"))
+    # Staged, for its true size: a large component's rows are not gathered by label if a row per component can be sent to each.
+    owned = labels.join(staged(lows, "lows"), "label")
+    owners = nodes.join(_hashed(owned), "bits", "left").select("bits", F.coalesce("least", "low_id").alias("component_id"))
     digits = F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint")
-    return found.join(staged(owners, "owners"), "bits").select("doc_id", "bits", digits, "component_id")
+    return found.join(_hashed(staged(owners, "owners")), "bits").select("doc_id", "bits", digits, "component_id")
