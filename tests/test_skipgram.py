@@ -2,12 +2,14 @@
 
 import heapq
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import skipgram
 from tidemark.operators.wordtable import WordTable
 from tidemark.plans import training
@@ -94,6 +96,18 @@ def test_all_words_are_fitted_and_again_alike(docs, monkeypatch):
         fit(docs, 1000)
 
 
+def test_a_fit_leaves_its_vectors_and_a_training_its_predictions(spark):
+    folder = lambda: {p.name for p in Path(session.shared_folder(spark)).glob(f"{spark.sparkContext.applicationId}/*")}
+    rows = [(str(k), f"{TEXTS[k % 7]} w{k % 5}", k, k, (k % 3 - 1) / 2, 0.5) for k in range(60)]
+    cleaned = spark.createDataFrame(rows, "id string, title_clean string, score bigint, num_comments bigint, polarity double, subjectivity double")
+    before, setting = folder(), spark.conf.get(session.SHUFFLES_END)
+    found = training.train(cleaned, "id", vector_tasks=2)
+    left = sorted(n.rsplit("-", 1)[0] for n in folder() - before)
+    assert left == ["predictions", "word-vectors"] and spark.conf.get(session.SHUFFLES_END) == setting
+    assert found.predictions.count() == found.confusion.agg(F.sum("n")).head()[0] > 0
+    assert found.model.transform(found.predictions.drop(*[c for c in found.predictions.columns if c not in cleaned.columns])).count() > 0
+
+
 def test_one_word_has_a_vector(spark):
     one = spark.createDataFrame([(["a", "a"],)], "words array<string>")
     assert [r["word"] for r in skipgram.SkipGram("words", "v", 3)._fit(one).vectors.collect()] == ["a"]

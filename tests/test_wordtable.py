@@ -1,11 +1,15 @@
 """Word vectors as a table against the library's own model."""
 
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import Tokenizer, Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import wordtable
 from tidemark.operators.wordtable import TabledWord2Vec, WordTable
 from tidemark.streaming import headlines as streaming
@@ -25,6 +29,28 @@ def fitted(docs):
     return TabledWord2Vec(fit)._fit(docs.where("id < 4"))
 
 
+def folders(spark):
+    """What lies in the shared folder."""
+    path = Path(session.shared_folder(spark)) / spark.sparkContext.applicationId
+    return {p.name for p in path.iterdir()} if path.exists() else set()
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    blocks = disk.getAllBlocks()
+    names = {blocks.apply(k).toString() for k in range(blocks.size())}
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def ends(test, seconds=20):
+    """Spark removes shuffle files a little later."""
+    for _ in range(10 * seconds):
+        if test():
+            return True
+        time.sleep(0.1)
+    return False
+
+
 def numbers(df):
     return sorted(df.select("id", "text", vector_to_array("v").alias("v")).collect(), key=str)
 
@@ -77,6 +103,35 @@ def test_predictions_prepare_the_rows_once(spark, fitted):
     assert sorted(map(str, found.collect())) == sorted(map(str, want)) and len(want) == 4
 
 
+@pytest.mark.parametrize("least", [1, 2_000, 10**9])
+def test_a_batch_is_scored_in_slices_that_leave_nothing(spark, fitted, tmp_path, monkeypatch, least):
+    monkeypatch.setattr(streaming, "LEAST_SLICE", least)
+    rows = [(f"good {k % 30} bad", k % 3 or None, k % 30) for k in range(60)] + [(None, 1, 1), ("", 3, None), ("bad", 2**60, 5)]
+    raw = spark.createDataFrame(rows, "title string, score bigint, num_comments bigint")
+    model = PipelineModel([Tokenizer(inputCol="title_clean", outputCol="words"), WordTable(fitted.vectors, "words", "prediction", 3)])
+    want = model.transform(streaming.prepare(raw, ["say"], {"bad": 0.5})).select("title", "prediction").collect()
+    before, setting = folders(spark), spark.conf.get(session.SHUFFLES_END)
+    found = streaming.score_batch(raw, model, str(tmp_path / "out"), ["say"], {"bad": 0.5})
+    assert found.columns == ["title", "prediction"] and sorted(map(str, found.collect())) == sorted(map(str, want))
+    assert folders(spark) == before and spark.conf.get(session.SHUFFLES_END) == setting
+    slices = len(list((tmp_path / "out").glob("slice=*")))
+    assert slices == streaming.SLICES if least == 1 else slices == 1 if least == 10**9 else 1 < slices <= streaming.SLICES
+    none = streaming.score_batch(raw.where("false"), model, str(tmp_path / "none"), [], {})
+    assert none.columns == found.columns and none.count() == 0
+
+
+def test_a_stream_leaves_the_predictions_only(spark, fitted, tmp_path):
+    rows = spark.createDataFrame([("good win", 1, 2), ("bad", 2, None)], "title string, score bigint, num_comments bigint")
+    rows.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    model = PipelineModel([Tokenizer(inputCol="title_clean", outputCol="words"), WordTable(fitted.vectors, "words", "prediction", 3)])
+    before, files = folders(spark), shuffle_files(spark)
+    streaming.score_stream(stream, model, str(tmp_path / "c"), [], {}, sink="parquet", path=str(tmp_path / "out"), available_now=True)
+    assert folders(spark) == before
+    assert ends(lambda: shuffle_files(spark) - files == set())
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
 @pytest.mark.parametrize("sink", ["memory", "console", "json"])
 def test_streams_are_scored_by_batches(spark, fitted, tmp_path, monkeypatch, sink):
     rows = spark.createDataFrame([("good win", 1), ("bad", 2)], "title string, k int").withColumn("words", F.split("title", " "))
